@@ -43,3 +43,18 @@ def fixture(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 def plain(sql: str) -> str:
     """The same SQL with plain table names, for the oracle."""
     return sql.format(**{name: name for name in TABLES})
+
+
+def row_text_sql(*columns: str) -> str:
+    """The oracle's form of :func:`dictspark.operators.bounded.row_text`."""
+    return " || ".join(f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+
+
+def md5_slice_sql(text: str, start: int = 1, digits: int = 15) -> str:
+    return f"CAST(('0x' || substr(md5({text}), {start}, {digits})) AS BIGINT)"
+
+
+def part_sql(keys: str, text: str, limit: int) -> str:
+    """The oracle's form of the part column of :func:`dictspark.operators.bounded.split_groups`."""
+    rows = f"count(*) OVER (PARTITION BY {keys})"
+    return f"CASE WHEN {rows} > {limit} THEN {md5_slice_sql(text)} % CAST(ceil({rows} / {limit}) AS BIGINT) ELSE 0 END"
