@@ -1,16 +1,14 @@
-"""Text cell → typed column, one expression per dictionary type.
+"""Text cell → typed value, one SQL expression per dictionary type.
 
-A cell that is blank or holds the type's initial value decodes to NULL (to an empty string for
-character types). An undecodable cell is NULL in lenient mode and an error in strict mode.
+Every function takes the cell as SQL text (a quoted column name, or any expression) and returns
+SQL text. A cell that is blank or holds the type's initial value decodes to NULL (to an empty
+string for character types). An undecodable cell is NULL in lenient mode, an error in strict mode.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from . import types as D
+from .sqltext import failure, text
 from .types import Field
 
 # Shapes of date, time and timestamp cells.
@@ -19,75 +17,71 @@ TIME_SHAPE = "^([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]"
 ZEROS = "^0+$"
 
 
-def text_cell(cell: Column) -> Column:
-    return F.rtrim(cell)
+def before_nul(cell: str) -> str:
+    """Text after a NUL is noise."""
+    return rf"substring_index({cell}, '\0', 1)"
 
 
-def packed_cell(cell: Column, kind: T.DataType) -> Column:
-    """Numbers: text after a NUL is noise, a trailing minus belongs in front."""
-    digits = F.trim(F.substring_index(cell, "\x00", 1))
-    signed = F.when(F.endswith(digits, F.lit("-")), F.concat(F.lit("-"), F.rtrim(F.rtrim(digits, F.lit("-"))))).otherwise(digits)
-    return signed.try_cast(kind)
+def text_cell(cell: str) -> str:
+    return f"rtrim({cell})"
 
 
-def date_cell(cell: Column) -> Column:
-    text = F.trim(cell)
-    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    return F.when(text.rlike(DATE_SHAPE), iso.try_cast("date"))
+def packed_cell(cell: str, kind: str) -> str:
+    """Numbers; a trailing minus belongs in front."""
+    digits = f"trim({before_nul(cell)})"
+    return f"try_cast(if(endswith({digits}, '-'), concat('-', rtrim(trim(TRAILING '-' FROM {digits}))), {digits}) AS {kind})"
 
 
-def time_cell(cell: Column, initial_is_null: bool = True) -> Column:
-    text = F.trim(cell)
-    iso = F.concat_ws(":", F.substring(text, 1, 2), F.substring(text, 3, 2), F.substring(text, 5, 2))
-    valid = text.rlike(TIME_SHAPE)
-    if initial_is_null:
-        valid = valid & ~text.rlike(ZEROS)
-    return F.when(valid, iso)
+def _day(digits: str) -> str:
+    return f"concat_ws('-', substring({digits}, 1, 4), substring({digits}, 5, 2), substring({digits}, 7, 2))"
 
 
-def utc_cell(cell: Column) -> Column:
-    """``YYYYMMDD[HH[MM[SS[,fffffff]]]]``; digits past microseconds are cut."""
-    text = F.rtrim(F.substring_index(cell, "\x00", 1))
+def date_cell(cell: str) -> str:
+    digits = f"trim({cell})"
+    return f"if({digits} RLIKE '{DATE_SHAPE}', try_cast({_day(digits)} AS DATE), NULL)"
 
-    def part(start: int) -> Column:
-        return F.when(F.length(text) > start, F.substring(text, start, 2)).otherwise(F.lit("00"))
 
-    day = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    clock = F.concat_ws(":", part(9), part(11), part(13))
-    fraction = F.rpad(F.translate(F.substring(text, 15, 8), ",.", ""), 6, "0")
-    iso = F.concat(day, F.lit(" "), clock, F.lit("."), fraction)
-    return F.when(text.rlike(DATE_SHAPE) & ~text.rlike(ZEROS), iso.try_cast("timestamp_ntz"))
+def time_cell(cell: str, initial_is_null: bool = True) -> str:
+    digits = f"trim({cell})"
+    clock = f"concat_ws(':', substring({digits}, 1, 2), substring({digits}, 3, 2), substring({digits}, 5, 2))"
+    valid = f"{digits} RLIKE '{TIME_SHAPE}'"
+    if initial_is_null:
+        valid += f" AND NOT {digits} RLIKE '{ZEROS}'"
+    return f"if({valid}, {clock}, NULL)"
 
 
-def raw_cell(cell: Column) -> Column:
-    digits = F.rtrim(cell)
-    whole = (F.length(digits) > 0) & (F.length(digits) % 2 == 0)
-    return F.when(whole, F.unhex(digits))
+def utc_cell(cell: str) -> str:
+    """``YYYYMMDD[HH[MM[SS[,fffffff]]]]``; digits past microseconds are cut."""
+    digits = f"rtrim({before_nul(cell)})"
+    clock = ", ".join(f"if(length({digits}) > {at}, substring({digits}, {at}, 2), '00')" for at in (9, 11, 13))
+    fraction = f"rpad(translate(substring({digits}, 15, 8), ',.', ''), 6, '0')"
+    iso = f"concat({_day(digits)}, ' ', concat_ws(':', {clock}), '.', {fraction})"
+    return f"if({digits} RLIKE '{DATE_SHAPE}' AND NOT {digits} RLIKE '{ZEROS}', try_cast({iso} AS TIMESTAMP_NTZ), NULL)"
 
 
-def flag_cell(cell: Column) -> Column:
-    """``X`` is true, blank is false, anything else is NULL."""
-    text = F.rtrim(cell)
-    return F.when(text == "X", F.lit(True)).when(text == "", F.lit(False))
+def raw_cell(cell: str) -> str:
+    digits = f"rtrim({cell})"
+    return f"if(length({digits}) > 0 AND length({digits}) % 2 = 0, unhex({digits}), NULL)"
 
 
-def flag_text(flag: Column) -> Column:
-    return F.when(flag, F.lit("X")).otherwise(F.lit(""))
+def flag_cell(cell: str) -> str:
+    """``X`` is true, blank is false, anything else is NULL."""
+    return f"CASE rtrim({cell}) WHEN 'X' THEN true WHEN '' THEN false END"
 
 
-def is_initial(cell: Column, field: Field) -> Column:
+def is_initial(cell: str, field: Field) -> str:
     """Whether a cell is blank or the initial value of its type: NULL without being an error."""
-    blank = F.trim(F.substring_index(cell, "\x00", 1)) == ""
+    blank = f"trim({before_nul(cell)}) = ''"
     if field.type in D.DATE_TYPES + D.TIME_TYPES + D.UTC_TYPES:
-        return blank | F.trim(cell).rlike(ZEROS)
-    return blank
+        return f"({blank} OR trim({cell}) RLIKE '{ZEROS}')"
+    return f"({blank})"
 
 
-def decode_cell(cell: Column, field: Field, strict: bool = False, initial_time_is_null: bool = True) -> Column:
+def decode_cell(cell: str, field: Field, strict: bool = False, initial_time_is_null: bool = True) -> str:
     """Decode one text cell by its dictionary field."""
     name = field.type
     if name in D.OPAQUE_TYPES:
-        return F.lit("")
+        return "''"
     if name in D.STRING_TYPES:
         return cell
     if name in D.TEXT_TYPES:
@@ -101,13 +95,13 @@ def decode_cell(cell: Column, field: Field, strict: bool = False, initial_time_i
     elif name in D.RAW_TYPES:
         value = raw_cell(cell)
     elif name in D.ALL_TYPES:
-        value = packed_cell(cell, D.spark_type(field))
+        value = packed_cell(cell, D.spark_type(field).simpleString())
     elif strict:
         raise D.UnknownTypeError(f"dictionary type {name!r} of field {field.name!r} is not known")
     else:
         return text_cell(cell)
     if strict:
-        failed = cell.isNotNull() & value.isNull() & ~is_initial(cell, field)
-        message = F.concat(F.lit(f"field {field.name} ({name}) cannot hold: "), cell)
-        value = F.when(failed, F.raise_error(message).cast(D.spark_type(field))).otherwise(value)
+        message = f"concat({text(f'field {field.name} ({name}) cannot hold: ')}, {cell})"
+        failed = f"{cell} IS NOT NULL AND {value} IS NULL AND NOT {is_initial(cell, field)}"
+        value = f"if({failed}, {failure(message, D.spark_type(field).simpleString())}, {value})"
     return value

@@ -1,10 +1,7 @@
-"""Typed column → text cell: the inverse of :mod:`decode`. NULL becomes the initial value."""
+"""Typed value → text cell, as SQL text: the inverse of :mod:`decode`. NULL becomes the initial value."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from . import types as D
 from .types import Field
 
@@ -14,45 +11,46 @@ INITIAL_TIME = "000000"
 INITIAL_STAMP = "00000000000000"
 
 
-def _number(value: Column, field: Field) -> Column:
-    """Right aligned, sign behind the digits, as packed numbers are printed."""
-    text = F.coalesce(value, F.lit(0)).cast(D.spark_type(field)).cast("string")
-    signed = F.when(F.startswith(text, F.lit("-")), F.concat(F.substring(text, 2, 64), F.lit("-"))).otherwise(F.concat(text, F.lit(" ")))
-    return F.lpad(signed, D.cell_width(field), " ")
+def _number_text(value: str, field: Field) -> str:
+    return f"CAST(CAST(coalesce({value}, 0) AS {D.spark_type(field).simpleString()}) AS STRING)"
 
 
-def _plain_number(value: Column, field: Field) -> Column:
-    text = F.coalesce(value, F.lit(0)).cast(D.spark_type(field)).cast("string")
-    return F.lpad(text, D.cell_width(field), " ")
+def _packed(value: str, field: Field) -> str:
+    """Right aligned, sign behind the digits, as packed numbers are printed."""
+    digits = _number_text(value, field)
+    return f"lpad(if(startswith({digits}, '-'), concat(substring({digits}, 2), '-'), concat({digits}, ' ')), {D.cell_width(field)}, ' ')"
 
 
-def _stamp(value: Column, field: Field) -> Column:
-    text = value.cast("timestamp_ntz").cast("string")
-    digits = F.translate(F.substring(text, 1, 19), "-: ", "")
+def _stamp(value: str, field: Field) -> str:
+    iso = f"CAST(CAST({value} AS TIMESTAMP_NTZ) AS STRING)"
+    digits = f"translate(substring({iso}, 1, 19), '-: ', '')"
     if field.type == "UTCS":
-        return F.coalesce(digits, F.lit(INITIAL_STAMP))
+        return f"coalesce({digits}, '{INITIAL_STAMP}')"
     if field.type == "UTCM":
-        return F.substring(F.coalesce(digits, F.lit(INITIAL_STAMP)), 1, 12)
-    fraction = F.rpad(F.substring(text, 21, 6), 7, "0")
-    return F.coalesce(F.concat(digits, F.lit(","), fraction), F.lit(f"{INITIAL_STAMP},0000000"))
+        return f"substring(coalesce({digits}, '{INITIAL_STAMP}'), 1, 12)"
+    return f"coalesce(concat({digits}, ',', rpad(substring({iso}, 21, 6), 7, '0')), '{INITIAL_STAMP},0000000')"
+
+
+def flag_text(flag: str) -> str:
+    return f"if({flag}, 'X', '')"
 
 
-def encode_cell(value: Column, field: Field) -> Column:
+def encode_cell(value: str, field: Field) -> str:
     """Text of one cell, unpadded for character types; the layout pads fixed-width lines."""
     name = field.type
     if name in D.DIGIT_TYPES:
-        return F.lpad(F.coalesce(value.cast("string"), F.lit("")), field.length, "0")
+        return f"lpad(coalesce(CAST({value} AS STRING), ''), {field.length}, '0')"
     if name in D.DATE_TYPES:
-        return F.coalesce(F.translate(value.cast("date").cast("string"), "-", ""), F.lit(INITIAL_DATE))
+        return f"coalesce(translate(CAST(CAST({value} AS DATE) AS STRING), '-', ''), '{INITIAL_DATE}')"
     if name in D.TIME_TYPES:
-        return F.coalesce(F.translate(value.cast("string"), ":", ""), F.lit(INITIAL_TIME))
+        return f"coalesce(translate(CAST({value} AS STRING), ':', ''), '{INITIAL_TIME}')"
     if name in D.UTC_TYPES:
         return _stamp(value, field)
     if name in D.RAW_TYPES:
-        digits = F.coalesce(F.hex(value), F.lit(""))
-        return F.rpad(digits, 2 * field.length, "0") if field.length else digits
+        digits = f"coalesce(hex({value}), '')"
+        return f"rpad({digits}, {2 * field.length}, '0')" if field.length else digits
     if name in D.DECIMAL_TYPES:
-        return _number(value, field)
+        return _packed(value, field)
     if name in D.FLOAT_TYPES or name in D.INTEGER_TYPES or name in D.DURATION_TYPES:
-        return _plain_number(value, field)
-    return F.coalesce(value.cast("string"), F.lit(""))
+        return f"lpad({_number_text(value, field)}, {D.cell_width(field)}, ' ')"
+    return f"coalesce(CAST({value} AS STRING), '')"

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.sqltext import name
 from ..functions.types import Field
 from ..sources.dictionary import TEXT_LANGUAGE
 from .registry import TABLES, table
@@ -51,24 +51,16 @@ KEYS = {
 def entries(spark: SparkSession) -> DataFrame:
     """Dictionary entries of the test tables."""
     return spark.createDataFrame(
-        [(name, f"table {name}", "TRANSP", TEXT_LANGUAGE) for name in TABLES],
+        [(t, f"table {t}", "TRANSP", TEXT_LANGUAGE) for t in TABLES],
         "table_name string, text string, class string, language string",
     )
 
 
 def portable(df: DataFrame) -> DataFrame:
     """Dates as ISO text and bytes as hex, so both engines print the same values."""
-    out: list[Column] = []
-    for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
-        elif isinstance(field.dataType, T.BinaryType):
-            column = F.hex(column)
-        elif isinstance(field.dataType, T.ShortType):
-            column = column.cast("int")
-        out.append(column.alias(field.name))
-    return df.select(*out)
+    forms = {T.DateType: "CAST({} AS STRING)", T.BinaryType: "hex({})", T.ShortType: "CAST({} AS INT)"}
+    names = {f.name: name(f.name) for f in df.schema}
+    return df.selectExpr(*[f"{forms.get(type(f.dataType), '{}').format(names[f.name])} AS {names[f.name]}" for f in df.schema])
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:

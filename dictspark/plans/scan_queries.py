@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import types as D
-from ..functions.decode import date_cell, decode_cell, flag_cell, flag_text, raw_cell, time_cell, utc_cell
-from ..functions.encode import encode_cell
+from ..functions.decode import date_cell, decode_cell, flag_cell, raw_cell, time_cell, utc_cell
+from ..functions.encode import encode_cell, flag_text
 from ..functions.types import Field
 from ..session import work_dir
 from ..sources.catalog import attach, federate
-from ..sources.extract import decode_extract, encode_extract
+from ..sources.extract import decode_cells, decode_extract, encode_extract
 from ..sources.files import read_csv, write_table
 from ..sources.reader import read_table
 from .inputs import EVENTS, LINEITEM, ORDERS, entries, events, lineitem, orders, portable
@@ -121,13 +121,18 @@ def layout_bucket(spark, sf_dir):
     return lines.select("doc_id", F.length("line").alias("width"), "bucket")
 
 
+def _decoded(rows, key, cell, decoder, out):
+    """``key`` and the decoded cell, the cell given as a Column."""
+    return rows.select(*key, cell.alias("cell")).selectExpr(*key, f"{decoder('cell')} AS {out}")
+
+
 @query(
     "decode_dates",
     "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 17 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate FROM orders",
 )
 def decode_dates(spark, sf_dir):
     key = F.col("o_orderkey")
-    clean = encode_cell(F.col("o_orderdate"), Field("o_orderdate", "DATS", 8))
+    clean = F.expr(encode_cell("o_orderdate", Field("o_orderdate", "DATS", 8)))
     cell = (
         F.when(key % 7 == 0, F.lit("        "))
         .when(key % 11 == 0, F.lit("00000000"))
@@ -135,7 +140,7 @@ def decode_dates(spark, sf_dir):
         .when(key % 19 == 0, F.concat(clean, F.lit("xx")))
         .otherwise(clean)
     )
-    return portable(orders(spark, sf_dir).select("o_orderkey", date_cell(cell).alias("o_orderdate")))
+    return portable(_decoded(orders(spark, sf_dir), ["o_orderkey"], cell, date_cell, "o_orderdate"))
 
 
 @query(
@@ -147,7 +152,7 @@ def decode_times(spark, sf_dir):
     key = F.col("event_id")
     clean = F.translate(F.substring(F.col("ts").cast("string"), 12, 8), ":", "")
     cell = F.when(key % 7 == 0, F.lit("      ")).when(key % 11 == 0, F.lit("000000")).when(key % 13 == 0, F.lit("240000")).otherwise(clean)
-    return events(spark, sf_dir).select("event_id", time_cell(cell).alias("clock"))
+    return _decoded(events(spark, sf_dir), ["event_id"], cell, time_cell, "clock")
 
 
 @query(
@@ -159,7 +164,7 @@ def decode_utc(spark, sf_dir):
     key = F.col("event_id")
 
     def clean(name: str):
-        return encode_cell(F.col("ts"), Field("ts", name))
+        return F.expr(encode_cell("ts", Field("ts", name)))
 
     cell = (
         F.when(key % 7 == 0, F.lit("00000000000000"))
@@ -167,7 +172,7 @@ def decode_utc(spark, sf_dir):
         .when(key % 3 == 2, clean("UTCM"))
         .otherwise(clean("UTCL"))
     )
-    return events(spark, sf_dir).select("event_id", utc_cell(cell).alias("ts"))
+    return _decoded(events(spark, sf_dir), ["event_id"], cell, utc_cell, "ts")
 
 
 @query(
@@ -176,10 +181,10 @@ def decode_utc(spark, sf_dir):
     "ELSE CAST(o_totalprice AS DECIMAL(15,2)) END AS o_totalprice FROM orders",
 )
 def decode_decimal_trailing_minus(spark, sf_dir):
-    key, price = F.col("o_orderkey"), Field("o_totalprice", "CURR", 15, 2)
-    signed = F.when(key % 13 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
-    cell = F.when(key % 7 == 0, F.lit(" ")).otherwise(encode_cell(signed, price))
-    return orders(spark, sf_dir).select("o_orderkey", decode_cell(cell, price).alias("o_totalprice"))
+    price = Field("o_totalprice", "CURR", 15, 2)
+    signed = encode_cell("if(o_orderkey % 13 = 0, -o_totalprice, o_totalprice)", price)
+    cell = F.when(F.col("o_orderkey") % 7 == 0, F.lit(" ")).otherwise(F.expr(signed))
+    return _decoded(orders(spark, sf_dir), ["o_orderkey"], cell, lambda c: decode_cell(c, price), "o_totalprice")
 
 
 @query(
@@ -196,7 +201,10 @@ def decode_raw_hex(spark, sf_dir):
         .when(key % 17 == 0, F.concat(F.lower(digits), F.lit("  ")))
         .otherwise(digits)
     )
-    return portable(table(spark, sf_dir, "customer").select("c_custkey", raw_cell(cell).alias("raw")))
+    return portable(_decoded(table(spark, sf_dir, "customer"), ["c_custkey"], cell, raw_cell, "raw"))
+
+
+BLANKED = {"n": ("l_linenumber", 5, Field("n", "INT4")), "price": ("l_extendedprice", 7, Field("price", "DEC", 15, 2)), "quantity": ("l_quantity", 11, Field("quantity", "FLTP"))}
 
 
 @query(
@@ -206,48 +214,37 @@ def decode_raw_hex(spark, sf_dir):
     "CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_quantity END AS quantity FROM lineitem",
 )
 def decode_blank_numerics(spark, sf_dir):
-    def cell(column: str, modulus: int, field: Field):
-        text = F.when(F.col("l_partkey") % modulus == 0, F.lit("   ")).otherwise(encode_cell(F.col(column), field))
-        return decode_cell(text, field)
-
-    return lineitem(spark, sf_dir).select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_shipdate",
-        cell("l_linenumber", 5, Field("n", "INT4")).alias("n"),
-        cell("l_extendedprice", 7, Field("price", "DEC", 15, 2)).alias("price"),
-        cell("l_quantity", 11, Field("quantity", "FLTP")).alias("quantity"),
-    )
+    cells = [f"if(l_partkey % {modulus} = 0, '   ', {encode_cell(column, field)}) AS {out}" for out, (column, modulus, field) in BLANKED.items()]
+    rows = lineitem(spark, sf_dir).selectExpr("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", *cells)
+    return decode_cells(rows, [field for _, _, field in BLANKED.values()])
 
 
 @query("decode_numc", "SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS numc FROM customer")
 def decode_numc(spark, sf_dir):
     field = Field("numc", "NUMC", 10)
-    return table(spark, sf_dir, "customer").select("c_custkey", decode_cell(encode_cell(F.col("c_custkey"), field), field).alias("numc"))
+    cell = F.expr(encode_cell("c_custkey", field))
+    return _decoded(table(spark, sf_dir, "customer"), ["c_custkey"], cell, lambda c: decode_cell(c, field), "numc")
 
 
 @query("decode_xflag", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus = 'F' END AS finished FROM orders")
 def decode_xflag(spark, sf_dir):
-    cell = F.when(F.col("o_orderkey") % 7 == 0, F.lit("?")).otherwise(flag_text(F.col("o_orderstatus") == "F"))
-    return orders(spark, sf_dir).select("o_orderkey", flag_cell(cell).alias("finished"))
+    cell = F.when(F.col("o_orderkey") % 7 == 0, F.lit("?")).otherwise(F.expr(flag_text("o_orderstatus = 'F'")))
+    return _decoded(orders(spark, sf_dir), ["o_orderkey"], cell, flag_cell, "finished")
 
 
-def _type_cell(name: str):
-    """A well-formed cell of a dictionary type from an order."""
-    if name in D.DATE_TYPES:
-        return encode_cell(F.col("o_orderdate"), Field("x", name)), 8, 0
+def _type_cell(name: str) -> tuple[str, Field]:
+    """A well-formed cell of a dictionary type from an order, and its field."""
+    if name in D.DATE_TYPES + D.UTC_TYPES:
+        return encode_cell("o_orderdate", Field("x", name)), Field(name, name, 27)
     if name in D.TIME_TYPES:
-        return F.lit("235959"), 6, 0
-    if name in D.UTC_TYPES:
-        return encode_cell(F.col("o_orderdate"), Field("x", name)), 27, 7
+        return "'235959'", Field(name, name, 6)
     if name in D.RAW_TYPES:
-        return F.hex(F.col("o_orderpriority")), 16, 0
+        return "hex(o_orderpriority)", Field(name, name, 16)
     if name in D.DECIMAL_TYPES:
-        return F.col("o_totalprice").cast("decimal(15,2)").cast("string"), 15, 2
+        return "CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS STRING)", Field(name, name, 15, 2)
     if name in D.INTEGER_TYPES or name in D.DURATION_TYPES or name in D.FLOAT_TYPES:
-        return (F.col("o_orderkey") % 100).cast("string"), 4, 0
-    return F.col("o_orderpriority"), 20, 0
+        return "CAST(o_orderkey % 100 AS STRING)", Field(name, name, 4)
+    return "o_orderpriority", Field(name, name, 20)
 
 
 TYPE_NAMES = sorted(D.ALL_TYPES)
@@ -263,19 +260,11 @@ NEVER_NULL = sorted((*D.TEXT_TYPES, *D.OPAQUE_TYPES))
     + ") t(name) GROUP BY t.name",
 )
 def decode_type_map(spark, sf_dir):
-    decoded = []
-    for name in TYPE_NAMES:
-        cell, length, decimals = _type_cell(name)
-        cell = F.when(F.col("o_orderkey") % 7 == 0, F.lit("   ")).otherwise(cell)
-        decoded.append(decode_cell(cell, Field(name, name, length, decimals)).alias(name))
-    counts = (
-        orders(spark, sf_dir)
-        .select(*decoded)
-        .agg(
-            F.count(F.lit(1)).alias("cells"),
-            *[F.count_if(F.col(n).isNull()).alias(n) for n in TYPE_NAMES],
-        )
-    )
+    cells = {name: _type_cell(name) for name in TYPE_NAMES}
+    rows = orders(spark, sf_dir).selectExpr(*[f"if(o_orderkey % 7 = 0, '   ', {cell}) AS {name}" for name, (cell, _) in cells.items()])
+    decoded = decode_cells(rows, [field for _, field in cells.values()])
+    nulls = [F.count_if(F.col(n).isNull()).alias(n) for n in TYPE_NAMES]
+    counts = decoded.agg(F.count(F.lit(1)).alias("cells"), *nulls)
     return counts.unpivot("cells", TYPE_NAMES, "sap_type", "nulls").select("sap_type", "cells", "nulls")
 
 

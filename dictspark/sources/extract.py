@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import decode_cell
 from ..functions.encode import encode_cell
+from ..functions.sqltext import name
 from ..functions.types import Field, data_fields
 from .dictionary import as_fields
-from .layouts import DEFAULT_DELIMITER, bucket_for, join_cells, layout_named, split_line
+from .layouts import DEFAULT_DELIMITER, bucket_for, checked_line, join_cells, layout_named, split_line, split_pattern
 
 LINE = "line"
+PARTS = "_parts"
 
 
 def split_extract(
@@ -25,20 +27,26 @@ def split_extract(
 ) -> DataFrame:
     """Lines → one text column per field, other columns kept."""
     fields = data_fields(as_fields(fields))
-    cells = split_line(F.col(line), fields, layout_named(layout), delimiter)
-    keep = [F.col(c) for c in lines.columns if c != line]
-    return lines.select(*keep, *[c.alias(f.name) for c, f in zip(cells, fields)])
+    shape = layout_named(layout)
+    keep = [name(c) for c in lines.columns if c != line]
+    source = name(line)
+    if shape.delimited:
+        lines = lines.withColumn(PARTS, F.split(F.col(line), split_pattern(delimiter), -1))
+        source = PARTS
+    cells = split_line(fields, shape, source)
+    return lines.selectExpr(*keep, *[f"{cell} AS {name(f.name)}" for cell, f in zip(cells, fields)])
 
 
 def decode_cells(cells: DataFrame, fields: DataFrame | Sequence[Field], strict: bool = False, initial_time_is_null: bool = True) -> DataFrame:
     """Text columns → typed columns by the dictionary; columns without a field are kept."""
-    fields = {f.name: f for f in data_fields(as_fields(fields))}
-    return cells.select(
-        *[
-            decode_cell(F.col(c), fields[c], strict, initial_time_is_null).alias(c) if c in fields else F.col(c)
-            for c in cells.columns
-        ]
-    )
+    known = {f.name: f for f in data_fields(as_fields(fields))}
+
+    def decoded(column: str) -> str:
+        if column not in known:
+            return name(column)
+        return f"{decode_cell(name(column), known[column], strict, initial_time_is_null)} AS {name(column)}"
+
+    return cells.selectExpr(*[decoded(c) for c in cells.columns])
 
 
 def decode_extract(
@@ -66,8 +74,11 @@ def encode_extract(
     """Typed DataFrame → lines; bucketed layouts add the chosen ``bucket``."""
     fields = data_fields(as_fields(fields))
     shape = layout_named(layout)
-    text = join_cells([encode_cell(F.col(f.name), f) for f in fields], fields, shape, delimiter)
-    out = df.select(*keep, text.alias(line))
+    kept = [name(k) for k in keep]
+    cells = df.selectExpr(*kept, *[f"{encode_cell(name(f.name), f)} AS _{i}" for i, f in enumerate(fields)])
+    joined = join_cells([f"_{i}" for i in range(len(fields))], fields, shape, delimiter)
+    lines = cells.selectExpr(*kept, f"{joined} AS {name(line)}")
+    out = lines.selectExpr(*kept, f"{checked_line(name(line), fields, shape, delimiter)} AS {name(line)}")
     if shape.bucketed:
         out = out.withColumn("bucket", bucket_for(F.length(line)))
     return out

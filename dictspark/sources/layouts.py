@@ -10,6 +10,7 @@ from itertools import accumulate
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import failure, text
 from ..functions.types import Field, cell_width
 
 # Row sizes of the bucketed layouts, and the widest plain row.
@@ -57,33 +58,39 @@ def bucket_for(width: Column) -> Column:
     return size
 
 
-def split_line(line: Column, fields: Sequence[Field], layout: Layout, delimiter: str = DEFAULT_DELIMITER) -> list[Column]:
-    """The text cell of every field of a line."""
+def split_line(fields: Sequence[Field], layout: Layout, line: str) -> list[str]:
+    """SQL text of every field's cell; for delimited layouts ``line`` holds the split parts."""
     if layout.delimited:
-        parts = F.split(line, re.escape(delimiter), -1)
-        return [F.get(parts, F.lit(i)) for i in range(len(fields))]
+        return [f"get({line}, {i})" for i in range(len(fields))]
     widths = [cell_width(f) for f in fields]
-    starts = accumulate(widths, initial=1)
-    return [F.substring(line, start, width) for start, width in zip(starts, widths)]
+    return [f"substring({line}, {start}, {width})" for start, width in zip(accumulate(widths, initial=1), widths)]
 
 
-def join_cells(cells: Sequence[Column], fields: Sequence[Field], layout: Layout, delimiter: str = DEFAULT_DELIMITER) -> Column:
-    """One line from text cells. A cell that would not survive the layout is an error."""
+def split_pattern(delimiter: str) -> str:
+    return re.escape(delimiter)
+
+
+def join_cells(cells: Sequence[str], fields: Sequence[Field], layout: Layout, delimiter: str = DEFAULT_DELIMITER) -> str:
+    """SQL text of a line. A cell wider than its field is an error."""
     if layout.delimited:
-        line = F.concat_ws(delimiter, *cells)
-        found = F.length(line) - F.length(F.replace(line, F.lit(delimiter), F.lit("")))
-        clash = found != (len(fields) - 1) * len(delimiter)
-        line = F.when(clash, F.raise_error(F.lit(f"a cell contains the delimiter {delimiter!r}")).cast("string")).otherwise(line)
-    else:
-        width = row_width(fields)
-        if layout.max_width and width > layout.max_width:
-            raise ValueError(f"a row of {width} characters exceeds the {layout.max_width} of layout {layout.name!r}")
-        line = F.concat(*[_pad(cell, field) for cell, field in zip(cells, fields)])
-    return line
-
-
-def _pad(cell: Column, field: Field) -> Column:
+        return f"concat_ws({text(delimiter)}, {', '.join(cells)})"
+    width = row_width(fields)
+    if layout.max_width and width > layout.max_width:
+        raise ValueError(f"a row of {width} characters exceeds the {layout.max_width} of layout {layout.name!r}")
+    return f"concat({', '.join(_pad(cell, field) for cell, field in zip(cells, fields))})"
+
+
+def checked_line(line: str, fields: Sequence[Field], layout: Layout, delimiter: str = DEFAULT_DELIMITER) -> str:
+    """The line, or an error when a cell contains the delimiter and could not be read back."""
+    if not layout.delimited:
+        return line
+    found = f"length({line}) - length(replace({line}, {text(delimiter)}, ''))"
+    expected = (len(fields) - 1) * len(delimiter)
+    message = text(f"a cell contains the delimiter {delimiter!r}")
+    return f"if({found} <> {expected}, {failure(message)}, {line})"
+
+
+def _pad(cell: str, field: Field) -> str:
     width = cell_width(field)
-    long = F.length(cell) > width
-    too_long = F.raise_error(F.concat(F.lit(f"field {field.name} is wider than {width}: "), cell)).cast("string")
-    return F.when(long, too_long).otherwise(F.rpad(cell, width, " "))
+    message = f"concat({text(f'field {field.name} is wider than {width}: ')}, {cell})"
+    return f"if(length({cell}) > {width}, {failure(message)}, rpad({cell}, {width}, ' '))"
