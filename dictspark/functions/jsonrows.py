@@ -88,5 +88,6 @@ def rows_to_json(df: DataFrame, typed: bool = False, name: str = "json", keep: t
 
 def rows_from_json(df: DataFrame, schema: T.StructType, name: str = "json") -> DataFrame:
     """Typed documents back to rows of ``schema``."""
-    parsed = df.select(_unwrapped(F.from_json(name, _wrapped_type(schema)), schema).alias("row"))
-    return parsed.select("row.*")
+    parsed = df.select(F.from_json(name, _wrapped_type(schema)).alias("_row"))
+    body = F.col("_row").getField(VALUE_KEY)
+    return parsed.select(*[_unwrapped(body.getField(f.name), f.dataType).alias(f.name) for f in schema])

@@ -18,9 +18,9 @@ def row_text(columns: Sequence[Column]) -> Column:
     return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts])
 
 
-def md5_slice(text: Column, start: int = 1, digits: int = 15) -> Column:
-    """A slice of an md5 as a non-negative integer, the same in every engine."""
-    return F.conv(F.substring(F.md5(text), start, digits), 16, 10).cast("bigint")
+def hex_slice(digest: Column, start: int = 1, digits: int = 15) -> Column:
+    """A slice of a hex digest as a non-negative integer, the same in every engine."""
+    return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint")
 
 
 def split_groups(df: DataFrame, keys: Sequence[str], by: Sequence[str], limit: int = GROUP_ROWS) -> DataFrame:
@@ -35,7 +35,7 @@ def split_groups(df: DataFrame, keys: Sequence[str], by: Sequence[str], limit: i
         .where(F.col("_rows") > limit)
         .select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("bigint").alias("_parts"))
     )
-    spread = F.when(F.col("_parts").isNotNull(), F.pmod(md5_slice(row_text([F.col(c) for c in by])), F.col("_parts")))
+    spread = F.when(F.col("_parts").isNotNull(), F.pmod(hex_slice(F.md5(row_text([F.col(c) for c in by]))), F.col("_parts")))
     return df.join(hot, list(keys), "left").withColumn(PART, F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_parts")
 
 

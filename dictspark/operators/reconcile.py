@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bounded import md5_slice, row_text
+from .bounded import hex_slice, row_text
 
 
 def _sided(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -69,18 +69,22 @@ def differing_columns(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFr
     return paired.select(*keys, names.alias("columns")).where(F.col("columns") != "")
 
 
-def _digest(columns: Sequence[Column], algorithm: str) -> list[Column]:
-    """Aggregates that neither order nor partitioning changes."""
+def _hashed(columns: Sequence[Column], algorithm: str) -> Column:
     if algorithm == "xxhash64":
-        h = F.xxhash64(*columns)
-        return [F.sum(h.cast("decimal(20,0)")).cast("string").alias("digest"), F.bit_xor(h).cast("string").alias("digest2")]
+        return F.xxhash64(*columns)
     if algorithm == "md5":
-        text = row_text(columns)
-        parts = [md5_slice(text, start).cast("decimal(19,0)") for start in (1, 16)]
-        return [F.sum(parts[0]).cast("string").alias("digest"), F.sum(parts[1]).cast("string").alias("digest2")]
+        return F.md5(row_text(columns))
     raise ValueError("algorithm must be 'xxhash64' or 'md5'")
 
 
+def _digest(hashed: Column, algorithm: str) -> list[Column]:
+    """Aggregates that neither order nor partitioning changes."""
+    if algorithm == "xxhash64":
+        return [F.sum(hashed.cast("decimal(20,0)")).cast("string").alias("digest"), F.bit_xor(hashed).cast("string").alias("digest2")]
+    parts = [hex_slice(hashed, start).cast("decimal(19,0)") for start in (1, 16)]
+    return [F.sum(part).cast("string").alias(name) for part, name in zip(parts, ("digest", "digest2"))]
+
+
 def fingerprint(df: DataFrame, by: Sequence[str] = (), algorithm: str = "xxhash64") -> DataFrame:
     """Row count and digest of a table, or of each group of ``by``.
 
@@ -89,4 +93,5 @@ def fingerprint(df: DataFrame, by: Sequence[str] = (), algorithm: str = "xxhash6
     ``md5`` digests can be recomputed by other engines; ``xxhash64`` is faster.
     """
     rest = [F.col(c) for c in df.columns if c not in by]
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *_digest(rest, algorithm))
+    rows = df.select(*by, _hashed(rest, algorithm).alias("_hash"))
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *_digest(F.col("_hash"), algorithm))

@@ -9,6 +9,7 @@ from ..functions.jsonrows import rows_from_json, rows_to_json, value_to_json
 from ..functions.nested import drop_unsupported, get_at, list_append, list_remove_at, list_remove_value, set_at, unzip_rows, zip_columns
 from ..operators.arguments import EXPORT, TABLES, Parameter, shape_arguments
 from ..operators.paths import select_path, unnest_recursive
+from ..session import spread
 from .inputs import orders
 from .registry import query, table
 
@@ -186,7 +187,7 @@ def json_typed(spark, sf_dir):
 
 @query("json_typed_roundtrip", f"SELECT {JSON_ROW}, CAST(o_totalprice AS DECIMAL(15,2)) AS price, hex(o_orderpriority) AS raw FROM orders")
 def json_typed_roundtrip(spark, sf_dir):
-    rows = orders(spark, sf_dir).selectExpr(
+    rows = spread(orders(spark, sf_dir)).selectExpr(
         "o_orderkey", "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "CAST(o_totalprice AS DECIMAL(15,2)) AS price", "encode(o_orderpriority, 'UTF-8') AS raw",
     )

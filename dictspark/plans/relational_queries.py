@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.selection import option, select_options
 from ..operators.reconcile import differing_columns, except_all, fingerprint, reconcile
 from ..operators.versions import prefer_active
-from ..sources.extract import decode_extract, encode_extract
+from ..session import spread
+from ..sources.extract import decode_extract, encode_extract, number_keys
 from ..sources.reader import read_table
 from .inputs import LINEITEM, events, lineitem, orders
 from .registry import fixture, md5_slice_sql, plain, query, row_text_sql, table
@@ -109,10 +110,8 @@ ORDER BY 1, 2, 3, 4, 5, 6, 7, 8 LIMIT 100
 @query("flagship_join", FLAGSHIP)
 def flagship_join(spark, sf_dir):
     """A decoded fixed-width extract joined to four tables, the nations once per role."""
-    lines = encode_extract(lineitem(spark, sf_dir), LINEITEM, "fixed")
-    items = decode_extract(lines, LINEITEM, "fixed")
-    for key in ("l_orderkey", "l_partkey", "l_suppkey"):
-        items = items.withColumn(key, F.col(key).cast("bigint"))
+    lines = encode_extract(spread(lineitem(spark, sf_dir)), LINEITEM, "fixed")
+    items = number_keys(decode_extract(lines, LINEITEM, "fixed"), ["l_orderkey", "l_partkey", "l_suppkey"])
     nation = table(spark, sf_dir, "nation")
     origin = nation.select(F.col("n_nationkey").alias("from_key"), F.col("n_name").alias("nation_from"))
     target = nation.select(F.col("n_nationkey").alias("to_key"), F.col("n_name").alias("nation_to"))

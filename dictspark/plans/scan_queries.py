@@ -8,7 +8,7 @@ from ..functions import types as D
 from ..functions.decode import date_cell, decode_cell, flag_cell, raw_cell, time_cell, utc_cell
 from ..functions.encode import encode_cell, flag_text
 from ..functions.types import Field
-from ..session import work_dir
+from ..session import spread, work_dir
 from ..sources.catalog import attach, federate
 from ..sources.extract import decode_cells, decode_extract, encode_extract
 from ..sources.files import read_csv, write_table
@@ -93,7 +93,7 @@ FROM lineitem
 
 @query("decode_fixed_width", LINEITEM_TYPED)
 def decode_fixed_width(spark, sf_dir):
-    lines = encode_extract(lineitem(spark, sf_dir), LINEITEM, "fixed")
+    lines = encode_extract(spread(lineitem(spark, sf_dir)), LINEITEM, "fixed")
     return portable(decode_extract(lines, LINEITEM, "fixed"))
 
 
