@@ -14,7 +14,7 @@ from .types import Field
 # Shapes of date, time and timestamp cells.
 DATE_SHAPE = "^[0-9]{8}"
 TIME_SHAPE = "^([01][0-9]|2[0-3])[0-5][0-9][0-5][0-9]"
-ZEROS = "^0+$"
+ZEROS = "^0+([,.]0*)?$"
 
 
 def before_nul(cell: str) -> str:

@@ -53,17 +53,21 @@ class Catalog:
 def resolve_tables(entries: DataFrame, patterns: str | Sequence[str]) -> list[str]:
     """Names and globs → table names, in order of the patterns, first spelling wins.
 
-    Exact names are taken as they are; globs search the dictionary entries. The answer is
-    plan-time metadata and is capped: one name beyond the cap is an error, not a cut.
+    Globs search the dictionary entries. Exact names take the spelling of their entry, or stay as
+    they are without one. The answer is plan-time metadata and is capped: one name beyond the cap
+    is an error, not a cut.
     """
-    parts = [p.strip() for p in (patterns.split(",") if isinstance(patterns, str) else patterns)]
+    parts = [p.strip() for p in (patterns.split(",") if isinstance(patterns, str) else patterns) if p.strip()]
+    exact = [p.upper() for p in parts if not is_glob(p)][: MAX_TABLES + 1]
+    listed = entries.where(F.upper("table_name").isin(*exact)).select("table_name").distinct() if exact else None
+    spelled = {r[0].upper(): r[0] for r in listed.orderBy(F.desc("table_name")).limit(MAX_TABLES).collect()} if exact else {}
     found: dict[str, str] = {}
-    for part in filter(None, parts):
+    for part in parts:
         if is_glob(part):
             hits = entries.where(F.upper("table_name").like(like_pattern(part.upper())))
             names = [r[0] for r in hits.select("table_name").distinct().orderBy("table_name").limit(MAX_TABLES + 1).collect()]
         else:
-            names = [part]
+            names = [spelled.get(part.upper(), part)]
         for name in names:
             found.setdefault(name.upper(), name)
         if len(found) > MAX_TABLES:
