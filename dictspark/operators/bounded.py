@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,20 +27,14 @@ def hex_slice(digest: Column, start: int = 1, digits: int = 15) -> Column:
 def split_groups(df: DataFrame, keys: Sequence[str], by: Sequence[str], limit: int = GROUP_ROWS) -> DataFrame:
     """Add ``part``: 0 for a group within the limit, else a hash of ``by`` over enough parts.
 
-    Grouping by ``keys`` and ``part`` then never gathers a hot key in one task. Only the keys
-    above the limit reach the join, so its right side is small, and AQE sees its true size.
+    Grouping by ``keys`` and ``part`` then never gathers a hot key (NULL may be one) in one task.
+    Rows that are equal in ``by`` share a part, so callers make them distinct first. Only the
+    keys above the limit reach the join: its right side is small, and AQE sees its true size.
     """
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(limit)).cast("bigint").alias("_parts"))
-    )
-    spread = F.when(F.col("_parts").isNotNull(), F.pmod(hex_slice(F.md5(row_text([F.col(c) for c in by]))), F.col("_parts")))
-    return df.join(hot, list(keys), "left").withColumn(PART, F.coalesce(spread, F.lit(0).cast("bigint"))).drop("_parts")
-
-
-def nest(df: DataFrame, keys: Sequence[str], row: Sequence[str], name: str, limit: int = GROUP_ROWS) -> DataFrame:
-    """One ordered list of structs per key, and per part of a key beyond the limit."""
-    parts = split_groups(df, keys, row, limit)
-    return parts.groupBy(*keys, PART).agg(F.sort_array(F.collect_list(F.struct(*row))).alias(name))
+    size = F.count(F.lit(1))
+    hot = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(size.alias("_rows")).where(F.col("_rows") > limit)
+    hot = hot.withColumn("_parts", F.ceil(F.col("_rows") / F.lit(limit)).cast("bigint")).drop("_rows")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    spread = F.pmod(hex_slice(F.md5(row_text([F.col(c) for c in by]))), F.col("_parts"))
+    part = F.coalesce(F.when(F.col("_parts").isNotNull(), spread), F.lit(0).cast("bigint"))
+    return df.join(hot, same, "left").select(*df.columns, part.alias(PART))

@@ -46,14 +46,16 @@ def describe_function(parameters: DataFrame, headers: DataFrame | None = None, s
     source lines are optional, what is missing is NULL. A signature beyond ``limit`` takes several
     rows (``part``), so no list grows without bound.
     """
-    parted = split_groups(parameters, ["function"], PARAMETER_COLUMNS, limit)
+    distinct = parameters.select("function", "direction", *PARAMETER_COLUMNS).distinct()
+    parted = split_groups(distinct, ["function"], PARAMETER_COLUMNS, limit)
     item = F.struct("pos", *[c for c in PARAMETER_COLUMNS if c != "pos"])
     lists = [F.sort_array(F.collect_list(F.when(F.col("direction") == d, item))).alias(d) for d in DIRECTIONS]
     out = parted.groupBy("function", PART).agg(*lists)
     if headers is not None:
         out = out.join(headers, "function", "left")
     if sources is not None:
-        ordered = split_groups(sources, ["function"], ["line_no", "line"], limit).groupBy("function", PART)
+        numbered = sources.select("function", "line_no", "line").distinct()
+        ordered = split_groups(numbered, ["function"], ["line_no", "line"], limit).groupBy("function", PART)
         joined = ordered.agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda r: r.getField("line")).alias("lines"))
         out = out.join(joined.select("function", PART, F.array_join("lines", "\n").alias("source")), ["function", PART], "left")
     return out
@@ -107,11 +109,12 @@ def describe_cube(elements: DataFrame, cube: str | None = None, query: str | Non
         found = found.where(F.col("cube") == cube)
     if query is not None:
         found = found.where(F.col("query") == query)
-    parted = split_groups(found, ["cube"], ["element", "role", "text"], limit)
+    distinct = found.select("cube", "element", "role", "text").distinct()
+    parted = split_groups(distinct, ["cube"], ["element", "role", "text"], limit)
     item = F.struct("element", "text")
 
     def of_role(role: str) -> Column:
-        return F.array_distinct(F.sort_array(F.collect_list(F.when(F.col("role") == role, item))))
+        return F.sort_array(F.collect_list(F.when(F.col("role") == role, item)))
 
     return parted.groupBy("cube", PART).agg(of_role("CHARACTERISTIC").alias("characteristics"), of_role("MEASURE").alias("measures"))
 
@@ -139,7 +142,8 @@ def describe_odp(sources: DataFrame, fields: DataFrame, texts: DataFrame, contex
     names = found.select("technical_name")
 
     def listed(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
-        mine = split_groups(rows.join(names, "technical_name", "left_semi"), ["technical_name"], columns, limit)
+        distinct = rows.join(names, "technical_name", "left_semi").select("technical_name", *columns).distinct()
+        mine = split_groups(distinct, ["technical_name"], columns, limit)
         return mine.groupBy("technical_name", PART).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(out))
 
     parts = listed(fields, ["pos", "field", "type"], "fields").join(listed(texts, ["language", "text"], "texts"), ["technical_name", PART], "full")

@@ -103,7 +103,7 @@ def graph_json(edges: DataFrame, scope: Sequence[str], limit: int = 10_000) -> D
     A scope beyond ``limit`` edges becomes several documents (``part``) with the nodes of their
     edges; together they hold every edge once, and no document grows with the data.
     """
-    parted = split_groups(edges, scope, EDGE_COLUMNS, limit)
+    parted = split_groups(edges.select(*scope, *EDGE_COLUMNS).distinct(), scope, EDGE_COLUMNS, limit)
     ends = [F.struct(F.col(f"{end}_kind").alias("kind"), F.col(f"{end}_name").alias("name")) for end in ("src", "tgt")]
     edge = F.struct(
         F.col("edge_type").alias("type"), node("src_kind", "src_name").alias("src"), node("tgt_kind", "tgt_name").alias("tgt")

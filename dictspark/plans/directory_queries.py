@@ -89,7 +89,7 @@ _PARAMETER_TEXT = row_text_sql("name", "text", "type", "length", "decimals", '"d
 
 @query(
     "describe_function_nested",
-    f"WITH p AS (SELECT *, {part_sql('function', _PARAMETER_TEXT, SIGNATURE_ROWS)} AS part FROM ({plain(PARAMETERS)})) "
+    f"WITH p AS (SELECT *, {part_sql('function', _PARAMETER_TEXT, SIGNATURE_ROWS)} AS part FROM (SELECT DISTINCT * FROM ({plain(PARAMETERS)}))) "
     "SELECT function, CAST(part AS BIGINT) AS part, count(*) FILTER (WHERE direction = 'import') AS imports, count(*) FILTER (WHERE direction = 'tables') AS tables, "
     "coalesce(string_agg(pos || ':' || name || ':' || text, ';' ORDER BY pos, name, text, type, length) FILTER (WHERE direction = 'export'), '') AS exports FROM p GROUP BY function, part",
 )
@@ -317,7 +317,7 @@ def odp_show(spark, sf_dir):
 @query(
     "odp_describe",
     f"WITH s AS (SELECT * FROM ({plain(SOURCES)}) WHERE context = 'ABAP_CDS'), f AS (SELECT technical_name, count(*) AS fields, string_agg(pos || field, ',' ORDER BY pos, field, type) AS names "
-    f"FROM ({plain(SOURCE_FIELDS)}) GROUP BY 1), t AS (SELECT technical_name, string_agg(text, ',' ORDER BY language) AS texts FROM ({plain(SOURCE_TEXTS)}) GROUP BY 1) "
+    f"FROM (SELECT DISTINCT * FROM ({plain(SOURCE_FIELDS)})) GROUP BY 1), t AS (SELECT technical_name, string_agg(text, ',' ORDER BY language) AS texts FROM ({plain(SOURCE_TEXTS)}) GROUP BY 1) "
     "SELECT technical_name, s.text, supports_delta, fields, names, t.texts FROM s LEFT JOIN f USING (technical_name) LEFT JOIN t USING (technical_name)",
 )
 def odp_describe(spark, sf_dir):

@@ -110,7 +110,7 @@ _EDGE_TEXT = row_text_sql(*L.EDGE_COLUMNS)
 )
 def lineage_graph_json(spark, sf_dir):
     scoped = orders(spark, sf_dir).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    edges = L.edges_of(scoped, "DATA", ("CUSTOMER", F.col("o_custkey")), ("ORDER", F.col("o_orderkey")), keep=[F.col("c_nationkey").alias("scope")]).distinct()
+    edges = L.edges_of(scoped, "DATA", ("CUSTOMER", F.col("o_custkey")), ("ORDER", F.col("o_orderkey")), keep=[F.col("c_nationkey").alias("scope")])
     documents = L.graph_json(edges, ["scope"], DOCUMENT_EDGES)
 
     def held(part: str):

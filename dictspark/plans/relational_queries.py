@@ -314,11 +314,11 @@ def snapshot_pair(spark, sf_dir):
 
 @query(
     "reconcile_except_all",
-    f"{PAIR} SELECT *, 'extra' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'missing' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)",
+    f"{PAIR} SELECT *, 'extra' AS side, count(*) AS n FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL "
+    "UNION ALL SELECT *, 'missing', count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL",
 )
 def reconcile_except_all(spark, sf_dir):
-    rows = except_all(*snapshot_pair(spark, sf_dir))
-    return rows.select(F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))), *[c for c in rows.columns if c != "n"]).drop("col")
+    return except_all(*snapshot_pair(spark, sf_dir))
 
 
 @query(
