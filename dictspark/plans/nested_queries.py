@@ -8,19 +8,26 @@ from pyspark.sql import types as T
 from ..functions.jsonrows import rows_from_json, rows_to_json, value_to_json
 from ..functions.nested import drop_unsupported, get_at, list_append, list_remove_at, list_remove_value, set_at, unzip_rows, zip_columns
 from ..operators.arguments import EXPORT, TABLES, Parameter, shape_arguments
+from ..operators.bounded import PART, split_groups
 from ..operators.paths import select_path, unnest_recursive
 from ..session import spread
 from .inputs import orders
-from .registry import query, table
+from .registry import part_sql, query, row_text_sql, table
 
 TURNS_PER_ROW = 1000
+_TURN_TEXT = row_text_sql("turn", "role", "text")
+# conversations with the list they are nested into and their place in it
+PLACED = (
+    "(SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) AS place "
+    f"FROM (SELECT *, {part_sql('conv_id', _TURN_TEXT, TURNS_PER_ROW)} AS part FROM conversations))"
+)
 
 
 def nested_turns(spark, sf_dir):
-    """Conversations as (conv_id, chunk, turns); a long one takes several rows of bounded size."""
+    """Conversations as (conv_id, part, turns); a long one takes several rows of bounded size."""
     turn = F.struct(F.col("turn"), F.struct(F.col("role"), F.col("text")).alias("said"))
-    chunk = F.floor(F.col("turn") / TURNS_PER_ROW).alias("chunk")
-    return table(spark, sf_dir, "conversations").groupBy("conv_id", chunk).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    parted = split_groups(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], TURNS_PER_ROW)
+    return parted.groupBy("conv_id", PART).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
 
 @query("path_struct", "SELECT o_custkey, o_orderstatus FROM orders")
@@ -46,9 +53,9 @@ def path_empty_ok(spark, sf_dir):
     return select_path(empty, "/RESULT").groupBy("ok").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("pointer_get", "SELECT conv_id, role AS first_role, text AS first_text FROM conversations WHERE turn = 0")
+@query("pointer_get", f"SELECT conv_id, role AS first_role, text AS first_text FROM {PLACED} WHERE place = 1")
 def pointer_get(spark, sf_dir):
-    nested = nested_turns(spark, sf_dir).where(F.col("chunk") == 0)
+    nested = nested_turns(spark, sf_dir)
     kind = nested.schema["turns"].dataType
     return nested.select(
         "conv_id",
@@ -57,31 +64,30 @@ def pointer_get(spark, sf_dir):
     )
 
 
-@query("pointer_set", "SELECT conv_id, turn, CASE WHEN turn = 0 THEN 'opener' ELSE role END AS role, text FROM conversations")
+@query("pointer_set", f"SELECT conv_id, turn, CASE WHEN place = 1 THEN 'opener' ELSE role END AS role, text FROM {PLACED}")
 def pointer_set(spark, sf_dir):
     nested = nested_turns(spark, sf_dir)
     edited = set_at(F.col("turns"), nested.schema["turns"].dataType, "/0/said/role", F.lit("opener"))
-    turns = nested.select("conv_id", F.inline(F.when(F.col("chunk") == 0, edited).otherwise(F.col("turns"))))
+    turns = nested.select("conv_id", F.inline(edited))
     return turns.select("conv_id", "turn", "said.role", "said.text")
 
 
-@query("list_append", "SELECT conv_id, turn FROM conversations UNION ALL SELECT DISTINCT conv_id, 999 FROM conversations")
+@query("list_append", f"SELECT conv_id, turn FROM conversations UNION ALL SELECT conv_id, -1 FROM {PLACED} WHERE place = 1")
 def append_turn(spark, sf_dir):
-    nested = nested_turns(spark, sf_dir).where(F.col("chunk") == 0).select("conv_id", F.transform("turns", lambda t: t.getField("turn")).alias("turns"))
-    longer = list_append(F.col("turns"), nested.schema["turns"].dataType, F.lit("999"))
+    nested = nested_turns(spark, sf_dir).select("conv_id", F.transform("turns", lambda t: t.getField("turn")).alias("turns"))
+    longer = list_append(F.col("turns"), nested.schema["turns"].dataType, F.lit("-1"))
     return nested.select("conv_id", F.explode(longer).alias("turn"))
 
 
 @query(
     "list_remove",
-    "SELECT conv_id, 'value' AS way, role FROM conversations WHERE role <> 'user' UNION ALL SELECT conv_id, 'position', role FROM conversations WHERE turn <> 1",
+    f"SELECT conv_id, 'value' AS way, role FROM conversations WHERE role <> 'user' UNION ALL SELECT conv_id, 'position', role FROM {PLACED} WHERE place <> 2",
 )
 def remove_turns(spark, sf_dir):
-    nested = nested_turns(spark, sf_dir).select("conv_id", "chunk", F.transform("turns", lambda t: t.getField("said").getField("role")).alias("roles"))
+    nested = nested_turns(spark, sf_dir).select("conv_id", F.transform("turns", lambda t: t.getField("said").getField("role")).alias("roles"))
     kind = nested.schema["roles"].dataType
     by_value = nested.select("conv_id", F.lit("value").alias("way"), F.explode(list_remove_value(F.col("roles"), kind, F.lit("user"))).alias("role"))
-    second = F.when(F.col("chunk") == 0, list_remove_at(F.col("roles"), 1)).otherwise(F.col("roles"))
-    by_position = nested.select("conv_id", F.lit("position").alias("way"), F.explode(second).alias("role"))
+    by_position = nested.select("conv_id", F.lit("position").alias("way"), F.explode(list_remove_at(F.col("roles"), 1)).alias("role"))
     return by_value.unionByName(by_position)
 
 
@@ -99,19 +105,19 @@ def zip_turns(spark, sf_dir):
 
 @query(
     "unzip_rows",
-    "SELECT conv_id, chunk, CAST(list_sum(list(turn)) AS BIGINT) AS turns, string_agg(role, ',' ORDER BY turn) AS roles "
-    "FROM (SELECT *, turn // 1000 AS chunk FROM conversations) GROUP BY conv_id, chunk",
+    "SELECT conv_id, CAST(part AS BIGINT) AS part, CAST(sum(turn) AS BIGINT) AS turns, string_agg(role, ',' ORDER BY place) AS roles "
+    f"FROM {PLACED} GROUP BY conv_id, part",
 )
 def unzip_turns(spark, sf_dir):
     nested = nested_turns(spark, sf_dir).select(
-        "conv_id", "chunk", F.transform("turns", lambda t: F.struct(t.getField("turn").alias("turn"), t.getField("said").getField("role").alias("role"))).alias("turns")
+        "conv_id", PART, F.transform("turns", lambda t: F.struct(t.getField("turn").alias("turn"), t.getField("said").getField("role").alias("role"))).alias("turns")
     )
-    lists = nested.select("conv_id", "chunk", unzip_rows(F.col("turns"), nested.schema["turns"].dataType).alias("c"))
+    lists = nested.select("conv_id", PART, unzip_rows(F.col("turns"), nested.schema["turns"].dataType).alias("c"))
     total = F.aggregate("c.turn", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    return lists.select("conv_id", "chunk", total.alias("turns"), F.array_join("c.role", ",").alias("roles"))
+    return lists.select("conv_id", PART, total.alias("turns"), F.array_join("c.role", ",").alias("roles"))
 
 
-@query("unnest_recursive", "SELECT conv_id, turn // 1000 AS chunk, turn, role, text FROM conversations")
+@query("unnest_recursive", f"SELECT conv_id, CAST(part AS BIGINT) AS part, turn, role, text FROM {PLACED}")
 def unnest_turns(spark, sf_dir):
     return unnest_recursive(nested_turns(spark, sf_dir), "turns")
 
