@@ -287,8 +287,7 @@ class Cube:
             for i, (_, cond, m) in enumerate(leaves)
         ]
         base = data.groupBy(*[F.col(s).cast("string").alias(f"_k{i}") for i, s in enumerate(sources)]).agg(*facts)
-        base = base.withColumns({f"_l{i}": F.lit(0) for i in range(len(sources))})
-        with_totals = self._with_totals(base, leaves, grand_total)
+        with_totals = self._with_totals(base, leaves, grand_total).withColumns({f"_l{i}": F.lit(0) for i in range(len(sources))})
         with_nodes = self._with_nodes(with_totals, leaves)
         shown = self._displayed(with_nodes)
         ordered = self._sorted(shown)
@@ -307,12 +306,11 @@ class Cube:
         levels = [n for n in range(1, len(keys)) if self.property(self.row_axis[n], "TOTALS") == "SHOW"]
         if grand_total and keys:
             levels.append(0)
-        out = base.withColumn("_g", F.lit(0))
         if not levels:
-            return out
-        sets = base.groupingSets([[F.col(k) for k in keys[:n]] for n in levels], *keys).agg(F.grouping_id().alias("_id"), *self._merge(leaves))
-        summed = sets.withColumn("_g", F.length(F.translate(F.bin("_id"), "0", ""))).drop("_id")
-        return out.unionByName(summed.withColumns({f"_l{i}": F.lit(0) for i in range(len(keys))}))
+            return base.withColumn("_g", F.lit(0))
+        sets = [[F.col(k) for k in keys[:n]] for n in (*levels, len(keys))]
+        summed = base.groupingSets(sets, *keys).agg(F.grouping_id().alias("_id"), *self._merge(leaves))
+        return summed.withColumn("_g", F.length(F.translate(F.bin("_id"), "0", ""))).drop("_id")
 
     def _with_nodes(self, rows: DataFrame, leaves) -> DataFrame:
         """Replace members by the hierarchy nodes at and above them, with the node's level."""
