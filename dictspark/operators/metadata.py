@@ -81,21 +81,24 @@ def transform_fields(rules: DataFrame) -> DataFrame:
     """
     keys = ["transformation", "rule"]
     is_source, is_target = F.col("paramtype") == SOURCE_PARAMETER, F.col("paramtype") == TARGET_PARAMETER
-    best = rules.groupBy(*keys).agg(F.min("version").alias("version"))
-    chosen = rules.join(best, [*keys, "version"], "left_semi").select(*keys, "paramtype", "field").distinct()
-    sides = chosen.groupBy(*keys).agg(
+    rows = rules.select(*keys, "version", "paramtype", "field").distinct()
+    sides = rows.groupBy(*keys, "version").agg(
         F.count_if(is_source).alias("_sources"),
         F.count_if(is_target).alias("_targets"),
         F.max(F.when(is_source, F.col("field"))).alias("_source"),
         F.max(F.when(is_target, F.col("field"))).alias("_target"),
     )
+    best = prefer_active(sides, keys)
     one_source, one_target = F.col("_sources") == 1, F.col("_targets") == 1
     shown = (is_source & ~(one_source & (F.col("_targets") > 1))) | (is_target & (~one_target | (F.col("_sources") == 0)))
-    rows = chosen.join(sides, keys).where(shown)
-    return rows.select(
-        *keys,
-        F.when(is_source, F.col("field")).when(one_source, F.col("_source")).alias("source_field"),
-        F.when(is_target, F.col("field")).when(one_target, F.col("_target")).alias("target_field"),
+    return (
+        rows.join(best, [*keys, "version"])
+        .where(shown)
+        .select(
+            *keys,
+            F.when(is_source, F.col("field")).when(one_source, F.col("_source")).alias("source_field"),
+            F.when(is_target, F.col("field")).when(one_target, F.col("_target")).alias("target_field"),
+        )
     )
 
 

@@ -12,12 +12,22 @@ from ..functions.encode import encode_cell
 from ..functions.sqltext import name
 from ..functions.types import Field, data_fields
 from .dictionary import as_fields
-from .layouts import DEFAULT_DELIMITER, bucket_for, checked_line, join_cells, layout_named, split_line, split_pattern
+from .layouts import DEFAULT_DELIMITER, bucket_for, checked_line, chunk_line, join_cells, layout_named, split_pattern
 
 LINE = "line"
 PARTS = "_parts"
 
 
+def _located(lines: DataFrame, fields: Sequence[Field], layout: str, delimiter: str, line: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Lines with their parts, the columns to keep, and where each field's cell is (SQL text)."""
+    keep = [name(c) for c in lines.columns if c != line]
+    if layout_named(layout).delimited:
+        parts = F.split(F.col(line), split_pattern(delimiter), -1)
+        return lines.withColumn(PARTS, parts), keep, [f"get({PARTS}, {i})" for i in range(len(fields))]
+    pieces, cells = chunk_line(fields, name(line))
+    return lines.selectExpr(*keep, *pieces), keep, cells
+
+
 def split_extract(
     lines: DataFrame,
     fields: DataFrame | Sequence[Field],
@@ -27,14 +37,8 @@ def split_extract(
 ) -> DataFrame:
     """Lines → one text column per field, other columns kept."""
     fields = data_fields(as_fields(fields))
-    shape = layout_named(layout)
-    keep = [name(c) for c in lines.columns if c != line]
-    source = name(line)
-    if shape.delimited:
-        lines = lines.withColumn(PARTS, F.split(F.col(line), split_pattern(delimiter), -1))
-        source = PARTS
-    cells = split_line(fields, shape, source)
-    return lines.selectExpr(*keep, *[f"{cell} AS {name(f.name)}" for cell, f in zip(cells, fields)])
+    located, keep, cells = _located(lines, fields, layout, delimiter, line)
+    return located.selectExpr(*keep, *[f"{cell} AS {name(f.name)}" for cell, f in zip(cells, fields)])
 
 
 def decode_cells(cells: DataFrame, fields: DataFrame | Sequence[Field], strict: bool = False, initial_time_is_null: bool = True) -> DataFrame:
@@ -59,8 +63,12 @@ def decode_extract(
     line: str = LINE,
 ) -> DataFrame:
     """Lines → typed DataFrame. One narrow projection: no shuffle, no Python."""
-    fields = as_fields(fields)
-    return decode_cells(split_extract(lines, fields, layout, delimiter, line), fields, strict, initial_time_is_null)
+    fields = data_fields(as_fields(fields))
+    if not layout_named(layout).delimited:
+        return decode_cells(split_extract(lines, fields, layout, delimiter, line), fields, strict, initial_time_is_null)
+    located, keep, cells = _located(lines, fields, layout, delimiter, line)
+    typed = [f"{decode_cell(cell, f, strict, initial_time_is_null)} AS {name(f.name)}" for cell, f in zip(cells, fields)]
+    return located.selectExpr(*keep, *typed)
 
 
 def encode_extract(

@@ -18,6 +18,8 @@ BUCKETS = (128, 512, 2048, 8192, 30000)
 PLAIN_ROW = 512
 DEFAULT_DELIMITER = "~"
 
+CHUNK = 20
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -58,12 +60,20 @@ def bucket_for(width: Column) -> Column:
     return size
 
 
-def split_line(fields: Sequence[Field], layout: Layout, line: str) -> list[str]:
-    """SQL text of every field's cell; for delimited layouts ``line`` holds the split parts."""
-    if layout.delimited:
-        return [f"get({line}, {i})" for i in range(len(fields))]
-    widths = [cell_width(f) for f in fields]
-    return [f"substring({line}, {start}, {width})" for start, width in zip(accumulate(widths, initial=1), widths)]
+def chunk_line(fields: Sequence[Field], line: str) -> tuple[list[str], list[str]]:
+    """SQL text that cuts a fixed-width line in two steps: pieces of the line, cells of the pieces.
+
+    Finding a character position means reading the line up to it. Cutting pieces of
+    :data:`CHUNK` cells first keeps that short for the later cells of a wide line.
+    """
+    pieces, cells, start = [], [], 1
+    for at in range(0, len(fields), CHUNK):
+        widths = [cell_width(f) for f in fields[at : at + CHUNK]]
+        piece = f"_piece_{len(pieces)}"
+        pieces.append(f"substring({line}, {start}, {sum(widths)}) AS {piece}")
+        cells += [f"substring({piece}, {first}, {width})" for first, width in zip(accumulate(widths, initial=1), widths)]
+        start += sum(widths)
+    return pieces, cells
 
 
 def split_pattern(delimiter: str) -> str:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.types import Field
+from .dictionary import as_fields
 from .extract import LINE, decode_extract
 from .layouts import DEFAULT_DELIMITER
 
+KEPT = "_line"
+LINES_PER_TASK = 1000
+
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     """Unknown columns are an error while planning, naming what exists."""
@@ -49,6 +53,18 @@ def shape_scan(
     return df
 
 
+def _first_lines(lines: DataFrame, decode: Callable[[DataFrame], DataFrame], max_rows: int, sorted_by_key: Sequence[str]) -> DataFrame:
+    """The lines a limit keeps, chosen before any cell but the keys is decoded."""
+    if sorted_by_key:
+        keyed = decode(lines.withColumn(KEPT, F.col(LINE)))
+        require_columns(keyed, sorted_by_key)
+        lines = keyed.select(KEPT, *sorted_by_key).orderBy(*sorted_by_key).limit(max_rows).select(F.col(KEPT).alias(LINE))
+    else:
+        lines = lines.limit(max_rows)
+    # a limit leaves one partition; many lines are decoded by all cores
+    return lines.repartition(lines.sparkSession.sparkContext.defaultParallelism) if max_rows > LINES_PER_TASK else lines
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -64,9 +80,16 @@ def read_table(
 ) -> DataFrame:
     """One dictionary table: parquet files, or text lines when a ``layout`` is given."""
     if layout is None:
-        df = spark.read.parquet(path)
-    else:
-        if fields is None:
-            raise ValueError("a text extract needs its dictionary fields")
-        df = decode_extract(spark.read.text(path).withColumnRenamed("value", LINE), fields, layout, delimiter, strict)
-    return shape_scan(df, columns, filter, max_rows, threads, sorted_by_key)
+        return shape_scan(spark.read.parquet(path), columns, filter, max_rows, threads, sorted_by_key)
+    if fields is None:
+        raise ValueError("a text extract needs its dictionary fields")
+    known = as_fields(fields)
+
+    def decode(lines: DataFrame) -> DataFrame:
+        return decode_extract(lines, known, layout, delimiter, strict)
+
+    lines = spark.read.text(path).withColumnRenamed("value", LINE)
+    if max_rows > 0 and filter is None:
+        lines = _first_lines(lines, decode, max_rows, sorted_by_key)
+        return shape_scan(decode(lines), columns, threads=threads, sorted_by_key=sorted_by_key)
+    return shape_scan(decode(lines), columns, filter, max_rows, threads, sorted_by_key)
