@@ -133,7 +133,9 @@ class Cube:
         if variant is not None:
             if variants is None:
                 raise ValueError("a variant needs the table of saved variants")
-            saved = variants.where(F.col("VARIANT") == variant).limit(MAX_LEAVES).collect()
+            saved = variants.where(F.col("VARIANT") == variant).limit(MAX_LEAVES + 1).collect()
+            if len(saved) > MAX_LEAVES:
+                raise ValueError(f"variant {variant!r} has more than {MAX_LEAVES} values")
             if not saved:
                 raise ValueError(f"variant {variant!r} is not saved")
             given = {v.get("NAME") for v in values}

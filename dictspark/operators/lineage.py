@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from .bounded import PART, split_groups
 
 # Columns of an edge.
 EDGE_COLUMNS = ("edge_type", "src_kind", "src_name", "src_field", "tgt_kind", "tgt_name", "tgt_field")
-MAX_DEPTH = 1000
+MERGE_ROUNDS = 20
 
 
 def edges_of(
@@ -39,6 +40,35 @@ def edges_of(
     )
 
 
+def transform_edges(transformations: DataFrame, mappings: DataFrame) -> DataFrame:
+    """Field edges of transformations (``transformation, source, target``) and their field mappings.
+
+    A mapping of one field to one is an edge. The fields of a rule with several on both sides meet
+    in a node of the rule, so its edges are as many as its fields.
+    """
+    rows = mappings.join(transformations.select("transformation", "source", "target"), "transformation")
+    source, target = ("DATASOURCE", F.col("source")), ("PROVIDER", F.col("target"))
+    rule, rule_field = ("TRANSFORMATION", F.col("transformation")), F.col("rule").cast("string")
+    source_field, target_field = F.col("source_field"), F.col("target_field")
+    paired = edges_of(rows.where(source_field.isNotNull() & target_field.isNotNull()), "MAPPING", source, target, (source_field, target_field))
+    into = edges_of(rows.where(target_field.isNull()), "MAPPING", source, rule, (source_field, rule_field))
+    out = edges_of(rows.where(source_field.isNull()), "MAPPING", rule, target, (rule_field, target_field))
+    return paired.unionByName(into).unionByName(out)
+
+
+def xref_edges(xref: DataFrame) -> DataFrame:
+    """Object edges of a cross reference (``object_type, object, used_type, used``): what is used comes first."""
+    return xref.select(
+        F.lit("USES").alias("edge_type"),
+        F.col("used_type").alias("src_kind"),
+        F.col("used").alias("src_name"),
+        F.lit("").alias("src_field"),
+        F.col("object_type").alias("tgt_kind"),
+        F.col("object").alias("tgt_name"),
+        F.lit("").alias("tgt_field"),
+    )
+
+
 def lineage_edges(mappings: Sequence[DataFrame], scope: str | None = None) -> DataFrame:
     """All distinct edges of several mappings, or those that touch names matching ``scope``."""
     edges = reduce(DataFrame.unionByName, mappings)
@@ -77,12 +107,16 @@ def trace(arcs: DataFrame, start: DataFrame, direction: str = "down", max_depth:
     arcs = cut_lineage(arcs.select(F.col(near).alias("near"), F.col(far).alias("far")).distinct())
     frontier = cut_lineage(start.select(F.col("node").cast("string").alias("node")).distinct().withColumn("depth", F.lit(0)))
     seen = frontier
-    for depth in range(1, (max_depth if max_depth is not None else MAX_DEPTH) + 1):
+    for depth in count(1):
+        if max_depth is not None and depth > max_depth:
+            break
         reached = arcs.join(frontier, F.col("near") == F.col("node"), "left_semi").select(F.col("far").alias("node")).distinct()
         frontier = cut_lineage(reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier)
+        if depth % MERGE_ROUNDS == 0:
+            seen = cut_lineage(seen)
     return seen
 
 

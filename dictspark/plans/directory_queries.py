@@ -339,10 +339,31 @@ def odp_describe(spark, sf_dir):
 
 @query("sql_table_function", f"{SHOWN} AND table_name LIKE 'STANDARD%'")
 def sql_table_function(spark, sf_dir):
-    register_searches(spark, fixture(spark, sf_dir, TABLE_ENTRIES), fixture(spark, sf_dir, FIELD_ENTRIES))
+    register_searches(spark, tables=fixture(spark, sf_dir, TABLE_ENTRIES))
     return spark.sql("SELECT * FROM show_tables('STANDARD*', '*')")
 
 
+@query(
+    "sql_function_search",
+    f"SELECT name, \"group\", text FROM ({plain(FUNCTIONS)}) WHERE name LIKE '%widget%' AND \"group\" IN (SELECT \"group\" FROM ({plain(FUNCTIONS)}) WHERE \"group\" LIKE 'Brand#1_')",
+)
+def sql_function_search(spark, sf_dir):
+    register_searches(spark, functions=fixture(spark, sf_dir, FUNCTIONS_SPARK))
+    return spark.sql("SELECT f.* FROM show_functions('*widget*', '*') f JOIN show_groups('Brand#1?') g ON f.`group` = g.name")
+
+
+@query("sql_object_search", f"SELECT technical_name, text, type, cube_name FROM ({plain(OBJECTS)}) WHERE type = 'QUERY' AND technical_name LIKE '%/1_'")
+def sql_object_search(spark, sf_dir):
+    register_searches(spark, objects=fixture(spark, sf_dir, OBJECTS))
+    return spark.sql("SELECT * FROM show_objects('QUERY', '*/1?')")
+
+
+@query("sql_describe_fields", f"SELECT pos, field, sap_type FROM ({plain(FIELD_ENTRIES)}) WHERE table_name = 'T5' AND language = 'E'")
+def sql_describe_fields(spark, sf_dir):
+    register_searches(spark, fields=fixture(spark, sf_dir, FIELD_ENTRIES))
+    return spark.sql("SELECT pos, field, sap_type FROM describe_fields('T5')")
+
+
 @query(
     "list_variables",
     "SELECT 'Z' || upper(name) AS name, members FROM (SELECT 'segment' AS name, count(DISTINCT c_mktsegment) AS members FROM customer UNION ALL SELECT 'nation', count(DISTINCT c_nationkey) FROM customer)",

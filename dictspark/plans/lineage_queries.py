@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import lineage as L
+from ..operators.metadata import transform_fields
 from .inputs import lineitem, orders
 from .registry import part_sql, query, row_text_sql, table
 
@@ -72,6 +73,32 @@ def lineage_edges_scoped(spark, sf_dir):
     return L.lineage_edges(object_edges(spark, sf_dir) + field_edges(spark, sf_dir), scope="1?")
 
 
+# the rules of a transformation: sources have even, targets odd line numbers
+MAPPED = (
+    "WITH r AS (SELECT DISTINCT l_orderkey AS rule, l_linenumber % 2 AS side, 'F' || l_partkey AS f FROM lineitem), "
+    "s AS (SELECT rule, count(*) FILTER (WHERE side = 0) AS ns, count(*) FILTER (WHERE side = 1) AS nt FROM r GROUP BY rule), "
+    "x AS (SELECT 'T' || o_orderkey AS t, 'DS' || o_custkey AS source, 'P' || (o_orderkey % 100) AS target, CAST(o_orderkey AS VARCHAR) AS rule_field, ns, nt, o_orderkey AS rule "
+    "FROM orders JOIN s ON rule = o_orderkey), a AS (SELECT rule, f FROM r WHERE side = 0), b AS (SELECT rule, f FROM r WHERE side = 1) "
+)
+MAPPED_EDGES = (
+    f"{MAPPED} SELECT 'MAPPING' AS edge_type, 'DATASOURCE' AS src_kind, source AS src_name, a.f AS src_field, 'PROVIDER' AS tgt_kind, target AS tgt_name, b.f AS tgt_field "
+    "FROM x JOIN a ON a.rule = x.rule JOIN b ON b.rule = x.rule WHERE ns = 1 OR nt = 1 "
+    "UNION ALL SELECT 'MAPPING', 'DATASOURCE', source, a.f, 'TRANSFORMATION', t, rule_field FROM x JOIN a ON a.rule = x.rule WHERE nt = 0 OR (ns > 1 AND nt > 1) "
+    "UNION ALL SELECT 'MAPPING', 'TRANSFORMATION', t, rule_field, 'PROVIDER', target, b.f FROM x JOIN b ON b.rule = x.rule WHERE ns = 0 OR (ns > 1 AND nt > 1) "
+    "UNION ALL SELECT DISTINCT 'USES', 'PART', CAST(l_partkey AS VARCHAR), '', 'ORDER', CAST(l_orderkey AS VARCHAR), '' FROM lineitem"
+)
+
+
+@query("lineage_edges_metadata", MAPPED_EDGES)
+def lineage_edges_metadata(spark, sf_dir):
+    """Edges from metadata: field mappings of transformations, and the cross reference of objects."""
+    items, placed = lineitem(spark, sf_dir), orders(spark, sf_dir)
+    rules = items.selectExpr("concat('T', l_orderkey) AS transformation", "l_orderkey AS rule", "l_linenumber % 2 AS paramtype", "concat('F', l_partkey) AS field", "'A' AS version")
+    transformations = placed.selectExpr("concat('T', o_orderkey) AS transformation", "concat('DS', o_custkey) AS source", "concat('P', o_orderkey % 100) AS target")
+    xref = items.selectExpr("'ORDER' AS object_type", "CAST(l_orderkey AS STRING) AS object", "'PART' AS used_type", "CAST(l_partkey AS STRING) AS used")
+    return L.lineage_edges([L.transform_edges(transformations, transform_fields(rules)), L.xref_edges(xref)])
+
+
 @query("lineage_trace_down", _trace_sql(CYCLE, "CUSTOMER:1", "src", "tgt", 8))
 def lineage_trace_down(spark, sf_dir):
     return L.lineage_trace(cyclic_edges(spark, sf_dir), "CUSTOMER:1", "down", 8)

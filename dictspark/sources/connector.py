@@ -8,8 +8,10 @@ source splits lines into cells; typing them is left to Catalyst expressions, whi
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
@@ -50,6 +52,9 @@ def read_extract(spark: SparkSession, path: str, layout: str = "delimited", deli
 
 
 def register(spark: SparkSession) -> None:
+    """Make the format known to a session. The source travels to the executors with its code, so
+    the package need not be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__.partition(".")[0]])
     spark.conf.set(PUSHDOWN_CONF, "true")
     spark.dataSource.register(DictExtractSource)
 

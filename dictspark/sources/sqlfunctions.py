@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .dictionary import FIELD_COLUMNS, TABLE_CLASSES, TEXT_LANGUAGE
@@ -10,22 +13,60 @@ from .dictionary import FIELD_COLUMNS, TABLE_CLASSES, TEXT_LANGUAGE
 LIKE_OF = r"replace(replace(replace(replace({0}, '\\', '\\\\'), '_', '\\_'), '*', '%'), '?', '_')"
 
 
-def register_searches(spark: SparkSession, tables: DataFrame, fields: DataFrame) -> None:
-    """``show_tables(tablename, text)`` and ``describe_fields(table)`` for ``SELECT ... FROM``."""
-    tables.createOrReplaceTempView("dictionary_tables")
-    fields.createOrReplaceTempView("dictionary_fields")
-    classes = ", ".join(f"'{c}'" for c in TABLE_CLASSES)
-    name_like, text_like = (LIKE_OF.format(p) for p in ("show_tables.tablename", "show_tables.pattern"))
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION show_tables(tablename STRING, pattern STRING)
-        RETURNS TABLE (table_name STRING, text STRING, class STRING)
-        RETURN SELECT t.table_name, t.text, t.class FROM dictionary_tables t
-        WHERE t.language = '{TEXT_LANGUAGE}' AND t.class IN ({classes}) AND t.table_name LIKE {name_like} AND t.text LIKE {text_like}"""
-    )
-    columns = ", ".join(f"f.{c}" for c in FIELD_COLUMNS)
-    types = ", ".join(f"{c} {'INT' if c in ('pos', 'length', 'decimals') else 'STRING'}" for c in FIELD_COLUMNS)
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION describe_fields(name STRING)
-        RETURNS TABLE ({types})
-        RETURN SELECT {columns} FROM dictionary_fields f WHERE f.table_name = describe_fields.name AND f.language = '{TEXT_LANGUAGE}'"""
-    )
+@dataclass(frozen=True)
+class Search:
+    """A table function: the extract it reads, its parameters, result columns, and filter."""
+
+    extract: str
+    parameters: tuple[str, ...]
+    columns: Mapping[str, str]
+    where: str
+    types: Mapping[str, str] | None = None
+    distinct: bool = False
+
+    def sql(self, name: str) -> str:
+        types = self.types or {}
+        returns = ", ".join(f"`{c}` {types.get(c, 'STRING')}" for c in self.columns)
+        shown = ", ".join(f"{source} AS `{c}`" for c, source in self.columns.items())
+        where = self.where
+        for parameter in self.parameters:
+            where = where.replace(f"LIKE :{parameter}", "LIKE " + LIKE_OF.format(f"{name}.{parameter}")).replace(f":{parameter}", f"{name}.{parameter}")
+        return (
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({', '.join(f'{p} STRING' for p in self.parameters)}) RETURNS TABLE ({returns}) "
+            f"RETURN SELECT {'DISTINCT ' if self.distinct else ''}{shown} FROM dictionary_{self.extract} t WHERE {where}"
+        )
+
+
+def _same(*columns: str) -> dict[str, str]:
+    return {c: f"t.`{c}`" for c in columns}
+
+
+CLASSES = ", ".join(f"'{c}'" for c in TABLE_CLASSES)
+SEARCHES = {
+    "show_tables": Search(
+        "tables",
+        ("tablename", "pattern"),
+        _same("table_name", "text", "class"),
+        f"t.language = '{TEXT_LANGUAGE}' AND t.class IN ({CLASSES}) AND t.table_name LIKE :tablename AND t.text LIKE :pattern",
+    ),
+    "describe_fields": Search(
+        "fields", ("name",), _same(*FIELD_COLUMNS), f"t.table_name = :name AND t.language = '{TEXT_LANGUAGE}'", {"pos": "INT", "length": "INT", "decimals": "INT"}
+    ),
+    "show_functions": Search("functions", ("funcname", "groupname"), _same("name", "group", "text"), "t.name LIKE :funcname AND t.`group` LIKE :groupname"),
+    "show_groups": Search("functions", ("groupname",), {"name": "t.`group`", "text": "t.group_text"}, "t.`group` LIKE :groupname", distinct=True),
+    "show_objects": Search("objects", ("obj_type", "search"), _same("technical_name", "text", "type", "cube_name"), "t.type = :obj_type AND t.technical_name LIKE :search"),
+    "show_hierarchies": Search("hierarchies", ("search",), _same("technical_name", "text", "version", "valid_to_date"), "t.technical_name LIKE :search"),
+    "describe_infoobject": Search(
+        "infoobjects", ("name",), _same("info_object", "data_type", "conv_exit", "length", "decimals"), "t.info_object = :name", {"length": "INT", "decimals": "INT"}
+    ),
+}
+
+
+def register_searches(spark: SparkSession, **extracts: DataFrame) -> list[str]:
+    """Create the table functions of the given extracts (``tables=``, ``fields=``, ...)."""
+    for extract, df in extracts.items():
+        df.createOrReplaceTempView(f"dictionary_{extract}")
+    made = [name for name, search in SEARCHES.items() if search.extract in extracts]
+    for name in made:
+        spark.sql(SEARCHES[name].sql(name))
+    return made
