@@ -27,9 +27,13 @@ def text_cell(cell: str) -> str:
 
 
 def packed_cell(cell: str, kind: str) -> str:
-    """Numbers; a trailing minus belongs in front."""
+    """Numbers; a trailing minus belongs in front.
+
+    Blank cells never reach the cast: parsing one as a decimal or a double costs an exception.
+    """
     digits = f"trim({before_nul(cell)})"
-    return f"try_cast(if(endswith({digits}, '-'), concat('-', rtrim(trim(TRAILING '-' FROM {digits}))), {digits}) AS {kind})"
+    signed = f"if(endswith({digits}, '-'), concat('-', rtrim(trim(TRAILING '-' FROM {digits}))), {digits})"
+    return f"if({digits} = '', NULL, try_cast({signed} AS {kind}))"
 
 
 def _day(digits: str) -> str:

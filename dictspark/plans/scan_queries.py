@@ -215,7 +215,7 @@ BLANKED = {"n": ("l_linenumber", 5, Field("n", "INT4")), "price": ("l_extendedpr
 )
 def decode_blank_numerics(spark, sf_dir):
     cells = [f"if(l_partkey % {modulus} = 0, '   ', {encode_cell(column, field)}) AS {out}" for out, (column, modulus, field) in BLANKED.items()]
-    rows = lineitem(spark, sf_dir).selectExpr("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", *cells)
+    rows = spread(lineitem(spark, sf_dir)).selectExpr("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", *cells)
     return decode_cells(rows, [field for _, _, field in BLANKED.values()])
 
 
@@ -261,7 +261,7 @@ NEVER_NULL = sorted((*D.TEXT_TYPES, *D.OPAQUE_TYPES))
 )
 def decode_type_map(spark, sf_dir):
     cells = {name: _type_cell(name) for name in TYPE_NAMES}
-    rows = orders(spark, sf_dir).selectExpr(*[f"if(o_orderkey % 7 = 0, '   ', {cell}) AS {name}" for name, (cell, _) in cells.items()])
+    rows = spread(orders(spark, sf_dir)).selectExpr(*[f"if(o_orderkey % 7 = 0, '   ', {cell}) AS {name}" for name, (cell, _) in cells.items()])
     decoded = decode_cells(rows, [field for _, field in cells.values()])
     nulls = [F.count_if(F.col(n).isNull()).alias(n) for n in TYPE_NAMES]
     counts = decoded.agg(F.count(F.lit(1)).alias("cells"), *nulls)

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# The JVM never compiles a method above this many bytes of code. A generated method that is larger,
+# as decoding many columns makes it, runs faster split into projections.
+JIT_LIMIT = "8000"
 
 
 def local_session(app: str = "dictspark", cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -19,6 +22,7 @@ def local_session(app: str = "dictspark", cores: str = "*", shuffle_partitions:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", JIT_LIMIT)
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
