@@ -29,11 +29,12 @@ def text_cell(cell: str) -> str:
 def packed_cell(cell: str, kind: str) -> str:
     """Numbers; a trailing minus belongs in front.
 
-    Blank cells never reach the cast: parsing one as a decimal or a double costs an exception.
+    A blank cell does not reach a cast to decimal or double, where parsing it costs an exception.
     """
     digits = f"trim({before_nul(cell)})"
     signed = f"if(endswith({digits}, '-'), concat('-', rtrim(trim(TRAILING '-' FROM {digits}))), {digits})"
-    return f"if({digits} = '', NULL, try_cast({signed} AS {kind}))"
+    value = f"try_cast({signed} AS {kind})"
+    return f"if({digits} = '', NULL, {value})" if kind.startswith(("decimal", "double")) else value
 
 
 def _day(digits: str) -> str:
