@@ -49,31 +49,34 @@ def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterat
         yield batch.slice(start, len(sizes) - start)
 
 
-def running(values: Column, initial: Column, step: Callable[[Column, Column], Column], size: Callable[[Column], Column], block: Column) -> Column:
-    """Give every element of ``values`` the sum of the sizes before it: ``step(element, offset)`` makes the result.
-
-    A plain fold appends to a growing array, which copies it each time and is quadratic. Here the array is cut
-    into blocks of ``block`` elements: offsets are folded within a block and over the blocks, so that a text of n spans
-    costs n times the square root of n when ``block`` is that root.
+def scan(
+    values: Column,
+    initial: Column,
+    advance: Callable[[Column, Column], Column],
+    step: Callable[[Column, Column], Column],
+    combine: Callable[[Column, Column], Column],
+    result: str,
+) -> Column:
+    """``step(value, state)`` of every element, the state being ``initial`` advanced by all elements before it.
+
+    ``result`` is the type of the steps; ``values`` should be a column, since it is named several times. States are longs; ``combine`` must be what ``advance`` does with a whole block (a sum for sums, the greater for maxima).
+    A plain fold appends to a growing array, which copies it each time and is quadratic. Here the array is cut into
+    blocks as long as the root of its length: states are folded within blocks and over blocks.
     """
-    empty = F.filter(F.transform(values, lambda v: step(v, F.lit(0).cast("long"))), lambda _: F.lit(False))
+    initial = initial.cast("long")
+    empty = F.array().cast(f"array<{result}>")
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values)))).cast("int")
     starts = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))).otherwise(F.array().cast("array<int>"))
-    blocks = F.transform(starts, lambda b: F.slice(values, (b * block + 1).cast("int"), block))
-    sums = F.transform(blocks, lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda acc, v: acc + size(v)))
-    bases = F.aggregate(sums, F.array(initial.cast("long")), lambda acc, s: F.concat(acc, F.array(F.element_at(acc, -1) + s)))
+    blocks = F.transform(starts, lambda b: F.slice(values, b * block + 1, block))
+    totals = F.transform(blocks, lambda part: F.aggregate(part, initial, advance))
+    bases = F.aggregate(totals, F.array(initial), lambda acc, t: F.concat(acc, F.array(combine(F.element_at(acc, -1), t))))
 
     def fold(part: Column, base: Column) -> Column:
-        state = F.struct(base.alias("at"), empty.alias("out"))
         done = F.aggregate(
             part,
-            state,
-            lambda acc, v: F.struct((acc["at"] + size(v)).alias("at"), F.concat(acc["out"], F.array(step(v, acc["at"]))).alias("out")),
+            F.struct(base.alias("at"), empty.alias("out")),
+            lambda acc, v: F.struct(advance(acc["at"], v).cast("long").alias("at"), F.concat(acc["out"], F.array(step(v, acc["at"]))).alias("out")),
         )
         return done["out"]
 
     return F.flatten(F.zip_with(blocks, F.slice(bases, 1, F.size(blocks)), fold))
-
-
-def root_block(values: Column) -> Column:
-    """The block size for :func:`running`: the square root of the number of elements, 1 at least."""
-    return F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values)))).cast("int")

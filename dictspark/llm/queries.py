@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, packing, pii, simhash, toxicity
 from .common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,7 +24,42 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = [kind.name for kind in pii.BASE]
+    found = pii.find(table(spark, sf_dir, "documents"))
+    own = found.select("doc_id", "spans", F.filter("spans", lambda s: s["kind"].isin(base)).alias("base"))
+
+    def count(name: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    counts = [count(name) for name in base]
+    return own.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 @query("op3_simhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, distance=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
