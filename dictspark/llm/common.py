@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ def held_out(doc_id: Column | str) -> Column:
 
 def slices(batch: pa.RecordBatch, text: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts (column number ``text``) add up to about ``limit`` bytes; one longer text is a part."""
-    sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and total + size > limit:

@@ -140,7 +140,7 @@ def matches(
     for width in sorted(r.width for r in items.select("width").distinct().collect()):  # 5 values at most
         own = seeds.where(F.col("width") == width)
         hashed = named.select("doc_id", "row_id", shingles_of(F.col("words"), width).alias("shingles"))
-        placed = hashed.select("doc_id", "row_id", "shingles", F.posexplode("shingles").alias("pos", "hash"))
+        placed = hashed.select("doc_id", "row_id", "shingles", F.posexplode_outer("shingles").alias("pos", "hash"))
         hits = placed.join(bounded(own), "hash")
         # of a run of shared shingles the first gives the window of all
         hits = hits.where((F.col("pos") == 0) | F.col("before").isNull() | (F.get("shingles", F.col("pos") - 1) != F.col("before")))
@@ -151,7 +151,7 @@ def matches(
     if found is None:
         none = "NULL AS width, NULL AS n_words, 0 AS start, CAST(array() AS array<long>) AS window"
         found = docs.limit(0).select(F.col(doc_id).alias("doc_id"), row.alias("row_id")).selectExpr("doc_id", "row_id", *none.split(", ", 3))
-    found = found.withColumn("simhash", simhash(F.col("window")))
+    found = cut(found.withColumn("simhash", simhash(F.col("window"))))  # windows only; the plan starts anew from them
     own_blocks = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("simhash"), b, blocks).alias("value")) for b in range(blocks)])
     met = found.select("*", F.explode(own_blocks).alias("own")).select("*", "own.block", "own.value").drop("own")
     probes = items.select("item", "width", "n_words", "item_simhash", F.explode(_probes(F.col("item_simhash"), within, blocks)).alias("probe"))
