@@ -17,7 +17,7 @@ from .common import slices
 MAX_LENGTH = 4096
 END_OF_DOCUMENT = 2
 #: Words and word parts whose ids a worker remembers; others are encoded again.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 BLOCK_CHARS = 1 << 20
 

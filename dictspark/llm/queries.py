@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, pii, simhash, toxicity
+from . import chat, decontaminate, embedding, packing, pii, quality, simhash, toxicity, urlfilter, warc
 from .common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,43 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+URL_RULES = [
+    urlfilter.Rule.of(verdict, text)
+    for verdict, text in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+]
+LISTED_HOST = "spam-farm."
+
+_OP1_SQL = f"""
+WITH parts AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+        list_sort(list_filter(string_split(coalesce(regexp_extract(url, '^.*?://[^?#]*\\?([^#]*)', 1, 's'), ''), '&'),
+            lambda p: p <> '' AND NOT regexp_matches(p, '^({"|".join(urlfilter.TRACKING)})(=|$)'))) AS kept
+    FROM pages),
+canonical AS (
+    SELECT page_id, host, path,
+        regexp_replace(host, ':(80|443)$', '') || regexp_replace(path, '/+$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS c
+    FROM parts),
+listed AS (SELECT DISTINCT c FROM canonical WHERE starts_with(host, '{LISTED_HOST}') AND c <> ''),
+rules(verdict, rule, rule_host, rule_path) AS (VALUES {", ".join(f"('{r.verdict}', '{r.text}', '{r.host}', '{r.path}')" for r in URL_RULES)})
+SELECT page_id, host, path,
+    (SELECT arg_max(rule, length(rule)) FROM rules WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
+    coalesce((SELECT arg_max(verdict, length(rule)) FROM rules WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+        CASE WHEN c IN (SELECT c FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM canonical
+"""
+
+
+@query("op1_url_filter", _OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the canonical URLs of all pages on hosts that are spam farms by name."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(urlfilter.host_of(F.col("url")).startswith(LISTED_HOST))
+    judged = urlfilter.filter_pages(pages, URL_RULES, listed)
+    return judged.select("page_id", *[F.col(f"url_{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
+
+
 @query("op2_pii")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [kind.name for kind in pii.BASE]
@@ -54,6 +91,48 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), threshold=0.7)
+
+
+_OP6_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
+@query("op6_warc", _OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_bundles(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_bundles(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP7_SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reached GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN least l ON l.a = e.vec_id
+"""
+
+
+@query("op7_embedding_near_dedup", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
@@ -63,3 +142,39 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+_ESCAPED = r"regexp_replace(replace(coalesce(text, ''), '\\', '\\\\'), '([<\[])(" + chat._CONTROL + r")', '\1\\\2', 'g')"
+_OP10_SQL = f"""
+WITH rows AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+beside AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text, length({_ESCAPED}) AS n,
+        lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 AS opens, lead(role) OVER w IS DISTINCT FROM role AS closes, row_number() OVER w = 1 AS first
+    FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(n + CASE WHEN first THEN 3 ELSE 0 END
+        + CASE WHEN NOT opens THEN 6 WHEN role = 'user' THEN 7 WHEN role = 'assistant' THEN 1 WHEN role = 'system' THEN 8 ELSE 14 + length(role) END
+        + CASE WHEN NOT closes THEN 0 WHEN role = 'user' THEN 8 WHEN role = 'assistant' THEN 5 WHEN role = 'system' THEN 9 ELSE 8 END) AS BIGINT) AS formatted_chars
+FROM beside GROUP BY conv_id
+"""
+
+
+@query("op10_chat_formatting", _OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.sql("SELECT -7L AS conv_id, CAST(t AS BIGINT) AS turn, r AS role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0, 'user'), (1, 'assistant') AS v(t, r)")
+    done = chat.formatted(rows.unionByName(planted))
+    read = done.select("conv_id", "formatted", chat.parsed(F.col("formatted")).alias("turns"), chat.under_mask(F.col("formatted"), F.col("loss")).alias("learnt"))
+    said = F.transform("turns", lambda t: F.concat(F.coalesce(t["role"], F.lit("")), F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"),
+        F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )

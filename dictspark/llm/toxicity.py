@@ -293,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     """Learn from at most ``max_toxic`` and ``max_clean`` labelled documents outside the held-out quarter, those of smallest id hash.
 
     The label is the only thing read of ``labels`` besides the id; null labels and ids are left out, and the share of toxic rows is
-    taken from all others. Without labelled rows, or with one class only, every score is that class's share (0 without labels).
+    taken from all others. Without labelled rows, or with one class only, every score is about that class's share (0 without labels).
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id)).select(F.col(doc_id).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -41,7 +41,7 @@ def test_finds_one_insult_in_a_long_text(model):
     assert auc(model.scores(texts), np.array(labels)) > 0.95
     clean = toy(400, seed=2)[0][1]
     long = " ".join([clean] * 20)
-    assert model.scores([long + " scumbag"])[0] >= 0.3 > model.scores([long])[0]
+    assert model.scores([long + " scumbag"])[0] >= 0.6 > model.scores([long])[0]
 
 
 def test_unseen_misspellings_score_higher(model):
@@ -81,7 +81,7 @@ def test_tables_with_nulls_and_repeats(spark):
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), marks)).count() == 0
-    assert toxicity.score(docs, toxicity.fit(docs, marks.limit(0))).where("score > 0").count() == 0
+    assert toxicity.score(docs, toxicity.fit(docs, marks.limit(0))).where("score > 0.01").count() == 0
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
