@@ -21,7 +21,7 @@ PASSAGE_WORDS = 12
 #: Longer texts are read in blocks of about so many bytes, cut at a space; passages begin anew in each.
 BLOCK_BYTES = 1 << 20
 #: Bounds of the labelled rows to learn from, by class.
-MAX_TOXIC, MAX_CLEAN = 1500, 3000
+MAX_TOXIC, MAX_CLEAN = 1200, 2000
 CLEAN_PASSAGES = 30
 EPOCHS = 12
 
