@@ -18,7 +18,7 @@ WORD_BITS, SHAPE_BITS = 14, 10
 DIMENSIONS, NONZERO = 32, 6
 #: Neighbours on each side that a word's vector is gathered from.
 WINDOW = 2
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Rows of the vector table that leave a task together.
 STRIPE = 1 << 9
 #: Bound of the labelled rows to learn from, for each class.

@@ -292,7 +292,8 @@ def keep_first(docs: DataFrame, width: int = 4, distance: int = 4, doc_id: str =
     marked = cut(fingerprints(docs, width, doc_id, text))
     found = cut(_components_of(marked, distance))
     keep = cut(marked.join(found, "fp").where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    stay = docs.join(keep.select(F.col("doc_id").alias(doc_id)), doc_id, "left_semi").select(*docs.columns)
+    # The kept ids grow with the input, so the join is a shuffle at every size; it builds on the ids and sorts no texts.
+    stay = docs.join(keep.select(F.col("doc_id").alias(doc_id)).hint("shuffle_hash"), doc_id, "left_semi").select(*docs.columns)
     if keep.where("n > 1").limit(1).count():
         stay = stay.dropDuplicates([doc_id])
     if marked.where("doc_id IS NULL").limit(1).count():

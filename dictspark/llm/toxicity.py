@@ -19,10 +19,11 @@ DIMENSIONS = 16
 #: Words of a passage. A document is as toxic as its most toxic passage, so a long text does not dilute a short insult.
 PASSAGE_WORDS = 12
 #: Longer texts are read in blocks of about so many bytes, cut at a space; passages begin anew in each.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Bounds of the labelled rows to learn from, by class.
-MAX_TOXIC, MAX_CLEAN = 1200, 2000
-CLEAN_PASSAGES = 30
+MAX_TOXIC, MAX_CLEAN = 1400, 2200
+#: Passages of one document to learn from, by class; the others of a longer one are left out at random.
+TOXIC_PASSAGES, CLEAN_PASSAGES = 120, 24
 EPOCHS = 12
 
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], np.uint32)
@@ -138,16 +139,18 @@ class Model:
         counts = np.maximum(np.bincount(passage, minlength=n), 1)
         return np.bincount(passage, weights=self.weight[ids], minlength=n) / counts + self.bias
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        out = np.full(len(texts), self.empty)
+    def margins(self, texts: list[str | None]) -> np.ndarray:
+        """The margin of each text's most toxic passage; minus infinity without words."""
+        top = np.full(len(texts), -np.inf)
         for at, to in _slices(texts):
             ids, passage, owner = _passages(texts[at:to])
             if len(owner):
-                top = np.full(to - at, -np.inf)
-                np.maximum.at(top, owner, self._margins(ids, passage, len(owner)))
-                seen = np.isfinite(top)
-                out[at:to][seen] = _sigmoid(self.slope * top[seen] + self.intercept)
-        return out
+                np.maximum.at(top[at:to], owner, self._margins(ids, passage, len(owner)))
+        return top
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        top = self.margins(texts)
+        return np.where(np.isfinite(top), _sigmoid(self.slope * np.where(np.isfinite(top), top, 0) + self.intercept), self.empty)
 
     def score(self, text: Column) -> Column:
         """The probability that a text is toxic, from all of its passages."""
@@ -202,16 +205,21 @@ class _Bags:
             ids.append(own[order])
             counts.append(np.bincount(passage, minlength=len(owner))[keep])
             owners.append(owner[keep] + at)
-        none = [np.zeros(0, np.int32)]
-        self.ids, self.counts, self.owner = (np.concatenate(x or none) for x in (ids, counts, owners))
+        none = np.zeros(0, np.int32)
+        self.counts, self.owner = np.concatenate([none, *counts]), np.concatenate([none, *owners])
+        self.ids, filled = np.zeros(sum(map(len, ids)), np.int32), 0
+        while ids:  # without a second copy of all
+            part = ids.pop(0)
+            self.ids[filled : filled + len(part)] = part
+            filled += len(part)
         self.starts = np.concatenate([[0], np.cumsum(self.counts)])
         self.first = np.searchsorted(self.owner, np.arange(len(texts) + 1))
         self.per_doc = np.maximum(np.diff(self.first), 1)
 
     def margins(self, weight: np.ndarray, bias: float) -> np.ndarray:
         out = np.zeros(len(self.owner))
-        for at in range(0, len(out), 50_000):
-            lengths = self.counts[at : at + 50_000]
+        for at in range(0, len(out), 10_000):
+            lengths = self.counts[at : at + 10_000]
             own = weight[self.ids[self.starts[at] : self.starts[at + len(lengths)]]]
             out[at : at + len(lengths)] = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=own, minlength=len(lengths))
         return out / np.maximum(self.counts, 1) + bias
@@ -228,7 +236,7 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
     A passage has no label of its own. In the first epochs the passages of a document share its label, later the passage
     of highest margin stands for a toxic document; in a clean one all passages are clean, the one of highest margin counting most. A
     fifth of the rows is kept back to turn margins into probabilities. The other toxic rows and as many clean ones are also shown
-    misspelt; of a long clean row a random set of CLEAN_PASSAGES passages is learnt from.
+    misspelt.
     """
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
@@ -239,10 +247,11 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
     for c in (0, 1):
         rows = rng.permutation(np.flatnonzero(y == c))
         held[rows[: len(rows) // 5]] = True
+    checked, check_y = [texts[i] for i in np.flatnonzero(held)], y[held]
     spelt = np.concatenate([np.flatnonzero(~held & (y == 1)), np.flatnonzero(~held & (y == 0))[: int((~held & (y == 1)).sum())]])
-    texts = [*texts, *(_misspelt(texts[i] or "", rng) for i in spelt)]
-    y, held = np.concatenate([y, y[spelt]]), np.concatenate([held, np.zeros(len(spelt), bool)])
-    bags = _Bags(texts, np.where((y == 1) | held, 1 << 30, CLEAN_PASSAGES), rng)
+    texts = [*(texts[i] for i in np.flatnonzero(~held)), *(_misspelt(texts[i] or "", rng) for i in spelt)]
+    y = np.concatenate([y[~held], y[spelt]])
+    bags = _Bags(texts, np.where(y == 1, TOXIC_PASSAGES, CLEAN_PASSAGES), rng)
 
     vectors = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     softmax = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
@@ -255,8 +264,8 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
         if epoch >= 3:
             margin = bags.margins(vectors @ (softmax[:, 1] - softmax[:, 0]), bias)
             share = np.where(margin >= bags.top(margin)[owner], 1.0, np.where(y[owner] == 1, 0.0, share))
-        share = share * balance[owner] * ~held[owner]
-        docs = rng.permutation(np.flatnonzero(~held))
+        share = share * balance[owner]
+        docs = rng.permutation(len(y))
         for part in np.array_split(docs, max(1, len(docs) // 128)):
             own = np.concatenate([np.arange(bags.first[d], bags.first[d + 1]) for d in part])
             own = own[share[own] > 0]
@@ -280,13 +289,15 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
             softmax -= 0.1 * to_softmax / (np.sqrt(seen_softmax) + 1e-8)
             bias -= 0.5 * float(delta.sum())
     weight = vectors @ (softmax[:, 1] - softmax[:, 0])
-    top = bags.top(bags.margins(weight, bias))
-    use = held & np.isfinite(top)
-    if not use.any() or y[use].min() == y[use].max():
-        use = np.isfinite(top)
-    share = y[use].mean()
-    slope, intercept = _platt(top[use], y[use], np.where(y[use] == 1, prior / share, (1 - prior) / (1 - share)))
-    return Model(weight.astype(np.float32), bias, max(slope, 0.0), intercept, prior)
+    model = Model(weight.astype(np.float32), bias, 1.0, 0.0, prior)
+    if not len(check_y) or check_y.min() == check_y.max():
+        checked, check_y = texts, y
+    top = model.margins(checked)
+    use = np.isfinite(top)
+    share = check_y[use].mean()
+    slope, model.intercept = _platt(top[use], check_y[use], np.where(check_y[use] == 1, prior / share, (1 - prior) / (1 - share)))
+    model.slope = max(slope, 0.0)
+    return model
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
