@@ -1,14 +1,18 @@
-"""Keep nested groups bounded when one key holds a large share of the rows."""
+"""Keep nested groups bounded when one key holds a large share of the rows.
+
+A group is gathered in parts, and the part of a row depends on the row alone: on its position where it has one, else on its
+hash. No count, join or switch decides on it, so the shape of a result does not change with the size of its input.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PART = "part"
+#: Rows of a part, by position.
 GROUP_ROWS = 10_000
 NULL_MARK = "-"
 
@@ -24,17 +28,13 @@ def hex_slice(digest: Column, start: int = 1, digits: int = 15) -> Column:
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("bigint")
 
 
-def split_groups(df: DataFrame, keys: Sequence[str], by: Sequence[str], limit: int = GROUP_ROWS) -> DataFrame:
-    """Add ``part``: 0 for a group within the limit, else a hash of ``by`` over enough parts.
-
-    Grouping by ``keys`` and ``part`` then never gathers a hot key (NULL may be one) in one task.
-    Rows that are equal in ``by`` share a part, so callers make them distinct first. Only the
-    keys above the limit reach the join: its right side is small, and AQE sees its true size.
-    """
-    size = F.count(F.lit(1))
-    hot = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(size.alias("_rows")).where(F.col("_rows") > limit)
-    hot = hot.withColumn("_parts", F.ceil(F.col("_rows") / F.lit(limit)).cast("bigint")).drop("_rows")
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    spread = F.pmod(hex_slice(F.md5(row_text([F.col(c) for c in by]))), F.col("_parts"))
-    part = F.coalesce(F.when(F.col("_parts").isNotNull(), spread), F.lit(0).cast("bigint"))
-    return df.join(hot, same, "left").select(*df.columns, part.alias(PART))
+def part_at(position: Column, size: int = GROUP_ROWS) -> Column:
+    """The part of a row by its position: ``size`` neighbours share one, parts keep the order. Rows without position are in part 0."""
+    return F.coalesce(F.floor(position / F.lit(size)).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def part_by(columns: Sequence[Column], parts: int) -> Column:
+    """The part of a row without position: one of so many, by the hash of ``columns``."""
+    if parts < 1:
+        raise ValueError("a group has one part at least")
+    return F.pmod(hex_slice(F.md5(row_text(columns))), F.lit(parts)).cast("bigint")

@@ -188,8 +188,13 @@ class Cube:
         return replace(self, column_axis=edited(self.column_axis, chars, op), column_members=tuple(known.items()))
 
     def filter(self, char: str, *members: str, op: str | None = None) -> Cube:
+        """Restrict to members. SET without members lifts the filter; a filter whose last member is removed lets nothing through."""
         self._char(char)
-        kept = edited(self.members.get(char, ()), members, op)
+        current = self.members.get(char)
+        kept = edited(current or (), members, op)
+        lifted = not members and (op or "SET").upper() == "SET"
+        if lifted or (current is None and (op or "").upper() == "REMOVE"):
+            return replace(self, members={c: m for c, m in self.members.items() if c != char})
         return replace(self, members={**self.members, char: kept})
 
     def set_property(self, char: str, prop: str, value: str) -> Cube:
@@ -243,8 +248,7 @@ class Cube:
         if self.options:
             df = df.where(predicate(df.schema, self.options))
         for char, members in self.members.items():
-            if members:
-                df = df.where(F.col(self._char(char).source).isin(*members))
+            df = df.where(F.col(self._char(char).source).isin(*members) if members else F.lit(False))
         for char, keys in self.subtrees:
             df = df.join(keys, F.col(self._char(char).source).cast("string") == F.col("_member"), "left_semi")
         return df
@@ -255,9 +259,10 @@ class Cube:
         known = dict(self.column_members)
         for char in self.column_axis:
             source = self._char(char).source
-            members = known.get(char) or self.members.get(char) or self._discover(df, source)
+            members = self._ordered(char, known.get(char) or self.members.get(char) or self._discover(df, source))
+            labels = self._labels(char, members)
             paths = [
-                ((*names, str(m)), F.col(source).cast("string").eqNullSafe(F.lit(str(m))) if cond is None else cond & F.col(source).cast("string").eqNullSafe(F.lit(str(m))))
+                ((*names, labels[str(m)]), F.col(source).cast("string").eqNullSafe(F.lit(str(m))) if cond is None else cond & F.col(source).cast("string").eqNullSafe(F.lit(str(m))))
                 for names, cond in paths
                 for m in members
             ]
@@ -267,6 +272,22 @@ class Cube:
             raise ValueError(f"the column axis has {len(leaves)} leaves, more than {MAX_LEAVES}")
         return leaves
 
+    def _ordered(self, char: str, members: Sequence[str]) -> list[str]:
+        """Members of a column characteristic in the order of its SORT property, as given where none is set."""
+        way = self.properties.get((char, "SORT"), "NONE")
+        return list(members) if way == "NONE" else sorted(members, key=str, reverse=way == "DESC")
+
+    def _labels(self, char: str, members: Sequence[str]) -> dict[str, str]:
+        """What a column shows for each member: key, text or both. Only the texts of these members are read."""
+        shown, texts = self.property(char, "DISPLAY"), self._char(char).texts
+        keys = [str(m) for m in members]
+        if shown == "KEY":
+            return {k: k for k in keys}
+        if texts is None:
+            raise ValueError(f"characteristic {char!r} has no texts")
+        found = {r["key"]: r["text"] for r in texts.select(F.col("key").cast("string").alias("key"), "text").where(F.col("key").isin(*keys)).distinct().collect()}
+        return {k: (found.get(k) or k) if shown == "TEXT" else " ".join(x for x in (k, found.get(k)) if x) for k in keys}
+
     @staticmethod
     def _discover(df: DataFrame, source: str) -> list[str]:
         rows = df.select(F.col(source).cast("string")).where(F.col(source).isNotNull()).distinct().orderBy(source).limit(MAX_LEAVES + 1).collect()
@@ -331,10 +352,11 @@ class Cube:
             inner = rows.where(F.col("_g") < len(self.row_axis) - i)
             total = rows.where(F.col("_g") >= len(self.row_axis) - i)
             others = [c for c in rows.columns if c not in (f"_k{i}", f"_l{i}") and not c.startswith("_m")]
+            # a member that no node has goes to a node of its own, so that the top level adds up to the total
             lifted = (
-                inner.join(above, F.col(f"_k{i}") == F.col("_member"))
-                .join(label, "_node")
-                .groupBy(*others, F.col("node_name").alias(f"_k{i}"), F.col("level").alias(f"_l{i}"))
+                inner.join(above, F.col(f"_k{i}") == F.col("_member"), "left")
+                .join(label, "_node", "left")
+                .groupBy(*others, F.coalesce("node_name", F.lit(H.NOT_ASSIGNED)).alias(f"_k{i}"), F.coalesce("level", F.lit(1)).alias(f"_l{i}"))
                 .agg(*self._merge(leaves))
             )
             rows = lifted.unionByName(total)

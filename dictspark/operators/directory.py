@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.globs import matches
+from ..sources.dictionary import declared_type
 from .arguments import CHANGING, EXPORT, IMPORT, TABLES
-from .bounded import GROUP_ROWS, PART, split_groups
+from .bounded import GROUP_ROWS, PART, part_at, part_by
 
 # Object types, directions, and result columns.
 OBJECT_TYPES = ("INFOPROVIDER", "QUERY", "CUBE", "INFOAREA")
 DIRECTIONS = (IMPORT, EXPORT, CHANGING, TABLES)
 PARAMETER_COLUMNS = ("name", "text", "type", "length", "decimals", "default", "optional", "pos", "ref")
+HEADER_COLUMNS = ("name", "text", "group", "remote")
 OBJECT_COLUMNS = ("technical_name", "text", "type", "cube_name", "is_folder", "last_changed", "last_changed_by", "level")
 ANY = "*"
 
@@ -39,26 +41,34 @@ def show_groups(functions: DataFrame, groupname: str = ANY, language: str | None
     return found.select(F.col("group").alias("name"), F.col("group_text").alias("text")).distinct()
 
 
-def describe_function(parameters: DataFrame, headers: DataFrame | None = None, sources: DataFrame | None = None, limit: int = GROUP_ROWS) -> DataFrame:
-    """One row per function: its parameters as one list per direction, its source as one text.
+def describe_function(parameters: DataFrame, headers: DataFrame | None = None, sources: DataFrame | None = None, size: int = GROUP_ROWS) -> DataFrame:
+    """One row per function: its header, its parameters as one list per direction, its source as one text.
 
-    ``parameters`` has a ``function``, a ``direction`` and :data:`PARAMETER_COLUMNS`; headers and
-    source lines are optional, what is missing is NULL. A signature beyond ``limit`` takes several
-    rows (``part``), so no list grows without bound.
+    ``parameters`` has a ``function``, a ``direction`` and :data:`PARAMETER_COLUMNS`, and every listed parameter also tells its direction
+    and SQL type. ``headers`` has :data:`HEADER_COLUMNS` and ``sources`` numbered lines; both are optional. A function that any of the
+    three names is described; what is missing is NULL or an empty list, and repeated rows count once.
+
+    So that no list grows without bound, rows are parts (:func:`part_at`): part n has the parameters and lines of the n-th ``size`` positions,
+    part 0 the header. All three inputs meet in one aggregation.
     """
-    distinct = parameters.select("function", "direction", *PARAMETER_COLUMNS).distinct()
-    parted = split_groups(distinct, ["function"], PARAMETER_COLUMNS, limit)
-    item = F.struct("pos", *[c for c in PARAMETER_COLUMNS if c != "pos"])
-    lists = [F.sort_array(F.collect_list(F.when(F.col("direction") == d, item))).alias(d) for d in DIRECTIONS]
-    out = parted.groupBy("function", PART).agg(*lists)
+    item = F.struct("pos", *[c for c in PARAMETER_COLUMNS if c != "pos"], F.col("declared").alias("sql_type"), "direction")
+    typed = parameters.withColumn("sap_type", F.col("type")).withColumn("declared", declared_type())
+    rows = typed.select("function", part_at(F.col("pos"), size).alias(PART), item.alias("item"))
+    if headers is not None:
+        named = headers.select("function", F.lit(0).cast("bigint").alias(PART), F.struct(*[F.col(c) for c in HEADER_COLUMNS]).alias("header"))
+        rows = rows.unionByName(named, allowMissingColumns=True)
+    if sources is not None:
+        lines = sources.select("function", part_at(F.col("line_no"), size).alias(PART), F.struct("line_no", "line").alias("line"))
+        rows = rows.unionByName(lines, allowMissingColumns=True)
+    lists = [F.sort_array(F.collect_set(F.when(F.col("item.direction") == d, F.col("item")))).alias(d) for d in DIRECTIONS]
     if headers is not None:
-        out = out.join(headers, "function", "left")
+        lists.append(F.max("header").alias("header"))
     if sources is not None:
-        numbered = sources.select("function", "line_no", "line").distinct()
-        ordered = split_groups(numbered, ["function"], ["line_no", "line"], limit).groupBy("function", PART)
-        joined = ordered.agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "line"))), lambda r: r.getField("line")).alias("lines"))
-        out = out.join(joined.select("function", PART, F.array_join("lines", "\n").alias("source")), ["function", PART], "left")
-    return out
+        lists.append(F.transform(F.sort_array(F.collect_set("line")), lambda r: r.getField("line")).alias("lines"))
+    out = rows.groupBy("function", PART).agg(*lists)
+    shown = [F.col(f"header.{c}").alias(c) for c in HEADER_COLUMNS] if headers is not None else []
+    source = [F.when(F.size("lines") > 0, F.array_join("lines", "\n")).alias("source")] if sources is not None else []
+    return out.select("function", PART, *shown, *DIRECTIONS, *source)
 
 
 def show_objects(
@@ -102,19 +112,18 @@ def show_hierarchies(hierarchies: DataFrame, search: str = ANY, info_object: str
     return found.select("technical_name", "text", "version", "valid_to_date")
 
 
-def describe_cube(elements: DataFrame, cube: str | None = None, query: str | None = None, limit: int = GROUP_ROWS) -> DataFrame:
-    """Characteristics and measures of cubes, or of one cube or query, as two ordered lists."""
+def describe_cube(elements: DataFrame, cube: str | None = None, query: str | None = None, parts: int = 1) -> DataFrame:
+    """Characteristics and measures of cubes, or of one cube or query, as two ordered lists. Each cube is spread over ``parts`` rows by the hash of its elements."""
     found = elements
     if cube is not None:
         found = found.where(F.col("cube") == cube)
     if query is not None:
         found = found.where(F.col("query") == query)
-    distinct = found.select("cube", "element", "role", "text").distinct()
-    parted = split_groups(distinct, ["cube"], ["element", "role", "text"], limit)
+    parted = found.select("cube", "element", "role", "text", part_by([F.col("element")], parts).alias(PART))
     item = F.struct("element", "text")
 
     def of_role(role: str) -> Column:
-        return F.sort_array(F.collect_list(F.when(F.col("role") == role, item)))
+        return F.sort_array(F.collect_set(F.when(F.col("role") == role, item)))
 
     return parted.groupBy("cube", PART).agg(of_role("CHARACTERISTIC").alias("characteristics"), of_role("MEASURE").alias("measures"))
 
@@ -134,18 +143,19 @@ def show_odp(sources: DataFrame, context: str, search: str = ANY) -> DataFrame:
     return found.select("technical_name", "text", "semantics", "semantics_text")
 
 
-def describe_odp(sources: DataFrame, fields: DataFrame, texts: DataFrame, context: str, name: str | None = None, limit: int = GROUP_ROWS) -> DataFrame:
-    """Sources with ``supports_delta``, their fields and their texts as ordered lists."""
+def describe_odp(sources: DataFrame, fields: DataFrame, texts: DataFrame, context: str, name: str | None = None, size: int = GROUP_ROWS) -> DataFrame:
+    """Sources with ``supports_delta``, their fields and their texts as ordered lists; part n has the fields of the n-th ``size`` positions, part 0 the texts."""
     found = sources.where(F.col("context") == context)
     if name is not None:
         found = found.where(F.col("technical_name") == name)
     names = found.select("technical_name")
 
-    def listed(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
-        distinct = rows.join(names, "technical_name", "left_semi").select("technical_name", *columns).distinct()
-        mine = split_groups(distinct, ["technical_name"], columns, limit)
-        return mine.groupBy("technical_name", PART).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(out))
+    def listed(rows: DataFrame, columns: list[str], out: str, part: Column) -> DataFrame:
+        mine = rows.join(names, "technical_name", "left_semi").select("technical_name", part.alias(PART), F.struct(*columns).alias("item"))
+        return mine.groupBy("technical_name", PART).agg(F.sort_array(F.collect_set("item")).alias(out))
 
-    parts = listed(fields, ["pos", "field", "type"], "fields").join(listed(texts, ["language", "text"], "texts"), ["technical_name", PART], "full")
+    fields_of = listed(fields, ["pos", "field", "type"], "fields", part_at(F.col("pos"), size))
+    texts_of = listed(texts, ["language", "text"], "texts", F.lit(0).cast("bigint"))
+    parts = fields_of.join(texts_of, ["technical_name", PART], "full")
     return found.select("technical_name", "text", "supports_delta").join(parts, "technical_name", "left")
 

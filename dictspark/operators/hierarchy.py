@@ -19,6 +19,9 @@ ACTIVE = "A"
 DUE_DATE = "99991231"
 COLUMNS = ("node_id", "parent_id", "child_id", "next_id", "info_object", "node_name", "node_value", "date_from", "date_to", "level", "path")
 
+#: The node of values whose own node is not in the hierarchy.
+NOT_ASSIGNED = "NOT_ASSIGNED"
+
 MAX_LEVELS = 1000
 WALKED = ("node_id", "level", "path", "ancestors")
 
@@ -51,7 +54,8 @@ def walk(nodes: DataFrame, root: Column | None = None) -> DataFrame:
     makes subtrees and rollups need no further join.
     """
     is_root = F.col("parent_id").isNull() if root is None else root
-    level = nodes.where(is_root).select(
+    nodes = cut_lineage(nodes.withColumn("_root", F.coalesce(is_root, F.lit(False))).select("node_id", "parent_id", "node_name", "_root"))  # read once a level
+    level = nodes.where("_root").select(
         "node_id", F.lit(1).alias("level"), F.concat(F.lit("/"), F.col("node_name")).alias("path"), F.array("node_id").alias("ancestors")
     )
     levels = []
@@ -61,9 +65,11 @@ def walk(nodes: DataFrame, root: Column | None = None) -> DataFrame:
             break
         levels.append(level)
         if len(levels) > MAX_LEVELS:
-            raise ValueError(f"the hierarchy is deeper than {MAX_LEVELS} levels, or has a cycle")
+            raise ValueError(f"the hierarchy is deeper than {MAX_LEVELS} levels")
         above = level.select(F.col("node_id").alias("_above"), "level", "path", "ancestors")
-        level = nodes.join(above, F.col("parent_id") == F.col("_above")).select(
+        cycle = F.raise_error(F.concat(F.lit("the hierarchy has a cycle at node "), F.col("node_id").cast("string"))).cast("boolean")
+        below = nodes.join(above, F.col("parent_id") == F.col("_above")).where(F.when(F.array_contains("ancestors", F.col("node_id")), cycle).otherwise(True))
+        level = below.select(
             "node_id",
             (F.col("level") + 1).alias("level"),
             F.concat_ws("/", "path", "node_name").alias("path"),
@@ -94,9 +100,13 @@ def rollup(walked: DataFrame, values: DataFrame, node: str, measures: dict[str,
     """Measures of ``values`` summed to every ancestor of the node they belong to.
 
     Values are reduced to one row per node before they meet the hierarchy; each such row then
-    goes to its ancestors, and partial sums keep the root as cheap as any other node.
+    goes to its ancestors, and partial sums keep the root as cheap as any other node. Values of nodes
+    outside the hierarchy are summed in a row without ``node_id``, there only if there are any.
     """
     per_node = values.groupBy(F.col(node).alias("node_id")).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
-    spread = per_node.join(walked.select("node_id", "ancestors"), "node_id").select(F.explode("ancestors").alias("node_id"), *measures)
+    kind = walked.schema["node_id"].dataType
+    above = F.coalesce("ancestors", F.array(F.lit(None).cast(kind)))
+    spread = per_node.join(walked.select("node_id", "ancestors"), "node_id", "left").select(F.explode(above).alias("node_id"), *measures)
     totals = spread.groupBy("node_id").agg(*[F.sum(n).alias(n) for n in measures])
-    return walked.select("node_id", "level", "path").join(totals, "node_id", "left")
+    outside = totals.where(F.col("node_id").isNull()).select("node_id", F.lit(1).alias("level"), F.lit(f"/{NOT_ASSIGNED}").alias("path"), *measures)
+    return walked.select("node_id", "level", "path").join(totals, "node_id", "left").unionByName(outside)

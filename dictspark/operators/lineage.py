@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.globs import matches
 from ..session import cut_lineage
-from .bounded import PART, split_groups
+from .bounded import PART, part_by
 
 # Columns of an edge.
 EDGE_COLUMNS = ("edge_type", "src_kind", "src_name", "src_field", "tgt_kind", "tgt_name", "tgt_field")
@@ -131,13 +131,14 @@ def query_lineage(elements: DataFrame, edges: DataFrame, max_depth: int | None =
     return trace(pairs(edges, "field"), elements, "up", max_depth).where(F.col("depth") > 0)
 
 
-def graph_json(edges: DataFrame, scope: Sequence[str], limit: int = 10_000) -> DataFrame:
+def graph_json(edges: DataFrame, scope: Sequence[str], documents: int = 1) -> DataFrame:
     """Graph documents ``{"nodes":[{kind,name}],"edges":[{type,src,tgt}]}`` per scope.
 
-    A scope beyond ``limit`` edges becomes several documents (``part``) with the nodes of their
-    edges; together they hold every edge once, and no document grows with the data.
+    Each scope has ``documents`` documents at most (``part``), dealt by the hash of the edge, with the nodes of their edges;
+    together they hold every edge once. Choose the number by the edges of the largest scope.
     """
-    parted = split_groups(edges.select(*scope, *EDGE_COLUMNS).distinct(), scope, EDGE_COLUMNS, limit)
+    distinct = edges.select(*scope, *EDGE_COLUMNS).distinct()
+    parted = distinct.withColumn(PART, part_by([F.col(c) for c in EDGE_COLUMNS], documents))
     ends = [F.struct(F.col(f"{end}_kind").alias("kind"), F.col(f"{end}_name").alias("name")) for end in ("src", "tgt")]
     edge = F.struct(
         F.col("edge_type").alias("type"), node("src_kind", "src_name").alias("src"), node("tgt_kind", "tgt_name").alias("tgt")

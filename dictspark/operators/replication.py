@@ -87,16 +87,19 @@ def pointer_number(stamp: Column) -> Column:
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], emit_deletes: bool = False) -> DataFrame:
     """Changes from one snapshot to the next: after-images ``U`` and, if asked, ``D`` for rows gone.
 
-    Both snapshots meet in one aggregation per key, so repeated keys cannot multiply rows.
+    Both snapshots meet in one aggregation per key. A key that a snapshot repeats has no one image and is an error.
     """
     others = [c for c in old.columns if c not in keys]
     image = F.struct(*others)
     sides = _sided(old, new.select(*old.columns)).groupBy(*keys).agg(
-        F.max(F.when(F.col("_a") == 1, image)).alias("a"), F.max(F.when(F.col("_b") == 1, image)).alias("b")
+        F.max(F.when(F.col("_a") == 1, image)).alias("a"),
+        F.max(F.when(F.col("_b") == 1, image)).alias("b"),
+        F.greatest(F.count(F.when(F.col("_a") == 1, 1)), F.count(F.when(F.col("_b") == 1, 1))).alias("_rows"),
     )
     changed = F.col("b").isNotNull() & ~F.col("a").eqNullSafe(F.col("b"))
     gone = F.col("b").isNull()
-    mode = F.when(changed, F.lit(UPSERT)).when(gone & F.lit(emit_deletes), F.lit(DELETE))
+    repeated = F.raise_error(F.concat(F.lit("a snapshot repeats the key "), F.to_json(F.struct(*keys))))
+    mode = F.when(F.col("_rows") > 1, repeated).when(changed, F.lit(UPSERT)).when(gone & F.lit(emit_deletes), F.lit(DELETE))
     rows = sides.select(*keys, F.coalesce("b", "a").alias("row"), mode.alias(MODE)).where(F.col(MODE).isNotNull())
     return rows.select(*keys, *[F.col(f"row.{c}").alias(c) for c in others], MODE).select(*old.columns, MODE)
 
@@ -114,8 +117,8 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str], or
 class Replicator:
     """Subscriptions and their pointers, kept as appended rows in a shared folder.
 
-    A pointer is the timestamp of the last change delivered; a delta is everything in
-    ``(previous, current]``. One subscriber process must not run twice at the same time.
+    A pointer is the timestamp of the last change delivered; a delta is everything from the previous to the
+    current one, both included. One subscriber process must not run twice at the same time.
     """
 
     spark: SparkSession
@@ -159,11 +162,14 @@ class Replicator:
         columns: Sequence[str] | None = None,
         filters: Sequence[Mapping[str, str]] = (),
         recover: bool = False,
+        change_mode: bool = False,
     ) -> DataFrame:
-        """Changes since the subscriber's last read; the whole object on the first.
+        """Changes since the subscriber's last read; the whole object on the first, rows without a stamp included.
 
-        ``recover`` delivers the last range again with the selection it was opened with and
-        leaves the pointer alone.
+        A delta begins with the stamp the last one ended with: rows of that stamp may have come later, so those
+        that were there before are delivered again. Rows are after-images, to be applied by key; with
+        ``change_mode`` they carry the mode ``U``. The pointer never moves back. ``recover`` delivers the
+        last range again with the selection it was opened with and leaves the pointer alone.
         """
         if not source.supports_delta:
             raise ValueError(f"{source.name!r} does not support deltas")
@@ -176,8 +182,9 @@ class Replicator:
                 raise ValueError("recover uses the selection of the original read")
             if live is None:
                 raise ValueError(f"{process!r} has nothing to recover from {source.name!r}")
-            return self._range(source, live)
-        newest = source.df.agg(pointer_text(F.max(source.change)).alias("p")).first()["p"]
+            return self._range(source, live, change_mode)
+        before = live["pointer"] if live else None
+        newest = source.df.agg(pointer_text(F.greatest(F.max(source.change).cast("timestamp_ntz"), F.lit(before).cast("timestamp_ntz"))).alias("p")).first()["p"]
         opened = {
             "seq": (state or {}).get("seq"),
             "context": source.context,
@@ -187,24 +194,24 @@ class Replicator:
             "subscriber_process": process,
             "queue_name": f"{source.context}~{source.name}",
             "subscription_id": live["subscription_id"] if live else uuid.uuid4().hex,
-            "prev_pointer": live["pointer"] if live else None,
-            "pointer": newest or (live["pointer"] if live else None),
+            "prev_pointer": before,
+            "pointer": newest,
             "status": OPEN,
             "columns": json.dumps(list(columns)) if columns is not None else None,
             "filters": json.dumps([dict(f) for f in filters]),
         }
         require_columns(source.df, columns or [])
         self._append(opened)
-        return self._range(source, opened)
+        return self._range(source, opened, change_mode)
 
     @staticmethod
-    def _range(source: Source, state: dict) -> DataFrame:
+    def _range(source: Source, state: dict, change_mode: bool = False) -> DataFrame:
         rows = source.df
         if state["prev_pointer"]:
-            rows = rows.where(source.change > F.lit(state["prev_pointer"]).cast("timestamp_ntz"))
-        rows = rows.where(source.change <= F.lit(state["pointer"]).cast("timestamp_ntz")) if state["pointer"] else rows.limit(0)
+            rows = rows.where(source.change.between(*[F.lit(state[p]).cast("timestamp_ntz") for p in ("prev_pointer", "pointer")]))
         columns = json.loads(state["columns"]) if state["columns"] else None
-        return _selected(rows, columns, json.loads(state["filters"]))
+        rows = _selected(rows, columns, json.loads(state["filters"]))
+        return rows.withColumn(MODE, F.lit(UPSERT)) if change_mode else rows
 
     # --- administration ------------------------------------------------------------------------
 

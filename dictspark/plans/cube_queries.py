@@ -131,9 +131,10 @@ def cube_multi_measure(spark, sf_dir):
     f"WITH cube AS ({CUBE}) SELECT region, segment, CAST(sum(quantity) AS DOUBLE) AS quantity, row_number() OVER (ORDER BY region DESC, segment) AS row_no FROM cube GROUP BY region, segment",
 )
 def cube_sort(spark, sf_dir):
+    """Rows are numbered in the order in which the cube returns them."""
     state = cube(spark, sf_dir, QUANTITY).rows("region", "segment").sort("region", "DESC").sort("segment", "ASC")
-    rows = state.result(grand_total=False)
-    return numbered(rows, [F.desc("region"), F.asc("segment")]).select("region", "segment", "quantity", "row_no")
+    rows = state.result(grand_total=False).withColumn("place", F.monotonically_increasing_id())
+    return numbered(rows, ["place"]).select("region", "segment", "quantity", "row_no")
 
 
 @query("cube_filter_set", _sql(["nation"], BOTH, "segment IN ('BUILDING', 'MACHINERY')"))
@@ -186,6 +187,44 @@ def cube_hierarchy_rows(spark, sf_dir):
     return cube(spark, sf_dir, QUANTITY, with_nodes=True).rows("nation").result()
 
 
+OUTSIDE = f"WITH cube AS ({CUBE}), inside AS (SELECT * FROM cube WHERE region <> 'ASIA')"
+
+
+@query(
+    "cube_hierarchy_outside",
+    f"{OUTSIDE}, lifted AS (SELECT nation AS node, 3 AS lvl, quantity FROM inside UNION ALL SELECT region, 2, quantity FROM inside UNION ALL SELECT 'ALL', 1, quantity FROM inside "
+    "UNION ALL SELECT 'NOT_ASSIGNED', 1, quantity FROM cube WHERE region = 'ASIA') "
+    "SELECT node AS nation, CAST(lvl AS INTEGER) AS nation_HIER_LEVEL, CAST(sum(quantity) AS DOUBLE) AS quantity FROM lifted GROUP BY node, lvl "
+    "UNION ALL SELECT 'SUMME', 0, CAST(sum(quantity) AS DOUBLE) FROM cube",
+)
+def cube_hierarchy_outside(spark, sf_dir):
+    """The hierarchy lacks the nations of one region; their values stand at a node of their own, so the first level adds up to the total."""
+    state = cube(spark, sf_dir, QUANTITY, with_nodes=True)
+    whole = state.characteristics["nation"]
+    asia = whole.nodes.where("node_name = 'ASIA'").select(F.col("node_id").alias("gone"))
+    nodes = whole.nodes.join(asia, (F.col("node_id") == F.col("gone")) | (F.col("parent_id") == F.col("gone")), "left_anti")
+    chars = [Characteristic("nation", texts=whole.texts, nodes=nodes), *[c for n, c in state.characteristics.items() if n != "nation"]]
+    return Cube.of(state.df, chars, state.measures).rows("nation").result()
+
+
+@query("cube_filter_emptied", f"WITH cube AS ({CUBE}) SELECT region, CAST(0 AS INTEGER) AS region_HIER_LEVEL, {{leaves}} FROM cube WHERE false GROUP BY region".replace("{leaves}", "CAST(sum(quantity) AS DOUBLE) AS quantity"))
+def cube_filter_emptied(spark, sf_dir):
+    """A filter whose only member is removed lets nothing through."""
+    state = cube(spark, sf_dir, QUANTITY).rows("region").filter("region", "ASIA")
+    return state.filter("region", "ASIA", op="REMOVE").result(grand_total=False)
+
+
+@query(
+    "cube_columns_sorted",
+    f"WITH cube AS ({CUBE}) SELECT region, CAST(position AS INTEGER) AS position, leaf FROM (SELECT DISTINCT region FROM cube), (SELECT flag || '_quantity' AS leaf, row_number() OVER (ORDER BY flag DESC) + 2 AS position FROM (SELECT DISTINCT flag FROM cube))",
+)
+def cube_columns_sorted(spark, sf_dir):
+    """A column axis in descending order: the names of the result's columns by their place."""
+    wide = cube(spark, sf_dir, QUANTITY).rows("region").columns("flag").sort("flag", "DESC").result(grand_total=False)
+    places = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(name).alias("leaf")) for i, name in enumerate(wide.columns, 1) if i > 2])
+    return wide.select("region", F.inline(places))
+
+
 TEXT_SQL = (
     f"WITH cube AS ({CUBE}), t AS ({plain(NATION_TEXTS)}), g AS (SELECT nation, CAST(sum(quantity) AS DOUBLE) AS quantity FROM cube GROUP BY nation) "
     "SELECT {label} AS nation, CAST(0 AS INTEGER) AS nation_HIER_LEVEL, quantity FROM g LEFT JOIN t ON t.key = g.nation "

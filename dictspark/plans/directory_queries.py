@@ -10,7 +10,7 @@ from ..operators.cube import Characteristic, Cube, Measure, Variable
 from ..operators.metadata import meta_view, transform_fields, usage_stats
 from ..sources.dictionary import describe_fields, show_tables
 from ..sources.sqlfunctions import register_searches
-from .registry import fixture, part_sql, plain, query, row_text_sql, table
+from .registry import fixture, plain, query, table
 
 # --- table and field dictionary ----------------------------------------------------------------
 
@@ -33,9 +33,10 @@ def show_tables_none(spark, sf_dir):
     return show_tables(fixture(spark, sf_dir, TABLE_ENTRIES), tablename="NO SUCH*")
 
 
-@query("glob_match", f"SELECT table_name FROM ({plain(TABLE_ENTRIES)}) WHERE table_name LIKE '%D!__' ESCAPE '!'")
+@query("glob_match", f"SELECT table_name FROM ({plain(TABLE_ENTRIES)}) WHERE table_name LIKE '%!_1_' ESCAPE '!'")
 def glob_match(spark, sf_dir):
-    return fixture(spark, sf_dir, TABLE_ENTRIES).where(matches("table_name", "*D_?")).select("table_name")
+    """The underscore is itself: numbers of three digits whose second is 1 are near misses."""
+    return fixture(spark, sf_dir, TABLE_ENTRIES).where(matches("table_name", "*_1?")).select("table_name")
 
 
 FIELD_ENTRIES = """
@@ -79,31 +80,46 @@ def show_groups(spark, sf_dir):
 
 PARAMETERS = """
 SELECT 'F' || l_orderkey AS function, CASE l_linenumber % 4 WHEN 0 THEN 'import' WHEN 1 THEN 'export' WHEN 2 THEN 'changing' ELSE 'tables' END AS direction,
-       'P' || l_partkey AS name, 'supplier ' || l_suppkey AS text, l_returnflag AS type, CAST(l_quantity AS INT) AS length, CAST(l_linenumber AS INT) AS decimals,
+       'P' || l_partkey AS name, 'supplier ' || l_suppkey AS text, CASE l_partkey % 3 WHEN 0 THEN 'CHAR' WHEN 1 THEN 'DEC' ELSE 'INT4' END AS type, CAST(l_quantity AS INT) AS length, CAST(l_linenumber AS INT) AS decimals,
        CAST(NULL AS VARCHAR(10)) AS "default", l_linestatus = 'F' AS optional, l_linenumber AS pos, '' AS ref
 FROM {lineitem}
 """
+# functions without parameters, functions without header, and more source lines than parameters
+HEADERS = """
+SELECT 'F' || o_orderkey AS function, 'F' || o_orderkey AS name, o_orderpriority AS text, 'G' || o_custkey AS "group", o_custkey % 2 = 0 AS remote FROM {orders} WHERE o_orderkey % 10 <> 3
+UNION ALL
+SELECT 'N' || p_partkey, 'N' || p_partkey, p_name, p_brand, false FROM {part}
+"""
+SOURCE_LINES = """
+SELECT 'F' || l_orderkey AS function, l_linenumber * 3 AS line_no, 'part ' || l_partkey AS line FROM {lineitem}
+UNION ALL
+SELECT 'F' || l_orderkey, l_linenumber * 3 + 1, 'supplier ' || l_suppkey FROM {lineitem} WHERE l_orderkey % 4 <> 1
+"""
 SIGNATURE_ROWS = 5
-_PARAMETER_TEXT = row_text_sql("name", "text", "type", "length", "decimals", '"default"', "optional", "pos", "ref")
+_SQL_TYPE = "CASE type WHEN 'CHAR' THEN 'STRING' WHEN 'DEC' THEN 'DECIMAL(' || greatest(1, least(length, 38)) || ',' || least(decimals, greatest(1, least(length, 38))) || ')' ELSE 'BIGINT' END"
+_LISTED = ", ".join(
+    f"coalesce(string_agg(direction || ' ' || pos || ' ' || name || ' ' || {_SQL_TYPE} || ' ' || text, ';' ORDER BY pos, name, text, type, length) FILTER (WHERE direction = '{d}'), '') AS \"{d}\""
+    for d in Dir.DIRECTIONS
+)
+_LISTS = ", ".join(f"coalesce(\"{d}\", '') AS \"{d}\"" for d in Dir.DIRECTIONS)
 
 
 @query(
     "describe_function_nested",
-    f"WITH p AS (SELECT *, {part_sql('function', _PARAMETER_TEXT, SIGNATURE_ROWS)} AS part FROM (SELECT DISTINCT * FROM ({plain(PARAMETERS)}))) "
-    "SELECT function, CAST(part AS BIGINT) AS part, count(*) FILTER (WHERE direction = 'import') AS imports, count(*) FILTER (WHERE direction = 'tables') AS tables, "
-    "coalesce(string_agg(pos || ':' || name || ':' || text, ';' ORDER BY pos, name, text, type, length) FILTER (WHERE direction = 'export'), '') AS exports FROM p GROUP BY function, part",
+    f"WITH p AS (SELECT function, pos // {SIGNATURE_ROWS} AS part, {_LISTED} FROM (SELECT DISTINCT * FROM ({plain(PARAMETERS)})) GROUP BY 1, 2), "
+    f"s AS (SELECT function, line_no // {SIGNATURE_ROWS} AS part, string_agg(line, chr(10) ORDER BY line_no, line) AS source FROM (SELECT DISTINCT * FROM ({plain(SOURCE_LINES)})) GROUP BY 1, 2), "
+    f"h AS (SELECT *, 0 AS part FROM ({plain(HEADERS)})), k AS (SELECT function, part FROM p UNION SELECT function, part FROM s UNION SELECT function, part FROM h) "
+    f"SELECT function, CAST(part AS BIGINT) AS part, name, text, \"group\", remote, {_LISTS}, source FROM k LEFT JOIN p USING (function, part) LEFT JOIN s USING (function, part) LEFT JOIN h USING (function, part)",
 )
 def describe_function_nested(spark, sf_dir):
-    rows = fixture(spark, sf_dir, PARAMETERS.replace('"default"', "`default`"))
-    nested = Dir.describe_function(rows, limit=SIGNATURE_ROWS)
-    label = F.transform("export", lambda p: F.concat(p.getField("pos").cast("string"), F.lit(":"), p.getField("name"), F.lit(":"), p.getField("text")))
-    return nested.select(
-        "function",
-        "part",
-        F.size("import").cast("bigint").alias("imports"),
-        F.size("tables").cast("bigint").alias("tables"),
-        F.array_join(label, ";").alias("exports"),
-    )
+    extracts = [fixture(spark, sf_dir, sql.replace('"default"', "`default`").replace('"group"', "`group`")) for sql in (PARAMETERS, HEADERS, SOURCE_LINES)]
+    nested = Dir.describe_function(*extracts, size=SIGNATURE_ROWS)
+
+    def listed(direction: str):
+        label = F.transform(direction, lambda p: F.concat_ws(" ", p["direction"], p["pos"].cast("string"), p["name"], p["sql_type"], p["text"]))
+        return F.array_join(label, ";").alias(direction)
+
+    return nested.select("function", "part", "name", "text", "group", "remote", *[listed(d) for d in Dir.DIRECTIONS], "source")
 
 
 # --- objects, cubes, hierarchies ---------------------------------------------------------------
@@ -169,10 +185,17 @@ SELECT p_brand || '_' || p_partkey AS info_object, CASE p_size % 3 WHEN 0 THEN '
 """
 
 
-@query("describe_infoobject", f"SELECT * FROM ({plain(INFOOBJECTS)}) WHERE info_object = 'Brand#2_0' OR data_type = 'DATS'")
+@query("describe_infoobject", f"SELECT * FROM ({plain(INFOOBJECTS)})")
 def describe_infoobject(spark, sf_dir):
-    all_objects = fixture(spark, sf_dir, INFOOBJECTS)
-    return Dir.describe_infoobject(all_objects.where("info_object = 'Brand#2_0' OR data_type = 'DATS'"))
+    return Dir.describe_infoobject(fixture(spark, sf_dir, INFOOBJECTS))
+
+
+NUMBERED_INFOOBJECTS = INFOOBJECTS.replace("p_brand || '_' || p_partkey", "'IO_' || p_partkey")
+
+
+@query("describe_infoobject_one", f"SELECT * FROM ({plain(NUMBERED_INFOOBJECTS)}) WHERE info_object = 'IO_7'")
+def describe_infoobject_one(spark, sf_dir):
+    return Dir.describe_infoobject(fixture(spark, sf_dir, NUMBERED_INFOOBJECTS), "IO_7")
 
 
 # --- metadata views ----------------------------------------------------------------------------

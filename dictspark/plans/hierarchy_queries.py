@@ -66,13 +66,16 @@ def hierarchy_closure(spark, sf_dir):
 @query(
     "hierarchy_rollup",
     f"{WALK}, spread AS (SELECT unnest(ancestors) AS node_id, w.node_id AS leaf FROM walk w), "
-    "val AS (SELECT 100000 + o_custkey AS leaf, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price FROM orders GROUP BY 1), "
+    "val AS (SELECT CASE WHEN o_orderkey % 9 = 4 THEN -1 ELSE 100000 + o_custkey END AS leaf, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price FROM orders GROUP BY 1), "
     "tot AS (SELECT node_id, CAST(sum(n) AS BIGINT) AS n, CAST(sum(price) AS DOUBLE) AS price FROM spread JOIN val USING (leaf) GROUP BY 1) "
-    "SELECT walk.node_id, level, path, n, price FROM walk LEFT JOIN tot USING (node_id)",
+    "SELECT walk.node_id, level, path, n, price FROM walk LEFT JOIN tot USING (node_id) "
+    "UNION ALL SELECT NULL, 1, '/NOT_ASSIGNED', CAST(sum(n) AS BIGINT), CAST(sum(price) AS DOUBLE) FROM val WHERE leaf = -1 HAVING count(*) > 0",
 )
 def hierarchy_rollup(spark, sf_dir):
+    """Some orders belong to a node that the hierarchy doesn't have; the top node and that row add up to all orders."""
     walked = H.walk(H.valid_nodes(nodes(spark, sf_dir)))
-    facts = orders(spark, sf_dir).select((F.col("o_custkey") + 100000).alias("leaf"), F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
+    leaf = F.when(F.col("o_orderkey") % 9 == 4, F.lit(-1).cast("long")).otherwise(F.col("o_custkey") + 100000)
+    facts = orders(spark, sf_dir).select(leaf.alias("leaf"), F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"))
     totals = H.rollup(walked, facts.withColumn("one", F.lit(1)), "leaf", {"n": F.col("one"), "price": F.col("o_totalprice")})
     return totals.withColumn("price", F.col("price").cast("double"))
 

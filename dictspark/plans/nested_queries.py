@@ -8,25 +8,24 @@ from pyspark.sql import types as T
 from ..functions.jsonrows import rows_from_json, rows_to_json, value_to_json
 from ..functions.nested import drop_unsupported, get_at, list_append, list_remove_at, list_remove_value, set_at, unzip_rows, zip_columns
 from ..operators.arguments import EXPORT, TABLES, Parameter, shape_arguments
-from ..operators.bounded import PART, split_groups
+from ..operators.bounded import PART, part_at
 from ..operators.paths import select_path, unnest_recursive
 from ..session import spread
 from .inputs import orders
-from .registry import part_sql, query, row_text_sql, table
+from .registry import query, table
 
-TURNS_PER_ROW = 1000
-_TURN_TEXT = row_text_sql("turn", "role", "text")
+TURNS_PER_ROW = 4
 # conversations with the list they are nested into and their place in it
 PLACED = (
     "(SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) AS place "
-    f"FROM (SELECT *, {part_sql('conv_id', _TURN_TEXT, TURNS_PER_ROW)} AS part FROM conversations))"
+    f"FROM (SELECT *, turn // {TURNS_PER_ROW} AS part FROM conversations))"
 )
 
 
 def nested_turns(spark, sf_dir):
-    """Conversations as (conv_id, part, turns); a long one takes several rows of bounded size."""
+    """Conversations as (conv_id, part, turns): a list for every few turns in their order, so a long one takes several rows."""
     turn = F.struct(F.col("turn"), F.struct(F.col("role"), F.col("text")).alias("said"))
-    parted = split_groups(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], TURNS_PER_ROW)
+    parted = table(spark, sf_dir, "conversations").withColumn(PART, part_at(F.col("turn"), TURNS_PER_ROW))
     return parted.groupBy("conv_id", PART).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
 

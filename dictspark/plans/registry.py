@@ -54,7 +54,6 @@ def md5_slice_sql(text: str, start: int = 1, digits: int = 15) -> str:
     return f"CAST(('0x' || substr(md5({text}), {start}, {digits})) AS BIGINT)"
 
 
-def part_sql(keys: str, text: str, limit: int) -> str:
-    """The oracle's form of the part column of :func:`dictspark.operators.bounded.split_groups`."""
-    rows = f"count(*) OVER (PARTITION BY {keys})"
-    return f"CASE WHEN {rows} > {limit} THEN {md5_slice_sql(text)} % CAST(ceil({rows} / {limit}) AS BIGINT) ELSE 0 END"
+def part_sql(text: str, parts: int) -> str:
+    """The oracle's form of :func:`dictspark.operators.bounded.part_by`."""
+    return f"{md5_slice_sql(text)} % {parts}"

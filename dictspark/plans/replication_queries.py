@@ -17,7 +17,8 @@ from .relational_queries import PAIR, snapshot_pair
 CONTEXT, PROCESS = "BW", "NIGHTLY"
 FIRST_DAYS = "2024-01-16"
 IMAGE = "event_id, ts, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS value"
-NEW = f"SELECT {IMAGE} FROM events WHERE ts >= TIMESTAMP '{FIRST_DAYS}'"
+# a delta starts with the stamp that the last one ended with, since rows of that stamp may have come later
+NEW = f"SELECT {IMAGE} FROM events WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{FIRST_DAYS}')"
 
 
 def event_images(spark, sf_dir):
@@ -36,11 +37,19 @@ def replicator(spark) -> Replicator:
     return Replicator(spark, work_dir(spark, "subscriptions"))
 
 
-@query("snapshot_full", "SELECT o_orderkey, o_custkey, CAST(1 AS INTEGER) AS snapshot FROM orders WHERE o_custkey BETWEEN 10 AND 500")
+@query("snapshot_full", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(1 AS INTEGER) AS snapshot FROM orders")
 def snapshot_full(spark, sf_dir):
+    """Every row and column of the object is read and written."""
     source = Source(CONTEXT, "ORDERS$P", orders(spark, sf_dir), ("o_orderkey",))
-    rows = read_full(source, ["o_orderkey", "o_custkey"], [option("o_custkey", "10", "500", "I", "BT")], threads=5)
-    return write_table(rows.withColumn("snapshot", F.lit(1)), work_dir(spark, "snapshot"), partition_by=("snapshot",))
+    written = write_table(read_full(source).withColumn("snapshot", F.lit(1)), work_dir(spark, "snapshot"), partition_by=("snapshot",))
+    return written.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "snapshot")
+
+
+@query("snapshot_selected", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey BETWEEN 10 AND 500")
+def snapshot_selected(spark, sf_dir):
+    """A snapshot by select-options, which is what they are for."""
+    source = Source(CONTEXT, "ORDERS$P", orders(spark, sf_dir), ("o_orderkey",))
+    return read_full(source, ["o_orderkey", "o_custkey"], [option("o_custkey", "10", "500", "I", "BT")])
 
 
 @query("snapshot_preview", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 10")
@@ -53,11 +62,30 @@ def delta_init(spark, sf_dir):
     return replicator(spark).read_delta(event_source(spark, sf_dir, first=True), PROCESS)
 
 
-@query("delta_increment", NEW)
+@query("delta_increment", f"SELECT *, 'U' AS change_mode FROM ({NEW})")
 def delta_increment(spark, sf_dir):
     subscriber = replicator(spark)
     subscriber.read_delta(event_source(spark, sf_dir, first=True), PROCESS)
-    return subscriber.read_delta(event_source(spark, sf_dir), PROCESS)
+    return subscriber.read_delta(event_source(spark, sf_dir), PROCESS, change_mode=True)
+
+
+@query("delta_init_unstamped", f"SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN ts END AS ts, user_id, event_type, CAST(value AS DECIMAL(18,2)) AS value FROM events")
+def delta_init_unstamped(spark, sf_dir):
+    """The first read is the whole object, rows without a change stamp included."""
+    rows = event_images(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 3 != 0, F.col("ts")))
+    return replicator(spark).read_delta(Source(CONTEXT, "EVENTS$F", rows, ("event_id",), "ts"), PROCESS)
+
+
+@query("delta_late_ties", f"SELECT {IMAGE} FROM events WHERE date_trunc('day', ts) = (SELECT max(date_trunc('day', ts)) FROM events)")
+def delta_late_ties(spark, sf_dir):
+    """Stamps are days here: rows of the pointer's own day that come after the first read are delivered."""
+    rows = event_images(spark, sf_dir)
+    stamped = rows.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    last = stamped.agg(F.max(F.struct("day", "event_id")).alias("e")).first()["e"]
+    early = stamped.where((F.col("day") < F.lit(last["day"])) | (F.col("event_id") == last["event_id"]))
+    subscriber = replicator(spark)
+    subscriber.read_delta(Source(CONTEXT, "EVENTS$F", early, ("event_id",), "day"), PROCESS)
+    return subscriber.read_delta(Source(CONTEXT, "EVENTS$F", stamped, ("event_id",), "day"), PROCESS).select(*rows.columns)
 
 
 @query("delta_recover", f"SELECT event_id, value FROM ({NEW}) WHERE event_type = 'click'")

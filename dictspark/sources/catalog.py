@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.globs import is_glob, like_pattern
+from .dictionary import TABLE_CLASSES, TEXT_LANGUAGE
 from .reader import shape_scan
 
 MAX_TABLES = 5000
@@ -53,14 +54,16 @@ class Catalog:
 def resolve_tables(entries: DataFrame, patterns: str | Sequence[str]) -> list[str]:
     """Names and globs → table names, in order of the patterns, first spelling wins.
 
-    Globs search the dictionary entries. Exact names take the spelling of their entry, or stay as
+    Globs search the dictionary entries, those of table classes in English where entries tell both. Exact names take the spelling of their entry, or stay as
     they are without one. The answer is plan-time metadata and is capped: one name beyond the cap
     is an error, not a cut.
     """
-    parts = [p.strip() for p in (patterns.split(",") if isinstance(patterns, str) else patterns) if p.strip()]
-    exact = [p.upper() for p in parts if not is_glob(p)][: MAX_TABLES + 1]
-    listed = entries.where(F.upper("table_name").isin(*exact)).select("table_name").distinct() if exact else None
-    spelled = {r[0].upper(): r[0] for r in listed.orderBy(F.desc("table_name")).limit(MAX_TABLES).collect()} if exact else {}
+    parts = list(dict.fromkeys(p.strip() for p in (patterns.split(",") if isinstance(patterns, str) else patterns) if p.strip()))
+    if {"class", "language"} <= set(entries.columns):
+        entries = entries.where(F.col("class").isin(*TABLE_CLASSES) & (F.col("language") == TEXT_LANGUAGE))
+    exact = list(dict.fromkeys(p.upper() for p in parts if not is_glob(p)))
+    listed = entries.where(F.upper("table_name").isin(*exact)).groupBy(F.upper("table_name").alias("name")).agg(F.min("table_name").alias("spelling")) if exact else None
+    spelled = {r["name"]: r["spelling"] for r in listed.collect()} if exact else {}  # a row for each name asked for, at most
     found: dict[str, str] = {}
     for part in parts:
         if is_glob(part):

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from dictspark.functions.selection import option
 from dictspark.operators import lineage as L
-from dictspark.operators.bounded import split_groups
+from dictspark.operators.bounded import part_at, part_by
+from dictspark.operators.directory import describe_function
 from dictspark.operators.quality import quality_profile
 from dictspark.operators.reconcile import differing_columns, except_all, fingerprint, reconcile
 from dictspark.operators.replication import Replicator, Source, apply_changes, last_modified, preview, read_full, snapshot_diff
@@ -54,8 +55,9 @@ def test_graph_documents_hold_every_edge_once(spark):
     hub = spark.range(1000).selectExpr("'HUB' AS a", "concat('t', id) AS b", "'S' AS scope")
     small = spark.range(3).selectExpr("concat('s', id) AS a", "'T' AS b", "'Z' AS scope")
     edges = L.edges_of(hub.unionByName(small), "DATA", ("K", F.col("a")), ("K", F.col("b")), keep=["scope"])
-    documents = L.graph_json(edges, ["scope"], limit=100).collect()
-    assert len([d for d in documents if d.scope == "S"]) == 10 and len([d for d in documents if d.scope == "Z"]) == 1
+    documents = L.graph_json(edges, ["scope"], documents=10).collect()
+    assert len([d for d in documents if d.scope == "S"]) == 10 and len([d for d in documents if d.scope == "Z"]) <= 3
+    assert len(L.graph_json(edges, ["scope"]).collect()) == 2
     parsed = [json.loads(d.json) for d in documents]
     assert len({(e["src"], e["tgt"]) for p in parsed for e in p["edges"]}) == sum(len(p["edges"]) for p in parsed) == 1003
     assert max(len(p["edges"]) for p in parsed) < 200
@@ -76,15 +78,31 @@ def test_edges_scope_and_level(spark):
 # --- bounded groups ----------------------------------------------------------------------------
 
 
-def test_hot_groups_are_split_and_whole(spark):
-    df = spark.range(3000).selectExpr("IF(id < 2000, 'hot', concat('k', id)) AS k", "id")
-    parted = split_groups(df, ["k"], ["id"], limit=100)
-    sizes = parted.groupBy("k", "part").count()
-    assert sizes.agg(F.max("count")).first()[0] < 200
-    assert sizes.where("k = 'hot'").count() == 20 and sizes.where("k <> 'hot' AND part <> 0").count() == 0
-    assert rows(parted.select("k", "id")) == rows(df)
-    empty_key = split_groups(df.withColumn("k", F.nullif("k", F.lit("hot"))), ["k"], ["id"], limit=100)
-    assert empty_key.where("k IS NULL").groupBy("part").count().count() == 20
+def test_parts_depend_on_the_row_alone(spark):
+    df = spark.range(3000).select("id", part_at(F.col("id"), 100).alias("part"), part_by([F.col("id")], 20).alias("dealt"))
+    sizes = df.groupBy("part").agg(F.count("id").alias("n"), F.min("id").alias("first"))
+    assert rows(sizes) == [(i, 100, 100 * i) for i in range(30)]
+    dealt = [r["count"] for r in df.groupBy("dealt").count().collect()]
+    assert len(dealt) == 20 and max(dealt) < 250
+    assert rows(df.where("id % 7 = 3")) == [r for r in rows(df) if r[0] % 7 == 3]
+    assert spark.range(1).select(part_at(F.lit(None).cast("int"))).first()[0] == 0
+    with pytest.raises(ValueError):
+        part_by([F.lit(1)], 0)
+
+
+def test_describe_function_loses_nothing(spark):
+    parameters = spark.createDataFrame(
+        [("F", "import", f"P{i}", "t", "DEC", 9, 2, None, False, i, "") for i in range(5)],
+        "function string, direction string, name string, text string, type string, length int, decimals int, default string, optional boolean, pos int, ref string",
+    )
+    headers = spark.createDataFrame([("F", "F", "text", "grp", True), ("G", "G", "no parameters", "grp", False)], "function string, name string, text string, group string, remote boolean")
+    sources = spark.createDataFrame([("F", i, f"line {i}") for i in range(25)], "function string, line_no int, line string")
+    out = {(r.function, r.part): r for r in describe_function(parameters, headers, sources, size=10).collect()}
+    assert sorted(out) == [("F", 0), ("F", 1), ("F", 2), ("G", 0)]
+    assert "\n".join(out["F", i].source for i in range(3)) == "\n".join(f"line {i}" for i in range(25))
+    assert [(p.name, p.sql_type, p.direction) for p in out["F", 0]["import"]] == [(f"P{i}", "DECIMAL(9,2)", "import") for i in range(5)]
+    assert (out["F", 0].group, out["F", 0].remote, out["G", 0].text, out["G", 0].source) == ("grp", True, "no parameters", None)
+    assert [r.function for r in describe_function(parameters).collect()] == ["F"]
 
 
 def test_pick_one_per_key(spark):
@@ -159,17 +177,18 @@ def subscriber(spark):
 def test_delta_life(spark, subscriber):
     assert subscriber.read_delta(source(spark, 5), "P").count() == 5
     second = subscriber.read_delta(source(spark, 8), "P", ["id"], [option("kind", "even")])
-    assert rows(second) == [(6,)]
+    assert rows(second) == [(4,), (6,)]  # the stamp of the pointer is delivered again
     assert subscriber.read_delta(source(spark, 8), "Q").count() == 8
     recovered = subscriber.read_delta(source(spark, 8), "P", recover=True)
     assert rows(recovered) == rows(second) == rows(subscriber.read_delta(source(spark, 12), "P", recover=True))
     with pytest.raises(ValueError, match="original"):
         subscriber.read_delta(source(spark, 8), "P", ["id"], recover=True)
-    assert subscriber.read_delta(source(spark, 8), "P").count() == 0
+    assert rows(subscriber.read_delta(source(spark, 8), "P", ["id"], change_mode=True)) == [(7, "U")]
+    assert rows(subscriber.read_delta(source(spark, 3), "P", ["id"])) == []  # the newest rows are gone; the pointer stays
     assert subscriber.close_cursor("BW", "P", "LOG$F") == "CLOSED" == subscriber.close_cursor("BW", "P", "LOG$F")
     assert subscriber.close_cursor("BW", "NOPE", "LOG$F") == "NOT_FOUND"
     assert {r.subscriber_proc: r.status for r in subscriber.cursors().collect()} == {"P": "CLOSED", "Q": "OPEN"}
-    assert rows(subscriber.read_delta(source(spark, 10), "P").select("id")) == [(8,), (9,)]
+    assert rows(subscriber.read_delta(source(spark, 10), "P").select("id")) == [(7,), (8,), (9,)]
     assert subscriber.drop("BW", "P", "LOG$F") and not subscriber.drop("BW", "P", "LOG$F")
     assert [r.subscriber_process for r in subscriber.subscriptions("BW", "LOG$F").collect()] == ["Q"]
     assert subscriber.subscriptions(process="NOPE").count() == 0
@@ -178,6 +197,20 @@ def test_delta_life(spark, subscriber):
     assert subscriber.read_delta(source(spark, 10), "P").count() == 10
 
 
+def test_delta_of_rows_without_stamp_and_late_ties(spark, subscriber):
+    first = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP_NTZ '2024-01-01'), (2, CAST(NULL AS TIMESTAMP_NTZ)) AS t(id, ts)")
+    late = first.unionByName(spark.sql("SELECT 3 AS id, TIMESTAMP_NTZ '2024-01-01' AS ts"))
+    read = lambda df: sorted(r.id for r in subscriber.read_delta(Source("BW", "TIES", df, ("id",), "ts"), "P").collect())
+    assert read(first) == [1, 2]
+    assert read(late) == [1, 3]
+
+
+def test_repeated_keys_are_an_error(spark):
+    old, new = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(Exception, match="repeats the key"):
+        snapshot_diff(old, new, ["k"]).collect()
+
+
 def test_delta_needs_a_change_column(spark, subscriber):
     plain = Source("BW", "PLAIN", log_until(spark, 3), ("id",))
     with pytest.raises(ValueError, match="does not support deltas"):
