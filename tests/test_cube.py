@@ -98,7 +98,7 @@ def test_hierarchy_variable(cube):
 
 def test_hierarchy_rows(cube):
     out = rows(cube.rows("tree").result(grand_total=False))
-    assert sorted(out) == [("EU", 2, 7.0), ("N-DE", 3, 3.0), ("N-FR", 3, 4.0), ("WORLD", 1, 7.0)]
+    assert sorted(out) == [("EU", 2, 7.0), ("N-DE", 3, 3.0), ("N-FR", 3, 4.0), ("NOT_ASSIGNED", 1, 8.0), ("WORLD", 1, 7.0)]
 
 
 def test_describe(cube):
