@@ -30,8 +30,13 @@ _SPACE = np.array([b in b" \t\n\r\x0b\x0c" for b in range(256)])
 _UPPER = np.array([65 <= b <= 90 for b in range(256)])
 _LOWER = np.array([97 <= b <= 122 for b in range(256)])
 _DIGIT = np.array([48 <= b <= 57 for b in range(256)])
-_FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64)
 _SIGN = ~(_SPACE | _UPPER | _LOWER | _DIGIT | np.array([b >= 128 for b in range(256)]))
+#: What a byte adds to its word's hash (without signs and case), and to that of its signs.
+_LETTER = np.array([0 if _SPACE[b] or _SIGN[b] else b + 33 if _UPPER[b] else b + 1 for b in range(256)], np.uint64)
+_SIGN_HASH = np.where(_SIGN, (np.arange(256, dtype=np.uint64) + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93), np.uint64(0))
+#: Two counts in one number each: capitals and small letters, digits and all bytes that are no signs.
+_CASES = _UPPER.astype(np.int64) + (_LOWER.astype(np.int64) << 32)
+_OTHERS = _DIGIT.astype(np.int64) + ((~(_SPACE | _SIGN)).astype(np.int64) << 32)
 _POWERS = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
 
 
@@ -61,12 +66,10 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.searchsorted(np.cumsum(sizes), at, "right")
     index = np.maximum(np.cumsum(starts) - 1, 0)
     place = np.clip(np.arange(len(raw)) - at[index], 0, 63)
-    sign = _SIGN[raw]
-    letters = np.where(space | sign, np.uint64(0), (_FOLD[raw] + np.uint64(1)) * _POWERS[place])
-    word = np.add.reduceat(letters, at)
-    signs = np.add.reduceat(np.where(sign, (raw.astype(np.uint64) + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93), np.uint64(0)), at)
-    count = lambda mask: np.add.reduceat(mask & ~space, at, dtype=np.int64)
-    upper, lower, digits, others = count(_UPPER[raw]), count(_LOWER[raw]), count(_DIGIT[raw]), count(~sign)
+    word = np.add.reduceat(_LETTER[raw] * _POWERS[place], at)
+    signs = np.add.reduceat(_SIGN_HASH[raw], at)
+    cases, counts = np.add.reduceat(_CASES[raw], at), np.add.reduceat(_OTHERS[raw], at)
+    upper, lower, digits, others = cases & 0xFFFFFFFF, cases >> 32, counts & 0xFFFFFFFF, counts >> 32
     first = _UPPER[raw[at]]
     case = np.where(upper > 1, np.where(lower > 0, 3, 4), np.where(first, 2, 1)) * (upper + lower > 0)
     again = np.zeros(len(at), np.int64)
@@ -106,26 +109,33 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[list[bytes], np.ndarray]]
 # --- word vectors: counted over all documents --------------------------------------------------------------------------
 
 
+def _neighbours(index: np.ndarray, word: np.ndarray, shape: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Per word, its own shape and the words and shapes up to ``WINDOW`` places away in its text; sums of a few small numbers, so bytes hold them."""
+    at = np.arange(len(word)) + WINDOW * (1 + np.cumsum(np.diff(owner, prepend=owner[0]) > 0))
+    padded = np.zeros((at[-1] + WINDOW + 1, DIMENSIONS), np.int8)  # texts stand apart by as many zero rows as a window reaches
+    padded[at] = index[word] + index[shape]
+    n = len(padded) - 2 * WINDOW
+    around = sum(padded[WINDOW + k : WINDOW + k + n] for k in range(-WINDOW, WINDOW + 1) if k)
+    return around[at - WINDOW] + index[shape]
+
+
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What neighbours add to each row's vector, in stripes of rows; one set of stripes for each task."""
-    index, sums, counts = index_vectors(), np.zeros((_N, DIMENSIONS), np.float64), np.zeros(_N)
+    index, sums, counts = index_vectors().astype(np.int8), np.zeros((_N, DIMENSIONS), np.int64), np.zeros(_N, np.int64)
     for batch in batches:
         for part in slices(batch, 0):
             for texts, _ in _blocks(part.column(0).to_pylist()):
                 word, shape, owner = tokens(texts)
                 if not len(word):
                     continue
-                near = index[shape].copy()
-                for back in range(1, WINDOW + 1):
-                    if len(word) > back:
-                        same = (owner[back:] == owner[:-back])[:, None]
-                        near[back:] += same * (index[word[:-back]] + index[shape[:-back]])
-                        near[:-back] += same * (index[word[back:]] + index[shape[back:]])
+                near = _neighbours(index, word, shape, owner)
                 for rows in (word, shape):
-                    counts += np.bincount(rows, minlength=_N)
-                    for d in range(DIMENSIONS):
-                        sums[:, d] += np.bincount(rows, weights=near[:, d], minlength=_N)
-    stripes = [np.column_stack([sums[i : i + STRIPE], counts[i : i + STRIPE]]).astype(np.int64).ravel() for i in range(0, _N, STRIPE)]
+                    order = np.argsort(rows.astype(np.uint16), kind="stable")
+                    at = np.flatnonzero(np.diff(rows[order], prepend=-1))
+                    own = rows[order[at]]
+                    sums[own] += np.add.reduceat(near[order], at, axis=0, dtype=np.int64)
+                    counts[own] += np.diff(at, append=len(order))
+    stripes = [np.column_stack([sums[i : i + STRIPE], counts[i : i + STRIPE]]).ravel() for i in range(0, _N, STRIPE)]
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(stripes), dtype=np.int32)), pa.array([s.tobytes() for s in stripes], pa.binary())], names=["stripe", "sums"])
 
 
@@ -159,18 +169,20 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 def pooled(vectors: np.ndarray, texts: list[str | None]) -> np.ndarray:
     """Per text: mean word vector, mean shape vector, their spread, and its length; zeros without words."""
-    shapes = index_vectors()[1 << WORD_BITS :]
+    words, shapes = vectors[: 1 << WORD_BITS], np.column_stack([vectors[1 << WORD_BITS :], index_vectors()[1 << WORD_BITS :]])
     total = np.zeros((len(texts), 3 * DIMENSIONS), np.float64)
     n = np.zeros(len(texts))
     for part, owner in _blocks(texts):
         word, shape, place = tokens(part)
         if not len(word):
             continue
-        starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        x = np.column_stack([vectors[word], vectors[shape], shapes[shape - (1 << WORD_BITS)]])
-        at = owner[place[starts]]
-        np.add.at(total, at, np.add.reduceat(x, starts, axis=0, dtype=np.float64))
-        np.add.at(n, at, np.diff(np.append(starts, len(word))))
+        starts = np.flatnonzero(np.diff(place, prepend=-1))
+        x, y = words[word], shapes[shape - (1 << WORD_BITS)]
+        for start, end in zip(starts, np.append(starts[1:], len(word)), strict=True):
+            at = owner[place[start]]
+            total[at, :DIMENSIONS] += x[start:end].sum(0, dtype=np.float64)
+            total[at, DIMENSIONS:] += y[start:end].sum(0, dtype=np.float64)
+            n[at] += end - start
     return np.column_stack([total / np.maximum(n, 1)[:, None], np.log1p(n)])
 
 
