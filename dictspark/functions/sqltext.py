@@ -14,7 +14,7 @@ def name(column: str) -> str:
 
 def text(value: str) -> str:
     """A string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\r", "\\r") + "'"
 
 
 def failure(message: str, kind: str = "string") -> str:

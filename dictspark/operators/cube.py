@@ -24,12 +24,13 @@ AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
 @dataclass(frozen=True)
 class Characteristic:
     """A dimension of a cube. ``texts`` has (key, text); ``nodes`` are hierarchy nodes whose
-    ``node_value`` is a member key."""
+    ``node_value`` is a member key, and ``hierarchy`` names one hierarchy among them."""
 
     name: str
     column: str = ""
     texts: DataFrame | None = None
     nodes: DataFrame | None = None
+    hierarchy: str = ""
 
     @property
     def source(self) -> str:
@@ -54,6 +55,7 @@ class Variable:
     characteristic: str
     text: str = ""
     mandatory: bool = False
+    initial_allowed: bool = True
     input_enabled: bool = True
     is_exit_variable: bool = False
     var_type: str = "CHARACTERISTIC_VALUE"
@@ -62,7 +64,10 @@ class Variable:
 
     @property
     def entry_type(self) -> str:
-        return "MANDATORY" if self.mandatory else "OPTIONAL"
+        """Whether a value is needed, and for a needed one whether it may be initial (blank)."""
+        if not self.mandatory:
+            return "OPTIONAL"
+        return "MANDATORY" if self.initial_allowed else "MANDATORY_NOT_INITIAL"
 
 
 VARIABLE_COLUMNS = "name string, text string, mandatory boolean, input_enabled boolean, is_exit_variable boolean, var_type string, selection_type string, entry_type string, reference_char string"
@@ -151,6 +156,9 @@ class Cube:
         missing = [v.name for v in self.variables if v.mandatory and v.name not in filled]
         if missing:
             raise ValueError(f"mandatory variables without a value: {', '.join(missing)}")
+        initial = [v["NAME"] for v in (*values, *hierarchy_variables) if known[v["NAME"]].entry_type == "MANDATORY_NOT_INITIAL" and not (v.get("LOW") or "").strip()]
+        if initial:
+            raise ValueError(f"variables that must not be initial: {', '.join(dict.fromkeys(initial))}")
         options = []
         for value in values:
             _, sign, op, low, high = normalized(value)
@@ -161,7 +169,7 @@ class Cube:
             char = self._char(known[value["NAME"]].characteristic)
             if char.nodes is None:
                 raise ValueError(f"characteristic {char.name!r} has no hierarchy")
-            nodes = H.valid_nodes(char.nodes, value.get("HIERARCHY_VERSION") or H.ACTIVE, value.get("HIERARCHY_DUE_DATE") or H.DUE_DATE)
+            nodes = H.valid_nodes(char.nodes, value.get("HIERARCHY_VERSION") or H.ACTIVE, value.get("HIERARCHY_DUE_DATE") or H.DUE_DATE, value.get("HIERARCHY_NAME"))
             trees.append((char.name, nodes.where(F.col("node_name") == value["LOW"]), nodes))
         restricted = tuple((name, _members_below(top, nodes)) for name, top, nodes in trees)
         return replace(self, options=(*self.options, *options), subtrees=(*self.subtrees, *restricted))
@@ -254,18 +262,15 @@ class Cube:
         return df
 
     def _leaves(self, df: DataFrame) -> list[tuple[str, Column | None, Measure]]:
-        """(column name, member condition, measure) of every leaf of the column axis."""
+        """(column name, member condition, measure) of every leaf of the column axis; members are in the columns ``_c<n>``."""
         paths: list[tuple[tuple[str, ...], Column | None]] = [((), None)]
         known = dict(self.column_members)
-        for char in self.column_axis:
+        for at, char in enumerate(self.column_axis):
             source = self._char(char).source
             members = self._ordered(char, known.get(char) or self.members.get(char) or self._discover(df, source))
             labels = self._labels(char, members)
-            paths = [
-                ((*names, labels[str(m)]), F.col(source).cast("string").eqNullSafe(F.lit(str(m))) if cond is None else cond & F.col(source).cast("string").eqNullSafe(F.lit(str(m))))
-                for names, cond in paths
-                for m in members
-            ]
+            is_member = {m: F.col(f"_c{at}").eqNullSafe(F.lit(str(m))) for m in members}
+            paths = [((*names, labels[str(m)]), is_member[m] if cond is None else cond & is_member[m]) for names, cond in paths for m in members]
         names = measure_names(self.measures)
         leaves = [("_".join((*path, name)), cond, m) for path, cond in paths for name, m in zip(names, self.measures)]
         if len(leaves) > MAX_LEAVES:
@@ -298,18 +303,19 @@ class Cube:
     def result(self, grand_total: bool = True) -> DataFrame:
         """Row members as text, their hierarchy levels, then one DOUBLE per leaf.
 
-        The data is aggregated once at the detail level; totals and hierarchy nodes are derived
-        from that small result, so the facts are neither expanded nor shuffled again.
+        The facts are aggregated once, by the members of rows and columns; the leaves are spread from
+        those groups, so a fact costs as many sums as there are measures, not leaves. Totals and hierarchy
+        nodes are derived from the spread rows, so the facts are neither expanded nor shuffled again.
         """
         data = self.restricted()
         leaves = self._leaves(data)
         names = row_names(self.row_axis)
         sources = [self._char(c).source for c in self.row_axis]
-        facts = [
-            AGGREGATES[m.agg](F.expr(m.expression) if cond is None else F.when(cond, F.expr(m.expression))).alias(f"_m{i}")
-            for i, (_, cond, m) in enumerate(leaves)
-        ]
-        base = data.groupBy(*[F.col(s).cast("string").alias(f"_k{i}") for i, s in enumerate(sources)]).agg(*facts)
+        keys = [F.col(s).cast("string").alias(f"_k{i}") for i, s in enumerate(sources)]
+        across = [F.col(self._char(c).source).cast("string").alias(f"_c{i}") for i, c in enumerate(self.column_axis)]
+        base = data.groupBy(*keys, *across).agg(*[AGGREGATES[m.agg](F.expr(m.expression)).alias(f"_m{i}") for i, m in enumerate(self.measures)])
+        if across:
+            base = self._spread(base, [f"_k{i}" for i in range(len(keys))], leaves)
         with_totals = self._with_totals(base, leaves, grand_total).withColumns({f"_l{i}": F.lit(0) for i in range(len(sources))})
         with_nodes = self._with_nodes(with_totals, leaves)
         shown = self._displayed(with_nodes)
@@ -320,6 +326,15 @@ class Cube:
             *[F.col(f"_m{i}").cast("double").alias(name) for i, (name, _, _) in enumerate(leaves)],
         )
 
+    def _spread(self, groups: DataFrame, keys: list[str], leaves) -> DataFrame:
+        """One column per leaf, from one row per member of the rows and the columns."""
+        place = {id(m): i for i, m in enumerate(self.measures)}
+        cells = []
+        for i, (_, cond, m) in enumerate(leaves):
+            cell = MERGES[m.agg](F.when(cond, F.col(f"_m{place[id(m)]}")))
+            cells.append((F.coalesce(cell, F.lit(0)) if m.agg == "count" else cell).alias(f"_m{i}"))
+        return groups.groupBy(*keys).agg(*cells)
+
     def _merge(self, leaves) -> list[Column]:
         return [MERGES[m.agg](f"_m{i}").alias(f"_m{i}") for i, (_, _, m) in enumerate(leaves)]
 
@@ -341,7 +356,7 @@ class Cube:
             char = self._char(name)
             if char.nodes is None:
                 continue
-            nodes = H.valid_nodes(char.nodes)
+            nodes = H.valid_nodes(char.nodes, name=char.hierarchy or None)
             walked = H.walk(nodes)
             above = (
                 walked.join(nodes.select("node_id", F.col("node_value").alias("_member")), "node_id")

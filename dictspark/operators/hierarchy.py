@@ -26,9 +26,11 @@ MAX_LEVELS = 1000
 WALKED = ("node_id", "level", "path", "ancestors")
 
 
-def valid_nodes(nodes: DataFrame, version: str = ACTIVE, date_to: str | None = None) -> DataFrame:
-    """Nodes of a version that are valid on the due date."""
+def valid_nodes(nodes: DataFrame, version: str = ACTIVE, date_to: str | None = None, name: str | None = None) -> DataFrame:
+    """Nodes of a version that are valid on the due date, of the hierarchy ``name`` where nodes tell theirs (``hierarchy_name``)."""
     due = date_to or DUE_DATE
+    if "hierarchy_name" in nodes.columns:
+        nodes = (nodes if name is None else nodes.where(F.col("hierarchy_name") == name)).drop("hierarchy_name")
     return nodes.where((F.col("version") == version) & (F.col("date_from") <= due) & (F.col("date_to") >= due)).drop("version")
 
 
@@ -78,9 +80,9 @@ def walk(nodes: DataFrame, root: Column | None = None) -> DataFrame:
     return reduce(DataFrame.unionByName, levels) if levels else level
 
 
-def hierarchy(nodes: DataFrame, version: str = ACTIVE, date_to: str | None = None) -> DataFrame:
+def hierarchy(nodes: DataFrame, version: str = ACTIVE, date_to: str | None = None, name: str | None = None) -> DataFrame:
     """An extracted hierarchy with links, levels and paths."""
-    valid = valid_nodes(nodes, version, date_to)
+    valid = valid_nodes(nodes, version, date_to, name)
     return links(valid).join(walk(valid).select("node_id", "level", "path"), "node_id", "left").select(*COLUMNS)
 
 

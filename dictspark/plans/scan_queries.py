@@ -13,7 +13,7 @@ from ..sources.catalog import attach, federate
 from ..sources.extract import decode_cells, decode_extract, encode_extract
 from ..sources.files import read_csv, write_table
 from ..sources.reader import read_table
-from .inputs import EVENTS, LINEITEM, ORDERS, entries, events, lineitem, orders, portable
+from .inputs import DOCUMENT, EVENTS, LINEITEM, ORDERS, entries, events, lineitem, orders, portable
 from .registry import query, table
 
 ORDER_COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -107,7 +107,6 @@ def decode_delimited(spark, sf_dir):
     return portable(decode_extract(lines, ORDERS, "delimited", "|"))
 
 
-DOCUMENT = [Field("doc_id", "NUMC", 10, key=True), Field("lang", "LANG", 2), Field("source", "STRING"), Field("text", "STRING")]
 UNIT_SEPARATOR = "\x1f"
 
 

@@ -13,25 +13,30 @@ from collections.abc import Iterator, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-from ..functions.types import CHAR_TYPES, Field, cell_width, data_fields
+from ..functions.types import CHAR_TYPES, TEXT_TYPES, Field, cell_width, data_fields
 from .dictionary import FIELD_ROW, _fields_of, as_fields, fields_frame
 from .extract import LINE, decode_cells, decode_extract, encode_extract
-from .layouts import DEFAULT_DELIMITER, layout_named
+from .layouts import DEFAULT_DELIMITER, escapes, layout_named
 
 FORMAT = "dictextract"
 PUSHDOWN_CONF = "spark.sql.python.filterPushdown.enabled"
 SPLIT_BYTES = 64 << 20
 READ_AHEAD = 64 << 10
 BATCH_LINES = 16_384
+BATCH_BYTES = 1 << 20
+COMPRESSED = (".gz", ".bz2")
 TABLE = "extract"
 
 
-def write_extract(df: DataFrame, fields: Sequence[Field], path: str, layout: str = "delimited", delimiter: str = DEFAULT_DELIMITER) -> str:
-    """Write an extract folder."""
-    encode_extract(df, fields, layout, delimiter).select(LINE).write.text(f"{path}/lines")
+def write_extract(df: DataFrame, fields: Sequence[Field], path: str, layout: str = "delimited", delimiter: str = DEFAULT_DELIMITER, escape: bool = False) -> str:
+    """Write an extract folder. A line break inside a cell would read as two rows: an error, unless ``escape`` writes it as a pair."""
+    lines = encode_extract(df, fields, layout, delimiter, escape=escape).select(LINE)
+    broken = F.raise_error(F.lit("a cell contains a line break; write it with escape=True")).cast("string")
+    lines.select(F.when(F.col(LINE).rlike("[\\n\\r]"), broken).otherwise(F.col(LINE)).alias(LINE)).write.text(f"{path}/lines")
     fields_frame(df.sparkSession, {TABLE: fields}).coalesce(1).write.json(f"{path}/dictionary")
     return path
 
@@ -41,13 +46,14 @@ def extract_fields(spark: SparkSession, path: str) -> list[Field]:
     return as_fields(spark.read.schema(FIELD_ROW).json(f"{path}/dictionary"))
 
 
-def read_extract(spark: SparkSession, path: str, layout: str = "delimited", delimiter: str = DEFAULT_DELIMITER, connector: bool = False) -> DataFrame:
-    """An extract folder as a typed DataFrame, read by the JVM text source or by the connector."""
+def read_extract(spark: SparkSession, path: str, layout: str = "delimited", delimiter: str = DEFAULT_DELIMITER, connector: bool = False, escape: bool = False) -> DataFrame:
+    """An extract folder as a typed DataFrame, read by the JVM text source or by the connector; files in subfolders too."""
     fields = extract_fields(spark, path)
     if not connector:
-        return decode_extract(spark.read.text(f"{path}/lines").withColumnRenamed("value", LINE), fields, layout, delimiter)
+        lines = spark.read.option("recursiveFileLookup", "true").text(f"{path}/lines").withColumnRenamed("value", LINE)
+        return decode_extract(lines, fields, layout, delimiter, escape=escape)
     register(spark)
-    cells = spark.read.format(FORMAT).option("layout", layout).option("delimiter", delimiter).load(path)
+    cells = spark.read.format(FORMAT).option("layout", layout).option("delimiter", delimiter).option("escape", str(escape).lower()).load(path)
     return decode_cells(cells, fields)
 
 
@@ -71,12 +77,14 @@ def _data_files(path: str, folder: str) -> list:
     from pyarrow import fs
 
     system, root = _filesystem(path)
-    found = system.get_file_info(fs.FileSelector(f"{root}/{folder}"))
-    return [f for f in found if f.is_file and f.size and not f.base_name.startswith(("_", "."))]
+    top = f"{root}/{folder}"
+    found = system.get_file_info(fs.FileSelector(top, recursive=True))
+    hidden = [any(part.startswith(("_", ".")) for part in f.path[len(top) :].split("/")) for f in found]
+    return [f for f, hide in zip(found, hidden) if f.is_file and f.size and not hide]
 
 
 class DictExtractSource(DataSource):
-    """Options: ``path`` (the extract folder), ``layout``, ``delimiter``, ``splitBytes``."""
+    """Options: ``path`` (the extract folder), ``layout``, ``delimiter``, ``escape``, ``splitBytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -100,9 +108,9 @@ class DictExtractSource(DataSource):
 
 
 class LineRange(InputPartition):
-    """Lines that begin in a byte range of a file."""
+    """Lines that begin in a byte range of a file; without an end, all lines of a compressed file."""
 
-    def __init__(self, path: str, start: int, end: int):
+    def __init__(self, path: str, start: int, end: int | None):
         super().__init__((path, start, end))
         self.path, self.start, self.end = path, start, end
 
@@ -113,6 +121,7 @@ class DictExtractReader(DataSourceReader):
         self.layout = layout_named(options.get("layout", "delimited"))
         self.delimiter = options.get("delimiter", DEFAULT_DELIMITER)
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
+        self.escapes = escapes(self.layout, self.delimiter) if options.get("escape", "false").lower() == "true" else []
         self.fields = list(fields)
         self.names = schema.names
         self.wanted: dict[str, list[set[str]]] = {}
@@ -132,6 +141,9 @@ class DictExtractReader(DataSourceReader):
     def partitions(self) -> list[LineRange]:
         ranges = []
         for file in _data_files(self.path, "lines"):
+            if file.path.endswith(COMPRESSED):
+                ranges.append(LineRange(file.path, 0, None))
+                continue
             ranges += [LineRange(file.path, at, min(at + self.split_bytes, file.size)) for at in range(0, file.size, self.split_bytes)]
         return ranges or [LineRange("", 0, 0)]
 
@@ -150,6 +162,9 @@ class DictExtractReader(DataSourceReader):
     def _lines(self, partition: LineRange) -> Iterator[str]:
         """A range owns the lines that begin in it; the one before its start belongs to its neighbour."""
         system, _ = _filesystem(self.path)
+        if partition.end is None:
+            yield from self._decompressed(system, partition.path)
+            return
         begin = max(partition.start - 1, 0)
         with system.open_input_file(partition.path) as stream:
             stream.seek(begin)
@@ -164,6 +179,17 @@ class DictExtractReader(DataSourceReader):
         for raw in data.removesuffix(b"\n").split(b"\n") if data else ():
             yield raw.decode("utf-8").removesuffix("\r")
 
+    @staticmethod
+    def _decompressed(system, path: str) -> Iterator[str]:
+        rest = b""
+        with system.open_input_stream(path, compression="detect") as stream:
+            while data := stream.read(BATCH_BYTES):
+                *whole, rest = (rest + data).split(b"\n")
+                for raw in whole:
+                    yield raw.decode("utf-8").removesuffix("\r")
+        if rest:
+            yield rest.decode("utf-8").removesuffix("\r")
+
     def _cells(self, lines: list[str]):
         """One Arrow batch of text cells, character cells right-trimmed, pushed filters applied."""
         import pyarrow as pa
@@ -178,6 +204,8 @@ class DictExtractReader(DataSourceReader):
             for field in self.fields:
                 cells.append(pc.utf8_slice_codeunits(text, start, start + cell_width(field)))
                 start += cell_width(field)
+        for plain, written in self.escapes:
+            cells = [pc.replace_substring(c, written, plain) if f.type in TEXT_TYPES else c for c, f in zip(cells, self.fields)]
         cells = [pc.utf8_rtrim(c, characters=" ") if f.type in CHAR_TYPES else c for c, f in zip(cells, self.fields)]
         batch = pa.RecordBatch.from_arrays(cells, names=[f.name for f in self.fields]).select(self.names)
         for column, choices in self.wanted.items():

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.decode import decode_cell
 from ..functions.encode import encode_cell
 from ..functions.sqltext import name
-from ..functions.types import Field, data_fields
+from ..functions.types import TEXT_TYPES, Field, data_fields
 from .dictionary import as_fields
-from .layouts import DEFAULT_DELIMITER, bucket_for, checked_line, chunk_line, join_cells, layout_named, split_pattern
+from .layouts import DEFAULT_DELIMITER, bucket_for, checked_line, chunk_line, escaped_cell, join_cells, layout_named, split_pattern, unescaped_cell
 
 LINE = "line"
 PARTS = "_parts"
@@ -61,12 +61,16 @@ def decode_extract(
     strict: bool = False,
     initial_time_is_null: bool = True,
     line: str = LINE,
+    escape: bool = False,
 ) -> DataFrame:
-    """Lines → typed DataFrame. One narrow projection: no shuffle, no Python."""
+    """Lines → typed DataFrame. One narrow projection: no shuffle, no Python. ``escape`` reads cells as written with it."""
     fields = data_fields(as_fields(fields))
-    if not layout_named(layout).delimited:
+    shape = layout_named(layout)
+    if not shape.delimited and not escape:
         return decode_cells(split_extract(lines, fields, layout, delimiter, line), fields, strict, initial_time_is_null)
     located, keep, cells = _located(lines, fields, layout, delimiter, line)
+    if escape:
+        cells = [unescaped_cell(cell, shape, delimiter) if f.type in TEXT_TYPES else cell for cell, f in zip(cells, fields)]
     typed = [f"{decode_cell(cell, f, strict, initial_time_is_null)} AS {name(f.name)}" for cell, f in zip(cells, fields)]
     return located.selectExpr(*keep, *typed)
 
@@ -78,12 +82,19 @@ def encode_extract(
     delimiter: str = DEFAULT_DELIMITER,
     keep: Sequence[str] = (),
     line: str = LINE,
+    escape: bool = False,
 ) -> DataFrame:
-    """Typed DataFrame → lines; bucketed layouts add the chosen ``bucket``."""
+    """Typed DataFrame → lines; bucketed layouts add the chosen ``bucket``, NULL for a row above the largest.
+
+    ``escape`` writes delimiters and line breaks inside text cells as pairs, so that any text can be read back.
+    """
     fields = data_fields(as_fields(fields))
     shape = layout_named(layout)
     kept = [name(k) for k in keep]
-    cells = df.selectExpr(*kept, *[f"{encode_cell(name(f.name), f)} AS _{i}" for i, f in enumerate(fields)])
+    encoded = [encode_cell(name(f.name), f) for f in fields]
+    if escape:
+        encoded = [escaped_cell(cell, shape, delimiter) if f.type in TEXT_TYPES else cell for cell, f in zip(encoded, fields)]
+    cells = df.selectExpr(*kept, *[f"{cell} AS _{i}" for i, cell in enumerate(encoded)])
     joined = join_cells([f"_{i}" for i in range(len(fields))], fields, shape, delimiter)
     lines = cells.selectExpr(*kept, f"{joined} AS {name(line)}")
     out = lines.selectExpr(*kept, f"{checked_line(name(line), fields, shape, delimiter)} AS {name(line)}")

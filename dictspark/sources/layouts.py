@@ -20,6 +20,10 @@ DEFAULT_DELIMITER = "~"
 
 CHUNK = 20
 
+#: How an escaped cell writes what would end it or its line. The sign itself comes last when reading: until then each one begins a pair.
+ESCAPE = "\\"
+ESCAPES = (("\n", "n"), ("\r", "r"), (None, "d"), (ESCAPE, "s"))
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -100,6 +104,29 @@ def checked_line(line: str, fields: Sequence[Field], layout: Layout, delimiter:
     return f"if({found} <> {expected}, {failure(message)}, {line})"
 
 
+def escapes(layout: Layout, delimiter: str) -> list[tuple[str, str]]:
+    """(text, how it is written) in the order of reading; for delimited layouts only, since escapes change widths."""
+    if not layout.delimited:
+        raise ValueError(f"cells of layout {layout.name!r} cannot be escaped")
+    if set(delimiter) & {ESCAPE, *(sign for _, sign in ESCAPES)}:
+        raise ValueError(f"the delimiter {delimiter!r} takes part in escapes")
+    return [(delimiter if plain is None else plain, ESCAPE + sign) for plain, sign in ESCAPES]
+
+
+def escaped_cell(cell: str, layout: Layout, delimiter: str = DEFAULT_DELIMITER) -> str:
+    """SQL text of a cell without line breaks and delimiters."""
+    for plain, written in reversed(escapes(layout, delimiter)):
+        cell = f"replace({cell}, {text(plain)}, {text(written)})"
+    return cell
+
+
+def unescaped_cell(cell: str, layout: Layout, delimiter: str = DEFAULT_DELIMITER) -> str:
+    """SQL text of what :func:`escaped_cell` was given."""
+    for plain, written in escapes(layout, delimiter):
+        cell = f"replace({cell}, {text(written)}, {text(plain)})"
+    return cell
+
+
 def _pad(cell: str, field: Field) -> str:
     width = cell_width(field)
     message = f"concat({text(f'field {field.name} is wider than {width}: ')}, {cell})"

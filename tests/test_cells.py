@@ -170,6 +170,18 @@ def test_long_cells_survive(spark):
     assert sorted(len(r[0]) for r in back.collect()) == sizes
 
 
+def test_escaped_cells_survive(spark):
+    texts = ["a|b", "one\ntwo", "\r\n", "\\n \\s \\\\", "|", "", "plain", "\\", "\\d|"]
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "c string, n int").coalesce(1)
+    fields = [Field("c", "STRING"), Field("n", "INT4")]
+    lines = encode_extract(rows, fields, "long_string", "|", escape=True)
+    assert not any({"\n", "\r"} & set(r[0]) for r in lines.collect())
+    assert [r.c for r in decode_extract(lines, fields, "long_string", "|", escape=True).collect()] == texts
+    for layout, delimiter in (("fixed", "|"), ("delimited", "n"), ("delimited", "\\")):
+        with pytest.raises(ValueError):
+            encode_extract(rows, fields, layout, delimiter, escape=True)
+
+
 def test_blank_number_keys_match_nothing(spark):
     rows = number_keys(spark.createDataFrame([("0000000000",), ("  ",), ("12",)], "k string"), ["k"])
     assert [r[0] for r in rows.collect()] == [0, -1, 12]

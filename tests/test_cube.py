@@ -134,3 +134,34 @@ def test_numbered(spark):
     out = numbered(df, [F.desc("g"), "id"]).orderBy("row_no").collect()
     assert [r.row_no for r in out] == list(range(1, 1001))
     assert [(r.g, r.id) for r in out] == sorted(((i % 7, i) for i in range(1000)), key=lambda p: (-p[0], p[1]))
+
+
+def test_pivot_of_counts_and_extremes(spark):
+    facts = spark.createDataFrame([("a", "x", 1.0), ("a", "x", None), ("a", "y", 5.0), ("b", "x", 3.0), ("b", None, 9.0)], "r string, c string, v double")
+    for agg, want in {
+        "sum": [("a", 1.0, 5.0), ("b", 3.0, None), ("SUMME", 4.0, 5.0)],
+        "count": [("a", 1.0, 1.0), ("b", 1.0, 0.0), ("SUMME", 2.0, 1.0)],
+        "max": [("a", 1.0, 5.0), ("b", 3.0, None), ("SUMME", 3.0, 5.0)],
+    }.items():
+        cube = Cube.of(facts, [Characteristic("r"), Characteristic("c")], [Measure("v", "v", agg=agg)])
+        assert rows(cube.rows("r").columns("c").result().select("r", "x_v", "y_v")) == want
+
+
+def test_hierarchies_by_name(spark, nodes):
+    other = nodes.withColumn("hierarchy_name", F.lit("B")).withColumn("node_id", F.col("node_id") + 100).withColumn("parent_id", F.col("parent_id") + 100)
+    both = nodes.withColumn("hierarchy_name", F.lit("A")).unionByName(other)
+    assert sorted(map(tuple, H.hierarchy(both, name="A").collect()), key=str) == sorted(map(tuple, H.hierarchy(nodes).collect()), key=str)
+    facts = spark.createDataFrame(FACTS, "country string, product string, year string, amount double")
+
+    def result(frame, name):
+        return sorted(rows(Cube.of(facts, [Characteristic("tree", "country", nodes=frame, hierarchy=name)], [Measure("amount", "amount")]).rows("tree").result()), key=str)
+
+    assert result(both, "B") == result(nodes, "")
+
+
+def test_mandatory_variables_that_must_not_be_initial(cube):
+    strict = Cube.of(cube.df, cube.characteristics.values(), cube.measures, [Variable("YEAR", "year", mandatory=True, initial_allowed=False)])
+    assert strict.list_variables().first().entry_type == "MANDATORY_NOT_INITIAL"
+    with pytest.raises(ValueError, match="must not be initial"):
+        strict.begin(variables=[{"NAME": "YEAR", "SIGN": "I", "OP": "EQ", "LOW": " "}])
+    assert strict.begin(variables=[{"NAME": "YEAR", "SIGN": "I", "OP": "EQ", "LOW": "2020"}]).options

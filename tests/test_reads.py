@@ -157,3 +157,17 @@ def test_rules_pair_without_products(spark):
 def test_object_types_are_checked(spark):
     with pytest.raises(ValueError, match="object type"):
         show_objects(spark.range(1), "NOPE")
+
+
+def test_extracts_with_line_breaks_subfolders_and_compression(spark):
+    texts = ["one\ntwo", "a~b\r", "\\n", "", "x" * 70000]
+    rows = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(texts)], "k string, t string").coalesce(1)
+    fields = [Field("k", "CHAR", 3), Field("t", "STRING")]
+    with pytest.raises(Exception, match="line break"):
+        write_extract(rows.where("k = '000'"), fields, work_dir(spark, "extract"), "long_string")
+    path = write_extract(rows, fields, work_dir(spark, "extract"), "long_string", escape=True)
+    plain = spark.read.text(f"{path}/lines")
+    plain.write.option("compression", "gzip").text(f"{path}/lines/older/zipped")
+    for connector in (False, True):
+        back = read_extract(spark, path, "long_string", connector=connector, escape=True)
+        assert sorted(map(tuple, back.collect())) == sorted(2 * [(f"{i:03}", t) for i, t in enumerate(texts)])
