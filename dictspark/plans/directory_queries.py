@@ -389,14 +389,23 @@ def sql_describe_fields(spark, sf_dir):
 
 @query(
     "list_variables",
-    "SELECT 'Z' || upper(name) AS name, members FROM (SELECT 'segment' AS name, count(DISTINCT c_mktsegment) AS members FROM customer UNION ALL SELECT 'nation', count(DISTINCT c_nationkey) FROM customer)",
+    "SELECT v.*, members FROM (VALUES ('ZSEGMENT', 'Segment', true, true, false, 'CHARACTERISTIC_VALUE', 'SELECTION_OPTION', 'MANDATORY_NOT_INITIAL', 'segment'), "
+    "('ZNATION', '', false, true, false, 'CHARACTERISTIC_VALUE', 'VALUE', 'OPTIONAL', 'nation'), ('ZNODE', 'Node', true, true, false, 'HIERARCHY_NODE', 'VALUE', 'MANDATORY', 'nation'), "
+    "('ZEXIT', '', false, false, true, 'CHARACTERISTIC_VALUE', 'SELECTION_OPTION', 'OPTIONAL', 'nation')) "
+    "v(name, text, mandatory, input_enabled, is_exit_variable, var_type, selection_type, entry_type, reference_char) "
+    "JOIN (SELECT 'segment' AS name, count(DISTINCT c_mktsegment) AS members FROM customer UNION ALL SELECT 'nation', count(DISTINCT c_nationkey) FROM customer) m "
+    "ON m.name = v.reference_char",
 )
 def list_variables(spark, sf_dir):
-    """Variables of a query that can be filled, with the number of members each can choose from."""
+    """All columns of a query's variables, with the number of members each can choose from."""
     chars = [Characteristic("segment", "c_mktsegment"), Characteristic("nation", "c_nationkey")]
-    variables = [Variable("ZSEGMENT", "segment", mandatory=True), Variable("ZNATION", "nation"), Variable("ZEXIT", "nation", input_enabled=False, is_exit_variable=True)]
+    variables = [
+        Variable("ZSEGMENT", "segment", "Segment", mandatory=True, initial_allowed=False, reference_char="segment"),
+        Variable("ZNATION", "nation", selection_type="VALUE", reference_char="nation"),
+        Variable("ZNODE", "nation", "Node", mandatory=True, var_type="HIERARCHY_NODE", selection_type="VALUE", reference_char="nation"),
+        Variable("ZEXIT", "nation", input_enabled=False, is_exit_variable=True, reference_char="nation"),
+    ]
     state = Cube.of(table(spark, sf_dir, "customer"), chars, [Measure("c_acctbal", "balance")], variables)
-    listed = state.list_variables().where("input_enabled").withColumn("char", F.lower(F.substring("name", 2, 30)))
-    members = state.describe().select(F.col("name").alias("char"), "members")
-    return listed.join(members, "char").select("name", "members")
+    members = state.describe().select(F.col("name").alias("reference_char"), "members")
+    return state.list_variables().join(members, "reference_char")
 

@@ -53,10 +53,16 @@ def read_extract(spark: SparkSession, path: str, layout: str = "delimited", deli
         lines = spark.read.option("recursiveFileLookup", "true").text(f"{path}/lines").withColumnRenamed("value", LINE)
         return decode_extract(lines, fields, layout, delimiter, escape=escape)
     register(spark)
-    cells = spark.read.format(FORMAT).option("layout", layout).option("delimiter", delimiter).option("escape", str(escape).lower()).load(path)
+    cells = spark.read.format(FORMAT).option("layout", layout).option("delimiter", delimiter).option("escape", str(escape).lower()).load(qualified(spark, path))
     return decode_cells(cells, fields)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without belongs to the cluster's default file system, as for Spark's own readers."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def register(spark: SparkSession) -> None:
     """Make the format known to a session. The source travels to the executors with its code, so
     the package need not be installed there."""
