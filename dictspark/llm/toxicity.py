@@ -21,9 +21,9 @@ PASSAGE_WORDS = 12
 #: Longer texts are read in blocks of about so many bytes, cut at a space; passages begin anew in each.
 BLOCK_BYTES = 1 << 18
 #: Bounds of the labelled rows to learn from, by class.
-MAX_TOXIC, MAX_CLEAN = 1400, 2200
+MAX_TOXIC, MAX_CLEAN = 1400, 5000
 #: Passages of one document to learn from, by class; the others of a longer one are left out at random.
-TOXIC_PASSAGES, CLEAN_PASSAGES = 120, 24
+TOXIC_PASSAGES, CLEAN_PASSAGES = 120, 12
 EPOCHS = 12
 
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], np.uint32)
