@@ -98,13 +98,14 @@ def trace(arcs: DataFrame, start: DataFrame, direction: str = "down", max_depth:
     """(node, depth): everything reachable from the ``start`` nodes, with the least depth.
 
     Breadth first: each round follows only the nodes found last and drops those seen before, so
-    cycles end. A hub's edges are split over tasks by the semi join; rounds are written to the
-    shared folder, so neither the plan nor the work to redo after a loss grows.
+    cycles end. Repeated arcs do no harm, since the nodes of a round are made distinct: arcs are written as they come,
+    without a shuffle. A hub's edges are split over tasks by the semi join; rounds are written to the shared folder, so
+    neither the plan nor the work to redo after a loss grows.
     """
     if direction not in ("down", "up"):
         raise ValueError("direction must be 'down' or 'up'")
     near, far = ("src", "tgt") if direction == "down" else ("tgt", "src")
-    arcs = cut_lineage(arcs.select(F.col(near).alias("near"), F.col(far).alias("far")).distinct())
+    arcs = cut_lineage(arcs.select(F.col(near).alias("near"), F.col(far).alias("far")))
     frontier = cut_lineage(start.select(F.col("node").cast("string").alias("node")).distinct().withColumn("depth", F.lit(0)))
     seen = frontier
     for depth in count(1):

@@ -387,6 +387,25 @@ def sql_describe_fields(spark, sf_dir):
     return spark.sql("SELECT pos, field, sap_type FROM describe_fields('T5')")
 
 
+@query(
+    "sql_describe_cube",
+    f"SELECT DISTINCT cube, element, text FROM ({plain(ELEMENTS)}) WHERE cube = 'C7' AND role = 'CHARACTERISTIC'",
+)
+def sql_describe_cube(spark, sf_dir):
+    register_searches(spark, described_cubes=Dir.describe_cube(fixture(spark, sf_dir, ELEMENTS)))
+    return spark.sql("SELECT cube, c.element, c.text FROM describe_cube('C7') LATERAL VIEW explode(characteristics) AS c")
+
+
+@query(
+    "sql_describe_function",
+    f"SELECT function, name, {_SQL_TYPE} AS sql_type, text FROM (SELECT DISTINCT * FROM ({plain(PARAMETERS)})) WHERE function = 'F7' AND direction = 'export'",
+)
+def sql_describe_function(spark, sf_dir):
+    parameters = fixture(spark, sf_dir, PARAMETERS.replace('"default"', "`default`"))
+    register_searches(spark, described_functions=Dir.describe_function(parameters, size=SIGNATURE_ROWS))
+    return spark.sql("SELECT function, p.name, p.sql_type, p.text FROM describe_function('F7') LATERAL VIEW explode(export) AS p")
+
+
 @query(
     "list_variables",
     "SELECT v.*, members FROM (VALUES ('ZSEGMENT', 'Segment', true, true, false, 'CHARACTERISTIC_VALUE', 'SELECTION_OPTION', 'MANDATORY_NOT_INITIAL', 'segment'), "

@@ -60,13 +60,25 @@ SEARCHES = {
         "infoobjects", ("name",), _same("info_object", "data_type", "conv_exit", "length", "decimals"), "t.info_object = :name", {"length": "INT", "decimals": "INT"}
     ),
 }
+#: Table functions over what a search has nested already: the frame of that search, and the column its argument is compared with.
+NESTED = {"describe_function": ("described_functions", "function"), "describe_cube": ("described_cubes", "cube")}
 
 
 def register_searches(spark: SparkSession, **extracts: DataFrame) -> list[str]:
-    """Create the table functions of the given extracts (``tables=``, ``fields=``, ...)."""
+    """Create the table functions of the given extracts (``tables=``, ``fields=``, ...).
+
+    ``described_functions=`` and ``described_cubes=`` take the rows of ``describe_function`` and ``describe_cube``. Their
+    argument is compared with the key these are grouped by, so Catalyst filters the extracts before it nests them.
+    """
     for extract, df in extracts.items():
         df.createOrReplaceTempView(f"dictionary_{extract}")
     made = [name for name, search in SEARCHES.items() if search.extract in extracts]
     for name in made:
         spark.sql(SEARCHES[name].sql(name))
+    for name, (extract, key) in NESTED.items():
+        if extract in extracts:
+            returns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extracts[extract].schema)
+            shown = ", ".join(f"t.`{c}`" for c in extracts[extract].columns)
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(name STRING) RETURNS TABLE ({returns}) RETURN SELECT {shown} FROM dictionary_{extract} t WHERE t.`{key}` = {name}.name")
+            made.append(name)
     return made
