@@ -60,13 +60,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = work_dir(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for CPU-heavy work on an input of few splits.
-
-    An input with at least as many splits as cores is returned as it is, so large tables are
-    never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

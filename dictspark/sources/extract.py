@@ -104,10 +104,6 @@ def encode_extract(
 
 
 def number_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Digit columns as numbers to join on; a blank becomes -1, which no digit column holds.
-
-    A key that cannot be NULL needs no not-null filter. Catalyst would push such a filter below
-    the decoding and so decode every line once more per key.
-    """
-    numbers = {c: f"coalesce(try_cast({name(c)} AS BIGINT), -1) AS {name(c)}" for c in columns}
+    """Digit columns as numbers to join on. A blank becomes NULL, which matches nothing: an inner join drops such rows before its shuffle."""
+    numbers = {c: f"try_cast({name(c)} AS BIGINT) AS {name(c)}" for c in columns}
     return df.selectExpr(*[numbers.get(c, name(c)) for c in df.columns])

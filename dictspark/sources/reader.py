@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,24 @@ def shape_scan(
     return df
 
 
+def _first_files(lines: DataFrame, max_rows: int) -> DataFrame:
+    """The lines of the first files that hold ``max_rows`` of them, found by counting 1, 4, 16, ... files up to that number.
+
+    A limit inside a plan is taken of every split before it is taken of all, so every split of a large table would be
+    read and write ``max_rows`` lines. Folders with partition columns, and names that read as globs, are left whole.
+    """
+    files = sorted(unquote(f) for f in lines.inputFiles())
+    if lines.columns != [LINE] or any(set(f) & set("*?[]{}\\") for f in files):
+        return lines
+    taken = 1
+    while taken < len(files):
+        some = lines.sparkSession.read.text(files[:taken]).withColumnRenamed("value", LINE)
+        if some.limit(max_rows).count() == max_rows:
+            return some
+        taken *= 4
+    return lines
+
+
 def _first_lines(lines: DataFrame, decode: Callable[[DataFrame], DataFrame], max_rows: int, sorted_by_key: Sequence[str]) -> DataFrame:
     """The lines a limit keeps, chosen before any cell but the keys is decoded."""
     if sorted_by_key:
@@ -60,7 +79,7 @@ def _first_lines(lines: DataFrame, decode: Callable[[DataFrame], DataFrame], max
         require_columns(keyed, sorted_by_key)
         lines = keyed.select(KEPT, *sorted_by_key).orderBy(*sorted_by_key).limit(max_rows).select(F.col(KEPT).alias(LINE))
     else:
-        lines = lines.limit(max_rows)
+        lines = _first_files(lines, max_rows).limit(max_rows)
     # a limit leaves one partition; many lines are decoded by all cores
     return lines.repartition(lines.sparkSession.sparkContext.defaultParallelism) if max_rows > LINES_PER_TASK else lines
 

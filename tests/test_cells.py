@@ -184,4 +184,6 @@ def test_escaped_cells_survive(spark):
 
 def test_blank_number_keys_match_nothing(spark):
     rows = number_keys(spark.createDataFrame([("0000000000",), ("  ",), ("12",)], "k string"), ["k"])
-    assert [r[0] for r in rows.collect()] == [0, -1, 12]
+    assert [r[0] for r in rows.collect()] == [0, None, 12]
+    other = spark.createDataFrame([(-1, "none"), (0, "zero"), (12, "twelve"), (None, "null")], "n long, text string")
+    assert {r.text for r in rows.join(other, rows.k == other.n).collect()} == {"zero", "twelve"}
