@@ -171,3 +171,13 @@ def test_extracts_with_line_breaks_subfolders_and_compression(spark):
     for connector in (False, True):
         back = read_extract(spark, path, "long_string", connector=connector, escape=True)
         assert sorted(map(tuple, back.collect())) == sorted(2 * [(f"{i:03}", t) for i, t in enumerate(texts)])
+
+
+def test_limits_read_the_first_files_that_suffice(spark, tmp_path):
+    path = f"{tmp_path}/two words"
+    spark.range(40).selectExpr("concat('A', id) AS value").repartition(8).write.text(path)
+    fields = [Field("c", "CHAR", 3)]
+    for n in (1, 7, 39, 40, 50):
+        kept = read_table(spark, path, max_rows=n, layout="fixed", fields=fields)
+        assert len({r.c for r in kept.collect()}) == min(n, 40)
+    assert len(read_table(spark, path, max_rows=3, layout="fixed", fields=fields).inputFiles()) == 1
