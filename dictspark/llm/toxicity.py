@@ -22,8 +22,9 @@ PASSAGE_WORDS = 12
 BLOCK_BYTES = 1 << 18
 #: Bounds of the labelled rows to learn from, by class.
 MAX_TOXIC, MAX_CLEAN = 1400, 5000
-#: Passages of one document to learn from, by class; the others of a longer one are left out at random.
-TOXIC_PASSAGES, CLEAN_PASSAGES = 120, 12
+#: Passages to learn from: of one toxic document, and of all clean ones together, in equal shares. The others of a longer document are left
+#: out at random.
+TOXIC_PASSAGES, CLEAN_PASSAGES = 120, 62_000
 EPOCHS = 12
 
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], np.uint32)
@@ -251,7 +252,8 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
     spelt = np.concatenate([np.flatnonzero(~held & (y == 1)), np.flatnonzero(~held & (y == 0))[: int((~held & (y == 1)).sum())]])
     texts = [*(texts[i] for i in np.flatnonzero(~held)), *(_misspelt(texts[i] or "", rng) for i in spelt)]
     y = np.concatenate([y[~held], y[spelt]])
-    bags = _Bags(texts, np.where(y == 1, TOXIC_PASSAGES, CLEAN_PASSAGES), rng)
+    clean_share = max(1, CLEAN_PASSAGES // max(1, int((y == 0).sum())))
+    bags = _Bags(texts, np.where(y == 1, TOXIC_PASSAGES, clean_share), rng)
 
     vectors = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     softmax = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
