@@ -55,12 +55,13 @@ def scan(
     initial: Column,
     advance: Callable[[Column, Column], Column],
     step: Callable[[Column, Column], Column],
-    combine: Callable[[Column, Column], Column],
+    combine: Callable[[Column, Column], Column] | None,
     result: str,
 ) -> Column:
     """``step(value, state)`` of every element, the state being ``initial`` advanced by all elements before it.
 
     ``result`` is the type of the steps; ``values`` should be a column, since it is named several times. States are longs; ``combine`` must be what ``advance`` does with a whole block (a sum for sums, the greater for maxima).
+    Without it, blocks are folded one after the other, for states that do not combine.
     A plain fold appends to a growing array, which copies it each time and is quadratic. Here the array is cut into
     blocks as long as the root of its length: states are folded within blocks and over blocks.
     """
@@ -70,7 +71,10 @@ def scan(
     starts = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))).otherwise(F.array().cast("array<int>"))
     blocks = F.transform(starts, lambda b: F.slice(values, b * block + 1, block))
     totals = F.transform(blocks, lambda part: F.aggregate(part, initial, advance))
-    bases = F.aggregate(totals, F.array(initial), lambda acc, t: F.concat(acc, F.array(combine(F.element_at(acc, -1), t))))
+    if combine is None:
+        bases = F.aggregate(blocks, F.array(initial), lambda acc, part: F.concat(acc, F.array(F.aggregate(part, F.element_at(acc, -1), advance).cast("long"))))
+    else:
+        bases = F.aggregate(totals, F.array(initial), lambda acc, t: F.concat(acc, F.array(combine(F.element_at(acc, -1), t))))
 
     def fold(part: Column, base: Column) -> Column:
         done = F.aggregate(

@@ -17,7 +17,7 @@ THRESHOLD = 0.5
 
 @dataclass(frozen=True)
 class Kind:
-    """``pattern`` must begin where a match can begin and never give back what it took, so that a text is read once.
+    """``pattern`` must begin where a match can begin and never give back what it took, so that a text is read once (an IBAN's few characters ahead excepted).
 
     ``guard`` is a cheap test that every text with a match passes.
     """
@@ -34,13 +34,25 @@ EMAIL = Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-
 IP = Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", 0.6, r"\bip\b|address|server|host")
 CARD = Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])", r"[0-9](?:[\x20-]?[0-9]){12}", 0.8, r"card|visa|credit|payment")
 PHONE = Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, r"phone|call|tel|mobile")
-IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", "[A-Z]{2}[0-9]{2}", 0.9, r"iban|account|bank")
+# A match is only the head; group 3 is the text in which it may end, and the character after it if that forbids an end there.
+IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?+[A-Z0-9]){11,30}+[A-Za-z0-9]?))", "[A-Z]{2}[0-9]{2}", 0.9, r"iban|account|bank")
 # Without a checksum, a social security number needs a word that says so.
 SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, r"\bssn\b|social security")
 BASE = (EMAIL, IP, CARD, PHONE)
 KINDS = (*BASE, IBAN, SSN)
 CONTEXT_BONUS = 0.3
 
+#: Length of an IBAN by country. Codes that are not here may have any length from 15 to 34.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 _BYTE = "0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
 
 
@@ -56,16 +68,26 @@ def luhn(digits: Column) -> Column:
     return (F.length(digits) > 0) & (total % 10 == 0)
 
 
-def mod97(iban: Column) -> Column:
-    """Whether an IBAN (spaces allowed) leaves 1 when divided by 97."""
-    plain = F.regexp_replace(iban, " ", "")
-    turned = F.concat(plain.substr(F.lit(5), F.length(plain)), plain.substr(F.lit(1), F.lit(4)))
+def iban_length(head: Column, tail: Column) -> Column:
+    """Characters from the start of ``head`` (country and check digits) to the end of an IBAN that ends in ``tail``, 0 if there is none.
+
+    An IBAN leaves 1 when divided by 97 and ends where no letter or digit follows, after as many as its country has; of an unknown country, the longest counts.
+    """
+    letter = lambda i: F.ascii(head.substr(i, 1)) - 55
+    moved = letter(1) * 10_000 + letter(2) * 100 + head.substr(3, 2).try_cast("int")
+    fixed = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])[head.substr(1, 2)]
 
     def add(acc: Column, i: Column) -> Column:
-        code = F.ascii(turned.substr(i, F.lit(1)))
-        return F.when(code < 58, acc * 10 + code - 48).otherwise(acc * 100 + code - 55) % 97
+        c, following = tail.substr(i, F.lit(1)), tail.substr(i + 1, F.lit(1))
+        code = F.ascii(c)
+        value = F.when(c == " ", acc["value"]).when(code < 58, acc["value"] * 10 + code - 48).otherwise(acc["value"] * 100 + code - 55) % 97
+        n = acc["n"] + F.when(c == " ", 0).otherwise(1)
+        ends = c.rlike("[A-Z0-9]") & following.isin("", " ") & (n == F.coalesce(fixed, n)) & n.between(15, 34)
+        return F.struct(value.cast("long").alias("value"), n.alias("n"), F.when(ends & ((value * 1_000_000 + moved) % 97 == 1), i).otherwise(acc["end"]).alias("end"))
 
-    return F.length(plain).between(15, 34) & (F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add) == 1)
+    start = F.struct(F.lit(0).cast("long").alias("value"), F.lit(4).alias("n"), F.lit(0).alias("end"))
+    end = F.aggregate(F.sequence(F.lit(1), F.length(tail)), start, add)["end"]
+    return F.when(end > 0, end + 4).otherwise(0)
 
 
 def _digits(match: Column) -> Column:
@@ -79,8 +101,6 @@ def _valid(kind: Kind, match: Column) -> Column:
         return luhn(_digits(match))
     if kind is PHONE:
         return F.length(_digits(match)).between(9, 15)
-    if kind is IBAN:
-        return mod97(match)
     return F.lit(True)
 
 
@@ -88,11 +108,12 @@ SPAN = "struct<kind:string,start:bigint,end:bigint,score:double,text:string>"
 
 
 def _candidates(kind: Kind, text: Column) -> Column:
-    """``(gap, hit)`` pairs: a search takes the text up to a match and the match, or the rest of the text, so that lengths add up to positions."""
+    """``(gap, hit, tail)``: a search takes the text up to a match and the match, or the rest of the text, so that lengths add up to positions. Only an IBAN has a tail."""
     search = F.lit(rf"(?s)(.*?)({kind.pattern}|\z)")
     gaps, hits = (F.regexp_extract_all(text, search, F.lit(k)) for k in (1, 2))
-    found = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    return F.when(text.rlike(kind.guard), found).otherwise(F.array().cast("array<struct<gap:string,hit:string>>"))
+    tails = F.regexp_extract_all(text, search, F.lit(3)) if kind is IBAN else F.transform(hits, lambda h: F.lit(""))
+    found = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), tails.alias("tail"))
+    return F.when(text.rlike(kind.guard), found).otherwise(F.array().cast("array<struct<gap:string,hit:string,tail:string>>"))
 
 
 def _spans_of(kind: Kind, found: Column) -> Column:
@@ -102,24 +123,35 @@ def _spans_of(kind: Kind, found: Column) -> Column:
         start = at + F.length(v["gap"])
         near = F.lower(F.right(v["gap"], F.lit(CONTEXT))).rlike(kind.context)
         score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, CONTEXT_BONUS).otherwise(0.0))
-        return F.struct(
-            F.lit(kind.name).alias("kind"), start.cast("long").alias("start"), (start + F.length(v["hit"])).cast("long").alias("end"), score.alias("score"), v["hit"].alias("text")
-        )
+        hit = v["hit"]
+        if kind is IBAN:
+            size = iban_length(hit, v["tail"])
+            hit = F.when(size > 0, F.concat(hit, v["tail"].substr(F.lit(1), size - 4))).otherwise("")
+        return F.struct(F.lit(kind.name).alias("kind"), start.cast("long").alias("start"), (start + F.length(hit)).cast("long").alias("end"), score.alias("score"), hit.alias("text"))
 
     placed = scan(found, F.lit(0), lambda at, v: at + F.length(v["gap"]) + F.length(v["hit"]), step, lambda a, b: a + b, SPAN)
     return F.filter(placed, lambda s: (s["end"] > s["start"]) & (s["score"] >= THRESHOLD) & _valid(kind, s["text"]))
 
 
+def _apart(spans: Column) -> Column:
+    """The spans without those that begin within an earlier one that stays."""
+    after = lambda at, v: F.when(v["start"] >= at, v["end"]).otherwise(at)
+    marked = scan(spans, F.lit(0), after, lambda v, at: F.struct(v.alias("span"), (v["start"] >= at).alias("stays")), None, f"struct<span:{SPAN},stays:boolean>")
+    return F.transform(F.filter(marked, lambda m: m["stays"]), lambda m: m["span"])
+
+
 def with_spans(df: DataFrame, text: str, out: str, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``df`` and a column ``out`` of ``array<struct<kind, start, end, score, text>>``: confirmed spans by kind as listed, then by start.
 
     Positions are code points, the end exclusive. Of one kind, matches are the leftmost and don't overlap; a match that its check
-    rejects is not tried again from another start. Spans of different kinds may overlap. A null text is empty.
+    rejects is not tried again from another start, except that IBANs are sought from every start. Spans of different kinds may overlap. A null text is empty.
     """
     names = {kind: fresh(df, f"found_{kind.name}") for kind in kinds}
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     found = df.withColumns({name: _candidates(kind, whole) for kind, name in names.items()})
     found = found.withColumns({name: _spans_of(kind, F.col(name)) for kind, name in names.items()})
+    if IBAN in names:
+        found = found.withColumn(names[IBAN], _apart(F.col(names[IBAN])))
     return found.withColumn(out, F.concat(*names.values())).drop(*names.values())
 
 

@@ -64,6 +64,21 @@ def test_checksums_and_context(spark):
     assert kinds == [["iban"], [], ["iban"], ["ssn"], []]
 
 
+def test_ibans_before_other_characters(spark):
+    de, gb, spaced, no = "DE89370400440532013000", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00", "NO9386011117947"
+    unknown = "ZZ08ABCD12345678901"
+    expected = {
+        f"{de} The money": [de], f"{gb} Please": [gb], f"{spaced} BIC COBADEFF": [spaced], f"{de} 500 EUR": [de], f"{de} {gb}": [de, gb], f"é {spaced} {de} {gb} {no} X": [spaced, de, gb, no],
+        f"AB12 {de} A": [de], f"DE12 {spaced} 7": [spaced], f"{de}0": [], f"{de}a": [], f"x{de}": [], f"{spaced[:-1]}1 The": [], f"{no}, {no}\n{no}": [no] * 3, f"{unknown} Then": [unknown], f"{unknown} {de}": [unknown, de],
+    }
+    got = found(spark, list(expected))
+    for i, (text, ibans) in enumerate(expected.items()):
+        own = [s for s in got[i] if s[0] == "iban"]
+        assert [s[3] for s in own] == ibans and all(text[a:b] == t for _, a, b, t in own), text
+    many = f"{de} The " * 5000
+    assert len([s for s in found(spark, [many])[0] if s[0] == "iban"]) == 5000
+
+
 def test_redact(spark):
     rows = [
         (1, "to a@b.de or +49 30 1234567 now", "x", 5),
