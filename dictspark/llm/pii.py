@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh, scan
 
-#: Characters before a span in which context words count.
+#: Characters before and after a span in which context words count.
 CONTEXT = 48
 #: Score that a span must reach.
 THRESHOLD = 0.5
@@ -36,8 +36,8 @@ CARD = Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(
 PHONE = Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, r"phone|call|tel|mobile")
 # A match is only the head; group 3 is the text in which it may end, and the character after it if that forbids an end there.
 IBAN = Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:\x20?+[A-Z0-9]){11,30}+[A-Za-z0-9]?))", "[A-Z]{2}[0-9]{2}", 0.9, r"iban|account|bank")
-# Without a checksum, a social security number needs a word that says so.
-SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, r"\bssn\b|social security")
+# Without a checksum, a social security number needs a word that says so, near it or near a number of the same list.
+SSN = Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, r"\bssns?\b|social security")
 BASE = (EMAIL, IP, CARD, PHONE)
 KINDS = (*BASE, IBAN, SSN)
 CONTEXT_BONUS = 0.3
@@ -117,20 +117,18 @@ def _candidates(kind: Kind, text: Column) -> Column:
 
 
 def _spans_of(kind: Kind, found: Column) -> Column:
-    """The confirmed spans of one kind in order of their start."""
+    """The spans of one kind that pass its check in order of their start, scored without context."""
 
     def step(v: Column, at: Column) -> Column:
         start = at + F.length(v["gap"])
-        near = F.lower(F.right(v["gap"], F.lit(CONTEXT))).rlike(kind.context)
-        score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near, CONTEXT_BONUS).otherwise(0.0))
         hit = v["hit"]
         if kind is IBAN:
             size = iban_length(hit, v["tail"])
             hit = F.when(size > 0, F.concat(hit, v["tail"].substr(F.lit(1), size - 4))).otherwise("")
-        return F.struct(F.lit(kind.name).alias("kind"), start.cast("long").alias("start"), (start + F.length(hit)).cast("long").alias("end"), score.alias("score"), hit.alias("text"))
+        return F.struct(F.lit(kind.name).alias("kind"), start.cast("long").alias("start"), (start + F.length(hit)).cast("long").alias("end"), F.lit(kind.score).alias("score"), hit.alias("text"))
 
     placed = scan(found, F.lit(0), lambda at, v: at + F.length(v["gap"]) + F.length(v["hit"]), step, lambda a, b: a + b, SPAN)
-    return F.filter(placed, lambda s: (s["end"] > s["start"]) & (s["score"] >= THRESHOLD) & _valid(kind, s["text"]))
+    return F.filter(placed, lambda s: (s["end"] > s["start"]) & _valid(kind, s["text"]))
 
 
 def _apart(spans: Column) -> Column:
@@ -140,11 +138,66 @@ def _apart(spans: Column) -> Column:
     return F.transform(F.filter(marked, lambda m: m["stays"]), lambda m: m["span"])
 
 
+_NEAR = f"struct<span:{SPAN},near:boolean,joined:boolean>"
+_AND = r"^[^\p{L}\p{N}]*(?:(?:and|or|und|oder|et|ou|y|o)[^\p{L}\p{N}]+)?$"
+
+
+def _near(kind: Kind, spans: Column, text: Column) -> Column:
+    """Every span with whether a context word is ``near`` and whether it is ``joined`` to the span before as in a list: by no words but "and".
+
+    Texts around the spans are cut in two steps, sections of neighbouring spans and then within a section, since cutting counts characters from the start.
+    """
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(spans)))).cast("int")
+    starts = F.when(F.size(spans) > 0, F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / block).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+    def section(b: Column) -> Column:
+        part = F.slice(spans, b * block + 1, block)
+        before = F.when(b > 0, F.get(spans, b * block - 1)["end"]).otherwise(F.lit(0).cast("long"))
+        first = F.greatest(F.lit(0).cast("long"), part[0]["start"] - CONTEXT)
+        own = text.substr((first + 1).cast("int"), (F.element_at(part, -1)["end"] + CONTEXT - first).cast("int"))
+        held = F.array(F.struct(part.alias("part"), own.alias("own"), first.alias("first"), F.concat(F.array(before), F.transform(part, lambda s: s["end"])).alias("ends")))
+        return F.flatten(F.transform(held, lambda h: F.transform(h["part"], lambda s, i: judged(h, s, F.get(h["ends"], i)))))
+
+    def judged(h: Column, s: Column, last: Column) -> Column:
+        cut = lambda a, z: h["own"].substr((a - h["first"] + 1).cast("int"), (z - a).cast("int"))
+        left, right = cut(F.greatest(h["first"], s["start"] - CONTEXT), s["start"]), cut(s["end"], s["end"] + CONTEXT)
+        near = F.lower(left).rlike(kind.context) | F.lower(right).rlike(kind.context)
+        joined = (s["start"] - last).between(0, CONTEXT) & F.lower(F.right(left, (s["start"] - last).cast("int"))).rlike(_AND)
+        return F.struct(s.alias("span"), near.alias("near"), (joined & (last > 0)).alias("joined"))
+
+    return F.flatten(F.transform(starts, section)).cast(f"array<{_NEAR}>")
+
+
+def _carried(marked: Column) -> Column:
+    """``near`` handed on from each span to the following ones of its list."""
+    reach = lambda at, v: F.when(v["near"], 1).when(v["joined"], at).otherwise(0).cast("long")
+    return scan(marked, F.lit(0), reach, lambda v, at: F.struct(v["span"].alias("span"), (v["near"] | (v["joined"] & (at > 0))).alias("near"), v["joined"].alias("joined")), None, _NEAR)
+
+
+def _turned(marked: Column) -> Column:
+    """The other way round: the spans from the last to the first, each ``joined`` to the one that followed it."""
+    joins = F.concat(F.slice(F.transform(marked, lambda v: v["joined"]), 2, F.greatest(F.size(marked), F.lit(1))), F.array(F.lit(False)))
+    turned = F.reverse(F.zip_with(marked, joins, lambda v, j: F.struct(v["span"].alias("span"), v["near"].alias("near"), j.alias("joined"))))
+    return F.when(F.size(marked) > 0, turned).otherwise(marked)
+
+
+def _scored(marked: Column) -> Column:
+    """The spans whose score with context is enough."""
+
+    def scored(v: Column) -> Column:
+        s = v["span"]
+        score = F.least(F.lit(1.0), s["score"] + F.when(v["near"], CONTEXT_BONUS).otherwise(0.0))
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score.alias("score"), s["text"].alias("text"))
+
+    return F.filter(F.transform(marked, scored), lambda s: s["score"] >= THRESHOLD)
+
+
 def with_spans(df: DataFrame, text: str, out: str, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``df`` and a column ``out`` of ``array<struct<kind, start, end, score, text>>``: confirmed spans by kind as listed, then by start.
 
     Positions are code points, the end exclusive. Of one kind, matches are the leftmost and don't overlap; a match that its check
-    rejects is not tried again from another start, except that IBANs are sought from every start. Spans of different kinds may overlap. A null text is empty.
+    rejects is not tried again from another start, except that IBANs are sought from every start.
+    Context words count within ``CONTEXT`` characters before or after a match, whatever matches stand between, and for all numbers of a list. Spans of different kinds may overlap. A null text is empty.
     """
     names = {kind: fresh(df, f"found_{kind.name}") for kind in kinds}
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -152,6 +205,10 @@ def with_spans(df: DataFrame, text: str, out: str, kinds: tuple[Kind, ...] = KIN
     found = found.withColumns({name: _spans_of(kind, F.col(name)) for kind, name in names.items()})
     if IBAN in names:
         found = found.withColumn(names[IBAN], _apart(F.col(names[IBAN])))
+    needy = {kind: name for kind, name in names.items() if kind.score < THRESHOLD}
+    found = found.withColumns({name: _near(kind, F.col(name), whole) if kind in needy else _scored(_near(kind, F.col(name), whole)) for kind, name in names.items()})
+    for step in (_carried, _turned, lambda marked: _scored(F.reverse(_carried(marked)))):
+        found = found.withColumns({name: step(F.col(name)) for name in needy.values()})
     return found.withColumn(out, F.concat(*names.values())).drop(*names.values())
 
 

@@ -79,6 +79,21 @@ def test_ibans_before_other_characters(spark):
     assert len([s for s in found(spark, [many])[0] if s[0] == "iban"]) == 5000
 
 
+def test_numbers_in_lists_and_words_after_them(spark):
+    a, b = "123-45-6789", "987-65-4321"
+    many = [f"{i:03}-{i % 90 + 10}-{i + 1000}" for i in range(300)]
+    expected = {
+        f"ssn {a}, {b}": [a, b], f"{a} (SSN)": [a], f"SSNs: {a}; {b} and {a}": [a, b, a], f"ssn | {a} | {b} | {a} | {b} | {a} | {b}": [a, b] * 3, f"{a}, {b}, {a}, {b}, {a}, {b} are social security numbers": [a, b] * 3,
+        f"𝄞é SSN {a} of Ann, {b} of Bob": [a, b], f"part {a}, {b}": [], f"ssn {a} {'x' * 60} {b}": [a], f"issn {a}": [], f"ssn {'x' * 60} {a}": [], f"{a} {'x' * 60} ssn": [], "SSN\n" + "\n".join(many): many,
+    }
+    got = found(spark, list(expected))
+    for i, (text, numbers) in enumerate(expected.items()):
+        own = [s for s in got[i] if s[0] == "ssn"]
+        assert [s[3] for s in own] == numbers and all(text[x:y] == t for _, x, y, t in own), text
+    docs = spark.createDataFrame([(1, f"ssn {a}, {b}")], "doc_id long, text string")
+    assert pii.redact(docs).first().text == "ssn [SSN], [SSN]"
+
+
 def test_redact(spark):
     rows = [
         (1, "to a@b.de or +49 30 1234567 now", "x", 5),
