@@ -287,17 +287,27 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, doc_id:
 def keep_first(docs: DataFrame, width: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without near-duplicates: of each group the one with the smallest id stays, with all its columns.
 
-    Of rows that repeat this id one stays, and one row of a group in which no row has an id.
+    Where an id repeats with different texts, each of its groups keeps its own row. Of rows of one group that repeat its smallest id one
+    stays, and one row of a group in which no row has an id.
     """
     marked = cut(fingerprints(docs, width, doc_id, text))
     found = cut(_components_of(marked, distance))
-    keep = cut(marked.join(found, "fp").where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    # The kept ids grow with the input, so the join is a shuffle at every size; it builds on the ids and sorts no texts.
-    stay = docs.join(keep.select(F.col("doc_id").alias(doc_id)).hint("shuffle_hash"), doc_id, "left_semi").select(*docs.columns)
+    first = F.col("doc_id") == F.col("component_id")
+    named = marked.join(found, "fp").where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.when(first, 1)).alias("n_first"), F.count(F.lit(1)).alias("n"))
+    keep = cut(named.where("n_first > 0").select("doc_id", "n"))
+
+    def of(ids: DataFrame) -> DataFrame:
+        # The kept ids grow with the input, so the join is a shuffle at every size; it builds on the ids and sorts no texts.
+        return docs.join(ids.select(F.col("doc_id").alias(doc_id)).hint("shuffle_hash"), doc_id, "left_semi").select(*docs.columns)
+
+    stay = of(keep.where("n = 1"))
+    fp, root, least = (fresh(docs, name) for name in ("fp", "root", "component_id"))
     if keep.where("n > 1").limit(1).count():
-        stay = stay.dropDuplicates([doc_id])
+        # The id alone doesn't say which row it is, so the row's own fingerprint does.
+        rows = of(keep.where("n > 1")).withColumn(fp, fingerprint_of(F.col(text), width))
+        rows = rows.join(found.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(least)), fp)
+        stay = stay.unionByName(rows.where(F.col(doc_id).cast("long") == F.col(least)).dropDuplicates([root]).select(*docs.columns))
     if marked.where("doc_id IS NULL").limit(1).count():
-        fp, root = fresh(docs, "fp"), fresh(docs, "root")
         nameless = docs.where(F.col(doc_id).isNull()).withColumn(fp, fingerprint_of(F.col(text), width))
         nameless = nameless.join(found.where("component_id IS NULL").select(F.col("fp").alias(fp), F.col("root").alias(root)), fp)
         stay = stay.unionByName(nameless.dropDuplicates([root]).select(*docs.columns))

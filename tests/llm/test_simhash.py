@@ -106,6 +106,15 @@ def test_null_ids_repeats_and_empty(spark):
     assert simhash.keep_first(docs.limit(0)).count() == 0
 
 
+def test_an_id_that_repeats_with_other_texts(spark):
+    one, two, three = "one two three four five six", "other words stand here now again", "a third text that is like no other"
+    fps = [brute_fingerprint(t) for t in (one, two, three)]
+    assert all((a ^ b).bit_count() > 4 for a in fps for b in fps if a != b)
+    rows = [(5, one), (5, two), (5, two), (6, one), (3, three), (5, three), (None, two)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, one), (5, two), (3, three)])
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(500, 501), (501, 501), (None, 3)], "a long, b long")
     found = {r.node: r.root for r in components(links).collect()}
