@@ -32,6 +32,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def settled(value: Column) -> Column:
+    """``value``, computed once in its projection: filters on the rows stay above it.
+
+    Spark moves a filter below a projection by putting expressions in the place of names. Where a long expression was built in
+    steps that name their input several times, that repeats it over and over. A column that is not deterministic stops it.
+    Filters on other columns stay above, too, so rows that aren't wanted are best filtered before.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Rows that no model learns from: crc32 of the id as text leaves 2 when divided by 4. False for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 4 == 2, F.lit(False))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, scan
+from .common import fresh, scan, settled
 
 #: Characters before and after a span in which context words count.
 CONTEXT = 48
@@ -196,7 +196,7 @@ def with_spans(df: DataFrame, text: str, out: str, kinds: tuple[Kind, ...] = KIN
     """``df`` and a column ``out`` of ``array<struct<kind, start, end, score, text>>``: confirmed spans by kind as listed, then by start.
 
     Positions are code points, the end exclusive. Of one kind, matches are the leftmost and don't overlap; a match that its check
-    rejects is not tried again from another start, except that IBANs are sought from every start.
+    rejects is not tried again from another start, except that IBANs are sought from every start. Filter other columns before, not after (``settled``).
     Context words count within ``CONTEXT`` characters before or after a match, whatever matches stand between, and for all numbers of a list. Spans of different kinds may overlap. A null text is empty.
     """
     names = {kind: fresh(df, f"found_{kind.name}") for kind in kinds}
@@ -209,7 +209,7 @@ def with_spans(df: DataFrame, text: str, out: str, kinds: tuple[Kind, ...] = KIN
     found = found.withColumns({name: _near(kind, F.col(name), whole) if kind in needy else _scored(_near(kind, F.col(name), whole)) for kind, name in names.items()})
     for step in (_carried, _turned, lambda marked: _scored(F.reverse(_carried(marked)))):
         found = found.withColumns({name: step(F.col(name)) for name in needy.values()})
-    return found.withColumn(out, F.concat(*names.values())).drop(*names.values())
+    return found.withColumn(out, settled(F.concat(*names.values()))).drop(*names.values())
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -251,7 +251,8 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars")
         return F.array_join(F.transform(part, lambda c: F.concat(kept(c), F.lit("["), F.upper(c["kind"]), F.lit("]"))), "")
 
     body = F.array_join(F.transform(starts, lambda b: section(F.slice(found, b * block + 1, block))), "")
-    out = out.withColumn(text, F.when(F.size(found) > 0, F.concat(body, whole.substr((F.col(last) + 1).cast("int"), F.length(whole)))).otherwise(whole))
+    masked = F.when(F.size(found) > 0, F.concat(body, whole.substr((F.col(last) + 1).cast("int"), F.length(whole)))).otherwise(whole)
+    out = out.withColumn(text, settled(masked))
     if n_chars in docs.columns:
         out = out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType))
     return out.select(*docs.columns)

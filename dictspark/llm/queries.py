@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding, packing, pii, quality, simhash, toxicity, urlfilter, warc
+from . import chat, decontaminate, embedding, fim, packing, pii, quality, simhash, toxicity, urlfilter, warc
 from .common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+_OP12_SQL = r"""
+WITH u AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units, sha256('1:' || doc_id) AS d FROM documents),
+h AS (
+    SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4 FROM u),
+p AS (
+    SELECT doc_id, n, text,
+        CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(units[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS a,
+        array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS b,
+        array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS c
+    FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.pieces(table(spark, sf_dir, "documents"), seed=1, rate=90, spm=20))

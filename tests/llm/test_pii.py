@@ -118,3 +118,13 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = pii.find(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_plans_stay_small_under_filters(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.co, ssn 123-45-6789", 28), (2, "none", 4)], "doc_id long, text string, n_chars int")
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString())
+    plain, masked = pii.find(docs), pii.redact(docs)
+    assert size(plain.where("size(spans) > 0 AND spans[0].start > 1")) < 1.1 * size(plain)
+    assert size(masked.where("length(text) > 3 AND n_chars > 3").groupBy("text").count()) < 1.1 * size(masked)
+    assert [r.doc_id for r in plain.where("size(spans) > 0").collect()] == [1]
+    assert [r.text for r in masked.where("n_chars > 4").collect()] == ["mail [EMAIL], ssn [SSN]"]

@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_ORACLES) <= set(LLM_QUERIES) <= set(entry.queries())
     assert entry.queries()["pipeline"] is corpus_pipeline.run
 
