@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embedding, fim, packing, pii, quality, simhash, toxicity, urlfilter, warc
+from . import chat, decontaminate, embedding, fim, packing, pii, quality, simhash, topk, toxicity, urlfilter, warc, whitening
 from .common import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +180,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_OP11_SQL = """
+WITH rows AS (
+    SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM rows q JOIN rows c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op11_exact_top_k", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 _OP12_SQL = r"""
 WITH u AS (
     SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units, sha256('1:' || doc_id) AS d FROM documents),
@@ -203,3 +220,9 @@ FROM p
 @query("op12_fill_in_middle", _OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.pieces(table(spark, sf_dir, "documents"), seed=1, rate=90, spm=20))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings"), components=16))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
