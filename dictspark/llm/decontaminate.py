@@ -1,13 +1,14 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, exact weighted-shingle similarity.
 
-Everything is Spark expressions. A document's shingles are hashed once; those that a benchmark item also has fix the windows of
-the item's size. Each window gets a SimHash, meets the items whose fingerprint is within the radius by blocks of bits, and is
-compared with them shingle by shingle.
+Everything is Spark expressions. A document's shingles are hashed once and joined with those of the benchmark; only places are gathered.
+Every window of an item's size that holds enough shared shingles to be similar gets a SimHash, meets the items whose
+fingerprint is within the radius by blocks of bits, and is compared with them shingle by shingle.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -19,10 +20,10 @@ WIDTH = 5
 SIMILARITY = 0.8
 #: 8 blocks, each probed within 2 bits: to be missed, all would have to differ in 3 bits, 24 together.
 RADIUS, BLOCKS = 23, 8
-#: Shingles of a benchmark up to which its tables may be broadcast (10 rows of about 40 bytes for each); a larger one is joined by shuffle.
+#: Rows up to which the benchmark's tables (10 rows of about 40 bytes for each shingle), or the places where windows begin, may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
-
-_LANES = 0x0000000100000001
+#: Parts that a shingle's documents are dealt into when joined by shuffle, since some shingles are in very many.
+SALTS = 16
 
 
 def words_of(text: Column) -> Column:
@@ -38,19 +39,26 @@ def shingles_of(words: Column, width: int) -> Column:
     return F.when(F.size(words) >= width, hashed).otherwise(F.array().cast("array<long>"))
 
 
-def simhash(hashes: Column) -> Column:
-    """The bits that more than half of the hashes have; two counters of 32 bits share a long."""
-    bits = F.lit(0).cast("long")
+def _once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, the value being computed once however often it is named."""
+    return F.transform(F.array(value), lambda x: of(x))[0]
+
+
+def simhash_sql(hashes: str) -> str:
+    """SQL for the bits that more than half of the hashes in an array (a name) have. Counters share a long: four of 16 bits, or two of 32 for more hashes than these count.
 
-    def counts(shift: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(_LANES)))
+    As text, since it has more parts than are built quickly one by one.
+    """
+
+    def majority(lane: int) -> str:
+        lanes, bits = _signed(sum(1 << at for at in range(0, 64, lane))), []
+        for shift in range(lane):
+            counts = f"aggregate({hashes}, 0L, (acc, x) -> acc + (shiftrightunsigned(x, {shift}) & {lanes}L))"
+            held = [f"CASE WHEN (shiftrightunsigned(p, {at}) & {(1 << lane) - 1}L) * 2 > size({hashes}) THEN {_signed(1 << (shift + at))}L ELSE 0L END" for at in range(0, 64, lane)]
+            bits.append(f"transform(array({counts}), p -> {' | '.join(held)})[0]")
+        return " | ".join(bits)
 
-    for shift in range(32):
-        packed = counts(shift)
-        for lane in (0, 32):
-            count = F.shiftrightunsigned(packed, lane).bitwiseAND(F.lit(0xFFFFFFFF))
-            bits = bits.bitwiseOR(F.when(count * 2 > F.size(hashes), F.lit(_signed(1 << (shift + lane)))).otherwise(F.lit(0).cast("long")))
-    return bits
+    return f"CASE WHEN size({hashes}) < {1 << 16} THEN {majority(16)} ELSE {majority(32)} END"
 
 
 def _signed(x: int) -> int:
@@ -65,7 +73,7 @@ def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
     for width in range(WIDTH, 0, -1):
         hashes = F.when(F.col("width") == width, shingles_of(F.col("words"), width)).otherwise(hashes)
     rows = rows.select(F.monotonically_increasing_id().alias("item"), "item_id", "width", F.size("words").alias("n_words"), hashes.alias("hashes"))
-    return rows.withColumn("item_simhash", simhash(F.col("hashes")))
+    return rows.withColumn("item_simhash", F.expr(simhash_sql("hashes")))
 
 
 def _block(fingerprint: Column, block: int, blocks: int) -> Column:
@@ -101,6 +109,42 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+_RANGES = "array<struct<low:int,high:int>>"
+
+
+def _ranges(at: Column, n: Column, need: Column) -> Column:
+    """The starts of all windows of ``n`` places that hold ``need`` of the sorted places ``at`` or more, as ranges without overlap.
+
+    A window holds ``need`` places from the k-th on if it begins there or before and ends at or after the last of them. Starts
+    up to the place before the k-th are in earlier ranges.
+    """
+
+    def of(k: Column) -> Column:
+        low = F.get(at, k + need - 1) - n + 1
+        return F.struct(F.when(k > 0, F.greatest(low, F.get(at, k - 1) + 1)).otherwise(low).alias("low"), F.get(at, k).alias("high"))
+
+    found = F.filter(F.transform(F.sequence(F.lit(0), F.size(at) - need), of), lambda r: r["low"] <= r["high"])
+    return F.when(F.size(at) >= need, found).otherwise(F.array().cast(_RANGES))
+
+
+def _clipped(ranges: Column, low: Column, high: Column) -> Column:
+    cut_ = F.transform(ranges, lambda r: F.struct(F.greatest(r["low"], low).alias("low"), F.least(r["high"], high).alias("high")))
+    return F.filter(cut_, lambda r: r["low"] <= r["high"])
+
+
+def window_starts(at: Column, n: Column, size: Column, similarity: float) -> Column:
+    """Ranges of the starts of windows of ``n`` shingles, in a document of ``size``, that may be alike by ``similarity``; ``at`` are the sorted places of shared shingles.
+
+    Bags of n and m shingles that share x are alike by x / (n + m - x). A whole window has m = n, so that x must be 2 n s / (1 + s) at least; one that
+    the document's ends clip is shorter, and x must still be n s at least.
+    """
+    whole, part = (F.greatest(F.ceil(n * share - 1e-6), F.lit(1)).cast("int") for share in (2 * similarity / (1 + similarity), similarity))
+    zero, last = F.lit(0), size - n
+    few = _ranges(at, n, part)
+    ends = F.concat(_clipped(few, 1 - n, F.lit(-1)), _clipped(few, F.greatest(zero, last + 1), size - 1))
+    return F.concat(_clipped(_ranges(at, n, whole), zero, last), ends)
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -115,43 +159,71 @@ def matches(
 ) -> DataFrame:
     """``doc_id, item_id, start, n_words, similarity``: for every contaminated document and item its most similar window.
 
-    A window has as many words as an item (fewer at the ends of a document) and begins where a shingle that both have stands
-    at the same place in both. The SimHash of its shingles must lie within ``radius`` bits of that of an item of this size, which
+    A window has as many shingles as an item (fewer at the ends of a document) and may begin anywhere. Its
+    SimHash must lie within ``radius`` bits of that of an item of this size, which
     blocks of bits guarantee to find, and the counts of shingles must be alike by ``similarity`` or more. Shingles have five words; an
     item of fewer words is one shingle. Of equally similar windows the first is given. Documents with a null id appear with it, rows that
     repeat an id and a match appear once, items without words match nothing, null texts have no words. With ``row_id`` (a column of
     ``docs``) rows are told apart by it and it is returned, too. Empty tables give no rows. Other columns are not read.
 
-    Texts are split, hashed and probed in one pass; only matches are shuffled. The benchmark's shingles are broadcast if they are
-    at most BROADCAST_ROWS, counted before; else the documents' shingles are joined with them by shuffle.
+    Two passes over the documents. In the first the places of shingles that an item has, too, are gathered by document and item; windows that
+    hold too few of them for the similarity can't match, all others are looked at (``window_starts``), in the few documents that have any. The
+    benchmark's shingles, and the starts, are broadcast if they are at most BROADCAST_ROWS, counted before; else they are joined by
+    shuffle, a frequent shingle in SALTS parts. Places are known by a 64-bit hash of the row: rows that share it
+    only look at more windows.
     """
     if 64 % blocks:
         raise ValueError(f"64 bits can't be cut into {blocks} blocks")
     items = cut(_items(benchmark, item_id, item_text))
     within = math.ceil((radius + 1) / blocks) - 1
-    seeds = items.select("width", "n_words", F.size("hashes").alias("n_shingles"), "hashes", F.posexplode("hashes").alias("at", "hash"))
-    seeds = seeds.select("width", "n_words", "n_shingles", "at", "hash", F.when(F.col("at") > 0, F.get("hashes", F.col("at") - 1)).alias("before"))
-    seeds = cut(seeds.distinct())
-    n_seeds = seeds.count()
-    bounded = (lambda df: F.broadcast(df)) if n_seeds <= BROADCAST_ROWS else (lambda df: df)
+    sized = items.select("item", "width", "n_words", F.size("hashes").alias("n"), F.explode(F.array_distinct("hashes")).alias("hash"))
+    seeds = cut(sized)
+    small = seeds.count() <= BROADCAST_ROWS
+    bounded = (lambda df: F.broadcast(df)) if small else (lambda df: df)
     row = F.col(row_id) if row_id else F.lit(None).cast("long")
-    named = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row_id"), words_of(F.col(text)).alias("words"))
-    found = None
-    for width in sorted(r.width for r in items.select("width").distinct().collect()):  # 5 values at most
+    texts = docs.select(F.col(doc_id).alias("doc_id"), row.alias("row_id"), F.col(text).cast("string").alias("text"))
+    texts = texts.withColumn("key", F.xxhash64("doc_id", "row_id", "text"))
+    places = None
+    widths = sorted(r.width for r in items.select("width").distinct().collect())  # 5 values at most
+    for width in widths:
         own = seeds.where(F.col("width") == width)
-        hashed = named.select("doc_id", "row_id", shingles_of(F.col("words"), width).alias("shingles"))
-        placed = hashed.select("doc_id", "row_id", "shingles", F.posexplode_outer("shingles").alias("pos", "hash"))
-        hits = placed.join(bounded(own), "hash")
-        # of a run of shared shingles the first gives the window of all
-        hits = hits.where((F.col("pos") == 0) | F.col("before").isNull() | (F.get("shingles", F.col("pos") - 1) != F.col("before")))
-        start = F.greatest(F.col("pos") - F.col("at"), F.lit(0))
-        stop = F.least(F.col("pos") - F.col("at") + F.col("n_shingles"), F.size("shingles"))
-        windows = hits.select("doc_id", "row_id", "width", "n_words", start.alias("start"), F.slice("shingles", start + 1, stop - start).alias("window"))
+        # the outer form: the other makes Spark hash all shingles in a filter beforehand
+        hashed = texts.select("key", words_of(F.col("text")).alias("words")).select("key", shingles_of(F.col("words"), width).alias("shingles"))
+        placed = hashed.select("key", F.size("shingles").alias("size"), F.posexplode_outer("shingles").alias("pos", "hash"))
+        on = ["hash"]
+        if not small:
+            own = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            placed = placed.withColumn("salt", F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)).cast("int"))
+            on = ["hash", "salt"]
+        hits = placed.join(bounded(own), on).select("key", "width", "n_words", "n", "item", "size", "pos")
+        places = hits if places is None else places.unionByName(hits)
+    if places is None:
+        out = texts.limit(0).select("doc_id", "row_id", F.lit(None).cast(benchmark.schema[item_id].dataType).alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("n_words"), F.lit(0.0).alias("similarity"))
+        return out if row_id else out.drop("row_id")
+    gathered = places.groupBy("key", "width", "n_words", "n", "item", "size").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    begun = gathered.withColumn("ranges", window_starts(F.col("at"), F.col("n"), F.col("size"), similarity)).where(F.size("ranges") > 0)
+    # items of one size share their windows
+    begun = cut(begun.groupBy("key", "width", "n_words", "n", "size").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ranges")))).alias("ranges")))
+    few = (begun.agg(F.sum(F.size("ranges"))).first()[0] or 0) <= BROADCAST_ROWS
+
+    found = None
+    for width in widths:
+        own = begun.where(F.col("width") == width)
+        held = texts.join(F.broadcast(own) if few else own, "key").withColumn("words", words_of(F.col("text")))
+        held = held.withColumn("shingles", shingles_of(F.col("words"), width))
+        starts = F.array_distinct(F.flatten(F.transform("ranges", lambda r: F.sequence(r["low"], r["high"]))))
+        bounds = F.array_distinct(F.transform(starts, lambda s: F.struct(F.greatest(s, F.lit(0)).alias("start"), F.least(s + F.col("n"), F.col("size")).alias("stop"))))
+        held = held.select("doc_id", "row_id", "width", "n_words", "shingles", bounds.alias("bounds"))
+        # of the shingles only those from the first to the last window are kept
+        first, stop = F.array_min(F.transform("bounds", lambda w: w["start"])), F.array_max(F.transform("bounds", lambda w: w["stop"]))
+        held = held.withColumns({"first": first, "region": F.slice("shingles", first + 1, stop - first)})
+
+        window = "slice(region, w.start - first + 1, w.stop - w.start)"
+        marked = F.expr(f"transform(bounds, w -> transform(array({window}), h -> named_struct('start', w.start, 'stop', w.stop, 'simhash', {simhash_sql('h')}))[0])")
+        windows = held.select("doc_id", "row_id", "width", "n_words", "first", "region", marked.alias("windows"))
         found = windows if found is None else found.unionByName(windows)
-    if found is None:
-        none = "NULL AS width, NULL AS n_words, 0 AS start, CAST(array() AS array<long>) AS window"
-        found = docs.limit(0).select(F.col(doc_id).alias("doc_id"), row.alias("row_id")).selectExpr("doc_id", "row_id", *none.split(", ", 3))
-    found = cut(found.withColumn("simhash", simhash(F.col("window"))))  # windows only; the plan starts anew from them
+    found = cut(found)  # the plan starts anew from the documents that have windows
+    found = found.select("*", F.explode("windows").alias("w")).select("*", "w.start", "w.stop", "w.simhash").drop("w", "windows")
     own_blocks = F.array(*[F.struct(F.lit(b).alias("block"), _block(F.col("simhash"), b, blocks).alias("value")) for b in range(blocks)])
     met = found.select("*", F.explode(own_blocks).alias("own")).select("*", "own.block", "own.value").drop("own")
     probes = items.select("item", "width", "n_words", "item_simhash", F.explode(_probes(F.col("item_simhash"), within, blocks)).alias("probe"))
@@ -162,15 +234,16 @@ def matches(
     first = F.coalesce(*[F.when(F.bit_count(_block(differ, b, blocks)) <= within, F.lit(b)) for b in range(blocks)])
     met = met.where((F.bit_count(differ) <= radius) & (F.col("block") == first))
     compared = met.join(bounded(items.select("item", "item_id", "hashes")), "item")
-    compared = compared.withColumn("similarity", weighted_similarity(F.col("window"), F.col("hashes"))).where(F.col("similarity") >= similarity)
+    window = F.slice("region", F.col("start") - F.col("first") + 1, F.col("stop") - F.col("start"))
+    compared = compared.withColumn("similarity", _once(window, lambda h: weighted_similarity(h, F.col("hashes")))).where(F.col("similarity") >= similarity)
     best = F.max_by(F.struct("item_id", "start", "n_words", "similarity"), F.struct(F.col("similarity"), (-F.col("start")).alias("place"))).alias("best")
     grouped = compared.groupBy("doc_id", "row_id", "item").agg(best)
     return grouped.select("doc_id", *(["row_id"] if row_id else []), "best.item_id", "best.start", "best.n_words", "best.similarity")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that match no item, with all their columns. Rows are told apart by their text: one whose text matches goes, whatever its id."""
+    """The documents that match no item, with all their columns. Rows are told apart by the MD5 of their text: one whose text matches goes, whatever its id."""
     key = fresh(docs, "text_key")
-    marked = docs.withColumn(key, F.xxhash64(F.col(text)))
+    marked = docs.withColumn(key, F.md5(F.col(text).cast("string")))
     found = cut(matches(marked, benchmark, doc_id=doc_id, text=text, row_id=key, **options).select(F.col("row_id").alias(key)).distinct())
     return marked.join(found, key, "left_anti").select(*docs.columns)

@@ -8,6 +8,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +21,11 @@ END_OF_DOCUMENT = 2
 REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 BLOCK_CHARS = 1 << 20
+#: Bytes of texts whose words are told apart together.
+SLICE = 16 << 20
 
 # White space beyond ASCII's is left to the tokenizer, as is a word with other characters than these.
-_ODD_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200b\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]")
+_ODD_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 _PLAIN_WORD = re.compile("[!-~\\xc0-\\xff]*")
 _SPACE = re.compile("[ \t\n\r\f\v]")
 # The split pattern of the word tokenizer for lower-case plain words (fixed by its file).
@@ -40,9 +43,13 @@ class WordIds:
     def __init__(self, path: str):
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # for parts that are cut and lower-case already
+        self.of_parts = Tokenizer.from_file(path)
+        self.of_parts.normalizer = normalizers.Sequence([])
+        self.of_parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.by_word = spec["normalizer"] is not None and _PART_PATTERN in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\")
@@ -59,7 +66,7 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn_parts(self, parts: list[str]) -> dict[str, bytes]:
-        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.of_parts.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(parts):
             return {p: self._encode(p) for p in parts}
@@ -68,10 +75,12 @@ class WordIds:
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are not remembered."""
-        known, cut = {}, {}
+        known, cut, parts_of = {}, {}, _PART.findall
         for word in words:
-            if _PLAIN_WORD.fullmatch(word) and "<|" not in word:
-                cut[word] = _PART.findall(word.lower())
+            if word.isascii() and word.isalpha():
+                cut[word] = [word.lower()]
+            elif _PLAIN_WORD.fullmatch(word) and "<|" not in word:
+                cut[word] = parts_of(word.lower())
             else:
                 known[word] = self._encode(word)
         missing = list({p for own in cut.values() for p in own if p not in self.parts})
@@ -89,28 +98,57 @@ class WordIds:
                 self.words[word] = known[word]
         return known
 
-    def _block(self, text: str) -> bytes:
-        words = text.split()
-        missing = [w for w in set(words) if w not in self.words]
-        if not missing:
-            return b"".join(map(self.words.__getitem__, words))
-        fresh = self._learn(missing)
-        remembered = self.words.get
-        return b"".join([remembered(w) or fresh.get(w, b"") for w in words])
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if not self.by_word or _ODD_SPACE.search(text):
-            return self._encode(text)
+    def _plain(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without odd white space: their words are told apart and looked up once each."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.words.get, distinct))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        if unknown:
+            fresh = self._learn([distinct[i] for i in unknown])
+            for i in unknown:
+                found[i] = fresh[distinct[i]]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        known = np.frombuffer(b"".join(found), "<u4")
+        at = coded.indices.to_numpy()
+        sizes, starts = sizes[at], (np.cumsum(sizes) - sizes)[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = known[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return ids, np.diff(bounds)
+
+    def _blocks(self, text: str) -> pa.StringArray:
+        """A long text in blocks that end before white space."""
         found, at = [], 0
         while at < len(text):
             end = at + BLOCK_CHARS
             if end < len(text):
                 gap = _SPACE.search(text, end)
                 end = gap.start() if gap else len(text)
-            found.append(self._block(text[at:end]))
+            found.append(text[at:end])
             at = end
-        return b"".join(found)
+        return pa.array(found, pa.string())
+
+    def ids(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in order, and how many each has."""
+        sizes = np.zeros(len(texts), np.int64)
+        found: list[np.ndarray | None] = [None] * len(texts)
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False) if self.by_word else np.ones(len(texts), bool)
+        long = ~odd & (pc.utf8_length(texts).to_numpy() > BLOCK_CHARS)
+        plain = np.flatnonzero(~odd & ~long)
+        ids, own = self._plain(texts if len(plain) == len(texts) else texts.take(pa.array(plain)))
+        if len(plain) == len(texts):
+            return ids, own
+        for i, part in zip(plain.tolist(), np.split(ids, np.cumsum(own)[:-1]), strict=True) if len(plain) else ():
+            found[i] = part
+        for i in np.flatnonzero(odd).tolist():
+            found[i] = np.frombuffer(self._encode(texts[i].as_py()), "<u4")
+        for i in np.flatnonzero(long).tolist():
+            blocks = self._blocks(texts[i].as_py())
+            found[i] = np.concatenate([self._plain(blocks.slice(j, 4))[0] for j in range(0, len(blocks), 4)])
+        sizes[:] = [len(f) for f in found]
+        return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
 
 
 @lru_cache(maxsize=2)
@@ -118,28 +156,42 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def piece_lengths(n: int, longest: int) -> list[int]:
-    """``n`` as whole lengths of ``longest`` (a power of two) and falling powers of two."""
-    whole, rest = divmod(n, longest)
-    return [longest] * whole + [1 << b for b in range(longest.bit_length() - 1, -1, -1) if rest >> b & 1]
+def piece_lengths(sizes: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths of the pieces of documents of so many ids, document after document, and each piece's document: whole lengths of ``longest`` (a power of two), then falling powers of two."""
+    bits = np.arange(longest.bit_length() - 1, -1, -1)
+    often = (sizes[:, None] >> bits) & 1
+    often[:, 0] = sizes // longest
+    return np.repeat(np.tile(1 << bits, len(sizes)), often.ravel()), np.repeat(np.arange(len(sizes)), often.sum(1))
 
 
 def _pack(batches: Iterator[pa.RecordBatch], path: str, longest: int, end_id: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    encoder, end = word_ids(path), np.array([end_id], "<u4").tobytes()
+    encoder = word_ids(path)
     first, at = TaskContext.get().partitionId() << 33, 0
     for batch in batches:
-        for part in slices(batch, 1):
-            rows: dict[str, list] = {name: [] for name in schema.names}
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                ids = encoder.ids(text or "") + end
-                start = 0
-                for length in piece_lengths(len(ids) // 4, longest):
-                    bucket = length.bit_length() - 1
-                    values = (doc_id, start, length, ids[4 * start : 4 * (start + length)], len(ids) // 4, bucket << 56 | first | at, 0, bucket)
-                    for name, value in zip(schema.names, values, strict=True):
-                        rows[name].append(value)
-                    start, at = start + length, at + 1
-            yield pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
+        for part in slices(batch, 1, SLICE):
+            own, sizes = encoder.ids(pc.fill_null(part.column(1), ""))
+            sizes = sizes + 1
+            ends = np.cumsum(sizes)
+            ids = np.full(ends[-1], end_id, "<u4")
+            text = np.ones(len(ids), bool)
+            text[ends - 1] = False
+            ids[text] = own
+            lengths, doc = piece_lengths(sizes, longest)
+            stops = np.cumsum(lengths)
+            bucket = np.log2(lengths).astype(np.int32)
+            offsets = pa.py_buffer(np.concatenate([[0], 4 * stops]).astype(np.int32))
+            columns = {
+                "doc_id": part.column(0).take(pa.array(doc)),
+                "start": stops - lengths - (ends - sizes)[doc],
+                "length": lengths,
+                "ids": pa.Array.from_buffers(pa.binary(), len(lengths), [None, offsets, pa.py_buffer(ids)]),
+                "doc_tokens": sizes[doc],
+                "sequence_id": bucket.astype(np.int64) << 56 | first | (at + np.arange(len(lengths))),
+                "offset": np.zeros(len(lengths), np.int64),
+                "bucket": bucket,
+            }
+            at += len(lengths)
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], schema=schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, end_id: int = END_OF_DOCUMENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -34,7 +34,8 @@ URL_RULES = [
     urlfilter.Rule.of(verdict, text)
     for verdict, text in (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 ]
-LISTED_HOST = "spam-farm."
+#: Host labels, anywhere in a host, whose pages are listed.
+LISTED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 _OP1_SQL = f"""
 WITH parts AS (
@@ -48,7 +49,7 @@ canonical AS (
     SELECT page_id, host, path,
         regexp_replace(host, ':(80|443)$', '') || regexp_replace(path, '/+$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS c
     FROM parts),
-listed AS (SELECT DISTINCT c FROM canonical WHERE starts_with(host, '{LISTED_HOST}') AND c <> ''),
+listed AS (SELECT DISTINCT c FROM canonical WHERE list_has_any(string_split(host, '.'), [{", ".join(f"'{x}'" for x in LISTED_LABELS)}]) AND c <> ''),
 rules(verdict, rule, rule_host, rule_path) AS (VALUES {", ".join(f"('{r.verdict}', '{r.text}', '{r.host}', '{r.path}')" for r in URL_RULES)})
 SELECT page_id, host, path,
     (SELECT arg_max(rule, length(rule)) FROM rules WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
@@ -60,9 +61,10 @@ FROM canonical
 
 @query("op1_url_filter", _OP1_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listed are the canonical URLs of all pages on hosts that are spam farms by name."""
+    """Listed are the canonical URLs of all pages whose host has one of the listed labels, at whatever level."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(urlfilter.host_of(F.col("url")).startswith(LISTED_HOST))
+    labels = F.split(urlfilter.host_of(F.col("url")), r"\.", -1)
+    listed = pages.where(F.arrays_overlap(labels, F.array(*map(F.lit, LISTED_LABELS))))
     judged = urlfilter.filter_pages(pages, URL_RULES, listed)
     return judged.select("page_id", *[F.col(f"url_{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
 

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, fresh
 
 #: Bits of the filter for each key, and of a block: a key sets one bit in each of the 8 words of its block.
 BITS_PER_KEY, BLOCK_BITS, WORDS = 16, 256, 8
-#: Bytes that a filter may have to be sent to the workers whole. Beyond, URLs are joined without it.
-FILTER_BYTES = 64 << 20
+#: Bytes of a filter that are sent to workers at once. A larger filter is cut into shards of so many, by ranges of its blocks.
+SHARD_BYTES = 64 << 20
 #: Query parameters that say where a visitor came from, not what the page is.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "ref", "fbclid", "gclid")
 
@@ -76,41 +77,57 @@ def blocks_for(n_keys: int) -> int:
     return max(1, -(-n_keys * BITS_PER_KEY // BLOCK_BITS))
 
 
-def build_filter(keys: DataFrame, key: str, n_keys: int) -> np.ndarray:
-    """The filter of the keys' hashes as an array of blocks of 8 words. Workers set bits, rows of the same block are combined, the driver gets the blocks."""
-    n_blocks = blocks_for(n_keys)
+def build_filter(keys: DataFrame, hashed: str, n_blocks: int, first: int = 0, stop: int | None = None) -> np.ndarray:
+    """Blocks ``first`` to ``stop`` of the filter of the keys' hashes, 8 words each. Workers set bits, rows of the same block are combined, the driver gets the blocks."""
     masks = [f"m{i}" for i in range(WORDS)]
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             block, places = _places(batch["h"].to_numpy(), n_blocks)
-            yield pd.DataFrame({"block": block} | {m: (np.int64(1) << places[:, i].astype(np.int64)) for i, m in enumerate(masks)})
+            yield pd.DataFrame({"block": block - first} | {m: (np.int64(1) << places[:, i].astype(np.int64)) for i, m in enumerate(masks)})
 
-    rows = keys.select(F.xxhash64(key).alias("h")).mapInPandas(bits, "block long, " + ", ".join(f"{m} long" for m in masks))
-    found = rows.groupBy("block").agg(*[F.bit_or(m).alias(m) for m in masks]).toArrow()  # n_blocks rows at most
-    out = np.zeros((n_blocks, WORDS), np.uint32)
+    rows = keys.select(F.col(hashed).alias("h")).mapInPandas(bits, "block long, " + ", ".join(f"{m} long" for m in masks))
+    found = rows.groupBy("block").agg(*[F.bit_or(m).alias(m) for m in masks]).toArrow()  # as many rows as blocks at most
+    out = np.zeros(((stop or n_blocks) - first, WORDS), np.uint32)
     if found.num_rows:
         out[found.column("block").to_numpy()] = np.column_stack([found.column(m).to_numpy() for m in masks]).astype(np.uint32)
     return out
 
 
-def might_contain(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    block, bits = _places(hashes, len(bloom))
-    return ((bloom[block] >> bits) & np.uint32(1)).all(1)
+def might_contain(bloom: np.ndarray, hashes: np.ndarray, n_blocks: int | None = None, first: int = 0) -> np.ndarray:
+    """Whether a filter of ``n_blocks`` may hold the hashes, which all belong to the blocks given, from number ``first`` on."""
+    block, bits = _places(hashes, n_blocks or len(bloom))
+    return ((bloom[block - first] >> bits) & np.uint32(1)).all(1)
+
+
+def _block_of(hashed: Column, n_blocks: int) -> Column:
+    return F.shiftrightunsigned(F.shiftrightunsigned(hashed, 32) * n_blocks, 32)
+
 
+def _probe(sent: Broadcast, n_blocks: int, first: int) -> Callable:
+    @F.pandas_udf("boolean")
+    def probe(h: pd.Series) -> pd.Series:
+        return pd.Series(might_contain(sent.value, h.to_numpy(), n_blocks, first))
 
-def _possible(spark: SparkSession, bloom: np.ndarray, keys: Column) -> Column:
-    """The keys of an array that the filter may hold."""
-    sent = spark.sparkContext.broadcast(bloom)
+    return probe
 
-    @F.pandas_udf("array<boolean>")
-    def probe(hashes: pd.Series) -> pd.Series:
-        sizes = hashes.map(len).to_numpy()
-        flat = np.concatenate(hashes.to_list() or [np.zeros(0, np.int64)]).astype(np.int64)
-        return pd.Series(np.split(might_contain(sent.value, flat), np.cumsum(sizes)[:-1]) if len(sizes) else [], dtype=object)
 
-    hit = probe(F.transform(keys, lambda k: F.xxhash64(k)))
-    return F.transform(F.filter(F.arrays_zip(keys.alias("k"), hit.alias("hit")), lambda x: x["hit"]), lambda x: x["k"])
+def _possible(probes: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
+    """The rows of ``probes`` whose hash ``h`` the filter of the keys' hashes may hold.
+
+    Every shard of the filter is built from the keys of its blocks and tested with the probes of its blocks. There is one unless the keys are very many.
+    """
+    spark = probes.sparkSession
+    n_blocks = blocks_for(n_keys)
+    size = max(1, SHARD_BYTES * 8 // BLOCK_BITS)
+    out = None
+    for first in range(0, n_blocks, size):
+        stop = min(first + size, n_blocks)
+        within = _block_of(F.col("h"), n_blocks).between(first, stop - 1) if stop - first < n_blocks else F.lit(True)
+        sent = spark.sparkContext.broadcast(build_filter(keys.where(within), "h", n_blocks, first, stop))
+        own = probes.where(within).where(_probe(sent, n_blocks, first)("h"))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 # --- the operator ------------------------------------------------------------------------------------------------------
@@ -135,8 +152,8 @@ def judge(urls: DataFrame, url: str, rules: list[Rule], listed: DataFrame | None
 
     Rules and listed URLs are keys of one Bloom filter. Each URL is tested for its own canonical form and for the few suffixes
     and prefixes of its host and path that a rule could name; keys that the filter may hold are joined with the listed keys by hash, which
-    removes false positives. Rules are held in the driver and broadcast; the list may be of any length. If the filter would
-    be larger than FILTER_BYTES, all keys go to the join.
+    removes false positives. Rules are held in the driver and broadcast; the list may be of any length: the filter is built and
+    sent in shards of SHARD_BYTES.
     """
     spark = urls.sparkSession
     last = {rule.text: rule for rule in rules}
@@ -149,18 +166,16 @@ def judge(urls: DataFrame, url: str, rules: list[Rule], listed: DataFrame | None
     if listed is not None:
         names = listed.select(canonical(F.col(listed_url).cast("string")).alias("c")).where("c != ''").select(F.concat(F.lit("u:"), "c").alias("key")).distinct()
     names = cut(names)
-    n_keys = names.count() + len(last)
+    hashed = F.xxhash64("key").alias("h")
+    known = names.select(hashed).unionByName(rule_rows.select(hashed))
     probed = F.concat(F.when(F.col("own").isNotNull(), F.array("own")).otherwise(F.array().cast("array<string>")), F.col("keys"))
-    tested = pages.withColumn("probed", probed)
-    if blocks_for(n_keys) * BLOCK_BITS // 8 <= FILTER_BYTES:
-        bloom = build_filter(names.unionByName(rule_rows.select("key")), "key", n_keys)
-        tested = tested.withColumn("probed", _possible(spark, bloom, F.col("probed")))
-    tested = cut(tested.select("url", "own", F.col("probed").alias("possible")))
+    probes = pages.select("url", F.explode(probed).alias("key")).select("url", "key", hashed)
+    tested = cut(_possible(probes, known, names.count() + len(last)).select("url", "key"))
     # a rule's key is common to many URLs, but rules are few; a listed key is shared by the spellings of one page only
-    hits = tested.select("url", F.explode("possible").alias("key")).where(F.col("key").startswith("r:")).join(F.broadcast(rule_rows), "key")
+    hits = tested.where(F.col("key").startswith("r:")).join(F.broadcast(rule_rows), "key")
     best = F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "host_length")).alias("best")
     ruled = hits.groupBy("url").agg(best).select("url", "best.rule", "best.verdict")
-    blocked = tested.where(F.array_contains("possible", F.col("own"))).select("url", F.col("own").alias("key")).join(names, "key", "left_semi").select("url", F.lit(True).alias("is_listed"))
+    blocked = tested.where(F.col("key").startswith("u:")).join(names, "key", "left_semi").select("url", F.lit(True).alias("is_listed"))
     out = pages.select("url", "host", "path").join(ruled, "url", "left").join(blocked, "url", "left")
     verdict = F.coalesce("verdict", F.when(F.col("is_listed"), F.lit("block")).otherwise(F.lit(otherwise)))
     return out.select("url", "host", "path", "rule", verdict.alias("verdict"))
@@ -169,11 +184,12 @@ def judge(urls: DataFrame, url: str, rules: list[Rule], listed: DataFrame | None
 def filter_pages(pages: DataFrame, rules: list[Rule], listed: DataFrame | None = None, url: str = "url", listed_url: str = "url", otherwise: str = "allow") -> DataFrame:
     """The rows of ``pages`` with all columns and ``url_host, url_path, url_rule, url_verdict``; repeated rows stay, null URLs are judged as empty ones.
 
-    Columns that already have these names are replaced.
+    Columns that already have these four names are replaced.
     """
     judged = cut(judge(pages, url, rules, listed, listed_url, otherwise))
     own = ["host", "path", "rule", "verdict"]
-    named = judged.where("url IS NOT NULL").select(F.col("url").alias("url_judged"), *[F.col(c).alias(f"url_{c}") for c in own])
-    kept = pages.drop("url_judged", *[f"url_{c}" for c in own])
-    out = kept.join(named, F.col(url).cast("string") == F.col("url_judged"), "left").drop("url_judged")
+    kept = pages.drop(*[f"url_{c}" for c in own])
+    key = fresh(kept, "judged")
+    named = judged.where("url IS NOT NULL").select(F.col("url").alias(key), *[F.col(c).alias(f"url_{c}") for c in own])
+    out = kept.join(named, F.col(url).cast("string") == F.col(key), "left").drop(key)
     return out.withColumns({"url_host": F.coalesce("url_host", F.lit("")), "url_path": F.coalesce("url_path", F.lit("")), "url_verdict": F.coalesce("url_verdict", F.lit(otherwise))})

@@ -95,7 +95,8 @@ def parse(data: bytes, start: int = 0) -> tuple[dict, int]:
 class _Bundle:
     """A bundle being written; records go to the open frame."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, frame_bytes: int):
+        self.frame_bytes = frame_bytes
         self.uri = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         files, path = filesystem(self.uri)
         files.create_dir(path.rpartition("/")[0], recursive=True)
@@ -107,7 +108,7 @@ class _Bundle:
         self.rows.append((page_id, len(self.frames), self.size, len(data)))
         self.open.append(data)
         self.size += len(data)
-        if self.size >= FRAME_BYTES:
+        if self.size >= self.frame_bytes:
             self.flush()
 
     def flush(self) -> None:
@@ -132,22 +133,22 @@ _INDEX_SCHEMA = pa.schema([("page_id", pa.int64()), ("bundle", pa.string()), ("f
 _RECORD_SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, frame_bytes: int, bundle_bytes: int) -> Iterator[pa.RecordBatch]:
     bundle = None
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "refers_to", "revisit")]
         payloads = batch.column("payload")
         for i, (page_id, url, digest, refers_to, revisit) in enumerate(zip(*columns, strict=True)):
-            bundle = bundle or _Bundle(folder)
+            bundle = bundle or _Bundle(folder, frame_bytes)
             bundle.add(page_id, record(page_id, url, digest, refers_to, revisit, payloads[i].as_buffer().to_pybytes()))
-            if bundle.at >= BUNDLE_BYTES:
+            if bundle.at >= bundle_bytes:
                 yield pa.RecordBatch.from_pydict(bundle.close(), _INDEX_SCHEMA)
                 bundle = None
     if bundle:
         yield pa.RecordBatch.from_pydict(bundle.close(), _INDEX_SCHEMA)
 
 
-def write_bundles(pages: DataFrame, folder: str, least: int = LEAST_SHARED, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def write_bundles(pages: DataFrame, folder: str, least: int = LEAST_SHARED, page_id: str = "page_id", url: str = "url", html: str = "html", frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write a record per row to bundles in ``folder``; the written index: where each record lies.
 
     A null ``html`` is an empty payload. Of rows with equal payloads of at least ``least`` bytes the one with the smallest id is the response and others
@@ -164,7 +165,7 @@ def write_bundles(pages: DataFrame, folder: str, least: int = LEAST_SHARED, page
     joined = rows.join(cut(shared.select("digest", "refers_to")), "digest", "left")
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     records = joined.select("page_id", "url", "digest", F.when(revisit, F.col("refers_to")).alias("refers_to"), revisit.alias("revisit"), "payload")
-    return cut(records.mapInArrow(partial(_write, folder=folder), INDEX))
+    return cut(records.mapInArrow(partial(_write, folder=folder, frame_bytes=frame_bytes, bundle_bytes=bundle_bytes), INDEX))
 
 
 def seek_table(file) -> list[tuple[int, int, int]]:

@@ -29,18 +29,16 @@ URLS = [
 ]
 
 
-@pytest.mark.parametrize("filter_bytes", [urlfilter.FILTER_BYTES, 0])
-def test_judgements_against_plain_loops(spark, monkeypatch, filter_bytes):
-    monkeypatch.setattr(urlfilter, "FILTER_BYTES", filter_bytes)
+def test_judgements_against_plain_loops(spark):
     listed = {"http://spam.org/p?utm_source=1", "http://spam.org/p/#f", "http://spam.org/p?"}  # spellings of one listed page
     rows = [(i, u, "own") for i, u in enumerate(URLS)] + [(None, URLS[4], "own"), (4, URLS[4], "own")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, url_rule string").withColumn("key", F.lit(1)).withColumn("HOST", F.lit("h"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, url_rule string").withColumns({"key": F.lit(1), "HOST": F.lit("h"), "url_judged": F.lit(7), "judged": F.lit(8), "h": F.lit(9)})
     names = spark.createDataFrame([("https://spam.org/p",), (None,), ("",), ("https://spam.org/p",)], "u string")
     got = urlfilter.filter_pages(pages, RULES, names, listed_url="u").collect()
     assert len(got) == len(rows)
     for r in got:
         assert (r.url_host, r.url_path, r.url_rule, r.url_verdict) == brute(r.url, RULES, listed), r.url
-        assert r.HOST == "h"
+        assert (r.HOST, r.url_judged, r.judged, r.h) == ("h", 7, 8, 9)
 
 
 def test_ties_and_repeated_rules(spark):
@@ -57,13 +55,28 @@ def test_empty_tables(spark):
     assert urlfilter.judge(pages, "url", [], pages).first().verdict == "block"
 
 
+def test_long_lists_and_long_urls(spark, monkeypatch):
+    monkeypatch.setattr(urlfilter, "SHARD_BYTES", 1024)  # several shards
+    urls = [f"http://h{i}.org/p/{'x' * (i % 50)}" for i in range(3000)] + ["http://long.org/" + "y" * 200_000, "http://" + "a." * 500 + "org/en"]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    assert urlfilter.blocks_for(1500) * urlfilter.BLOCK_BITS // 8 > 2 * 1024
+    got = urlfilter.filter_pages(pages, RULES, pages.where("page_id % 2 = 0"))
+    assert {r.page_id: r.url_verdict for r in got.collect()} == {i: "allow" if i % 2 else "block" for i in range(len(urls))}
+
+
 def test_filter_has_all_keys_and_few_others(spark):
-    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), F.xxhash64(F.concat(F.lit("k"), "id")).alias("h"), F.xxhash64(F.concat(F.lit("other"), "id")).alias("o"))
-    bloom = urlfilter.build_filter(keys, "key", 20_000)
+    keys = spark.range(20_000).select(F.xxhash64(F.concat(F.lit("k"), "id")).alias("h"), F.xxhash64(F.concat(F.lit("other"), "id")).alias("o"))
+    n_blocks = urlfilter.blocks_for(20_000)
+    bloom = urlfilter.build_filter(keys, "h", n_blocks)
     rows = keys.toPandas()
     assert urlfilter.might_contain(bloom, rows.h.to_numpy()).all()
     assert urlfilter.might_contain(bloom, rows.o.to_numpy()).mean() < 0.005
     assert bloom.dtype == np.uint32 and bloom.nbytes <= 20_000 * 3
+    blocks = keys.select(urlfilter._block_of(F.col("h"), n_blocks).alias("b")).toPandas().b.to_numpy()
+    assert np.array_equal(blocks, urlfilter._places(rows.h.to_numpy(), n_blocks)[0])
+    half = rows.h.to_numpy()[blocks >= 500]
+    assert np.array_equal(urlfilter.build_filter(keys.where(urlfilter._block_of(F.col("h"), n_blocks) >= 500), "h", n_blocks, 500, n_blocks), bloom[500:])
+    assert urlfilter.might_contain(bloom[500:], half, n_blocks, 500).all()
 
 
 def test_canonical_urls(spark):

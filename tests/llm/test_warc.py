@@ -36,11 +36,7 @@ def expected(rows):
 @pytest.fixture(scope="module")
 def index(spark):
     pages = spark.createDataFrame(rows_of(), SCHEMA).withColumn("digest", F.lit("x")).withColumn("Payload", F.lit(1))
-    small, warc.FRAME_BYTES = warc.FRAME_BYTES, 20_000
-    folder = warc.archive_folder(spark)
-    out = warc.write_bundles(pages, folder)
-    warc.FRAME_BYTES = small
-    return out
+    return warc.write_bundles(pages.coalesce(2), warc.archive_folder(spark), frame_bytes=20_000, bundle_bytes=20_000)
 
 
 def values(df):
@@ -77,7 +73,12 @@ def test_bundles_are_plain_zstandard(index):
 
 def test_frames_hold_several_records(index):
     frames = index.groupBy("bundle", "frame").count().collect()
-    assert len(frames) > 5 and max(r["count"] for r in frames) > 1
+    bundles = {r.bundle: max(f.frame for f in frames if f.bundle == r.bundle) for r in frames}
+    assert len(bundles) > 2 and max(bundles.values()) > 1 and max(r["count"] for r in frames) > 1
+    late = index.where("frame > 0 AND record_start > 0")
+    assert late.where("frame_start > 0").count() == late.count() > 0
+    ids = {r.page_id for r in late.collect()}
+    assert {r[0] for r in values(warc.read_records(late))} == ids
 
 
 def test_empty_and_broken(spark, tmp_path):
