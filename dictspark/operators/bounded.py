@@ -33,8 +33,10 @@ def part_at(position: Column, size: int = GROUP_ROWS) -> Column:
     return F.coalesce(F.floor(position / F.lit(size)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def part_by(columns: Sequence[Column], parts: int) -> Column:
+def part_by(columns: Sequence[Column], parts: int | Column) -> Column:
     """The part of a row without position: one of so many, by the hash of ``columns``."""
-    if parts < 1:
-        raise ValueError("a group has one part at least")
-    return F.pmod(hex_slice(F.md5(row_text(columns))), F.lit(parts)).cast("bigint")
+    if isinstance(parts, int):
+        if parts < 1:
+            raise ValueError("a group has one part at least")
+        parts = F.lit(parts)
+    return F.pmod(hex_slice(F.md5(row_text(columns))), parts).cast("bigint")

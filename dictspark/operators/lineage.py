@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 from itertools import count
@@ -10,12 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.globs import matches
-from ..session import cut_lineage
+from ..session import cut_lineage, work_dir
 from .bounded import PART, part_by
+from .components import connected
 
 # Columns of an edge.
 EDGE_COLUMNS = ("edge_type", "src_kind", "src_name", "src_field", "tgt_kind", "tgt_name", "tgt_field")
-MERGE_ROUNDS = 20
+#: Arcs of one node that stay in one bucket; those of a hub are dealt to several.
+HUB_ARCS = 1_000_000
+#: Edges of a graph document, about.
+EDGES_PER_DOCUMENT = 10_000
 
 
 def edges_of(
@@ -94,31 +99,86 @@ def pairs(edges: DataFrame, level: str = "object") -> DataFrame:
     return chosen.select(node("src_kind", "src_name", fields[0]).alias("src"), node("tgt_kind", "tgt_name", fields[1]).alias("tgt"))
 
 
-def trace(arcs: DataFrame, start: DataFrame, direction: str = "down", max_depth: int | None = None) -> DataFrame:
-    """(node, depth): everything reachable from the ``start`` nodes, with the least depth.
+class _Bucketed:
+    """An external table in the shared folder, its rows dealt to buckets by some columns. The catalog forgets it once it is not written any more."""
+
+    def __init__(self, spark, buckets: int, by: Sequence[str], partitions: Sequence[str] = ()):
+        self.spark, self.buckets, self.by, self.partitions = spark, buckets, list(by), list(partitions)
+        self.name, self.path = f"dictspark_{uuid.uuid4().hex}", work_dir(spark, "buckets")
+
+    def append(self, rows: DataFrame) -> None:
+        """Add rows, which are shuffled unless they already lie by the columns; every task writes one bucket."""
+        write = rows.write.format("parquet").mode("append").option("path", self.path).bucketBy(self.buckets, *self.by).sortBy(*self.by)
+        (write.partitionBy(*self.partitions) if self.partitions else write).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def files(self) -> DataFrame:
+        """The rows by their files, without the catalog."""
+        return self.spark.read.schema(self.read().schema).parquet(self.path)
+
+    def forget(self) -> None:
+        """Drop the catalog entry; the files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def _hubs(arcs: DataFrame, hub_arcs: int) -> DataFrame:
+    """Nodes with more arcs than a bucket should hold of one, and the number of parts of each: fewer rows than arcs by that factor."""
+    parts = F.ceil(F.count(F.lit(1)) / hub_arcs).cast("int").alias("parts")
+    return cut_lineage(arcs.groupBy("near").agg(parts).where("parts > 1"))
+
+
+def _reached(arcs: DataFrame, frontier: DataFrame, hubs: DataFrame | None, buckets: int) -> DataFrame:
+    """Far ends of the arcs of the frontier's nodes, repeats included. Arcs are joined where they lie; of the frontier, hubs go to all their parts."""
+    by, asked = ["near"], frontier.select(F.col("node").alias("near"))
+    if hubs is not None:
+        asked = asked.join(hubs, "near", "left").select("near", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+        by = ["near", "part"]
+    return arcs.join(asked.repartition(buckets, *by), by, "left_semi").select(F.col("far").alias("node"))
+
+
+def _unseen(reached: DataFrame, seen: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """The reached nodes that are new, with their depth, lying by node like those that have been seen."""
+    return reached.repartition(buckets, "node").distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
+
+
+def trace(arcs: DataFrame, start: DataFrame, direction: str = "down", max_depth: int | None = None, buckets: int | None = None, hub_arcs: int = HUB_ARCS) -> DataFrame:
+    """(node, depth): everything reachable from the ``start`` nodes, with the least depth. Arcs with a null end lead nowhere.
 
     Breadth first: each round follows only the nodes found last and drops those seen before, so
-    cycles end. Repeated arcs do no harm, since the nodes of a round are made distinct: arcs are written as they come,
-    without a shuffle. A hub's edges are split over tasks by the semi join; rounds are written to the shared folder, so
-    neither the plan nor the work to redo after a loss grows.
+    cycles end. Arcs are written once, in buckets by their near end, and visited nodes in as many buckets by node, one partition for
+    each depth. A round then shuffles the nodes of its frontier and those that it reaches, never the arcs nor the nodes seen before. Of a node with more
+    than ``hub_arcs`` arcs, parts go to different buckets. The plan of a round stays the same, and a loss costs no earlier round.
     """
     if direction not in ("down", "up"):
         raise ValueError("direction must be 'down' or 'up'")
+    spark = arcs.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     near, far = ("src", "tgt") if direction == "down" else ("tgt", "src")
-    arcs = cut_lineage(arcs.select(F.col(near).alias("near"), F.col(far).alias("far")))
-    frontier = cut_lineage(start.select(F.col("node").cast("string").alias("node")).distinct().withColumn("depth", F.lit(0)))
-    seen = frontier
-    for depth in count(1):
-        if max_depth is not None and depth > max_depth:
-            break
-        reached = arcs.join(frontier, F.col("near") == F.col("node"), "left_semi").select(F.col("far").alias("node")).distinct()
-        frontier = cut_lineage(reached.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth)))
-        if frontier.isEmpty():
-            break
-        seen = seen.unionByName(frontier)
-        if depth % MERGE_ROUNDS == 0:
-            seen = cut_lineage(seen)
-    return seen
+    arcs = arcs.where(F.col(near).isNotNull() & F.col(far).isNotNull()).select(F.col(near).alias("near"), F.col(far).alias("far"))
+    hubs = _hubs(arcs, hub_arcs)
+    hubs = None if hubs.isEmpty() else hubs
+    by = ["near"]
+    if hubs is not None:
+        part = F.pmod(F.xxhash64("far"), F.coalesce("parts", F.lit(1))).cast("int")
+        arcs, by = arcs.join(hubs, "near", "left").select("near", "far", part.alias("part")), ["near", "part"]
+    stored, seen = _Bucketed(spark, buckets, by), _Bucketed(spark, buckets, ["node"], ["depth"])
+    try:
+        stored.append(arcs.repartition(buckets, *by))
+        seen.append(start.select(F.col("node").cast("string").alias("node"), F.lit(0).alias("depth")).distinct().repartition(buckets, "node"))
+        arcs = stored.read()
+        for depth in count(1):
+            if max_depth is not None and depth > max_depth:
+                break
+            frontier = seen.read().where(F.col("depth") == depth - 1)
+            if frontier.isEmpty():
+                break
+            seen.append(_unseen(_reached(arcs, frontier, hubs, buckets), seen.read(), depth, buckets))
+        return seen.files().select("node", "depth")
+    finally:
+        stored.forget()
+        seen.forget()
 
 
 def lineage_trace(edges: DataFrame, object_name: str, direction: str = "down", max_depth: int | None = None) -> DataFrame:
@@ -132,20 +192,28 @@ def query_lineage(elements: DataFrame, edges: DataFrame, max_depth: int | None =
     return trace(pairs(edges, "field"), elements, "up", max_depth).where(F.col("depth") > 0)
 
 
-def graph_json(edges: DataFrame, scope: Sequence[str], documents: int = 1) -> DataFrame:
-    """Graph documents ``{"nodes":[{kind,name}],"edges":[{type,src,tgt}]}`` per scope.
+def graph_json(edges: DataFrame, scope: Sequence[str], edges_per_document: int = EDGES_PER_DOCUMENT) -> DataFrame:
+    """Graph documents ``{"nodes":[{kind,name}],"edges":[{type,src,tgt}]}``: one for each connected part of each scope.
 
-    Each scope has ``documents`` documents at most (``part``), dealt by the hash of the edge, with the nodes of their edges;
-    together they hold every edge once. Choose the number by the edges of the largest scope.
+    ``component`` names it by its smallest node. A component of more than ``edges_per_document`` distinct edges is dealt to as many
+    documents (``part``) as it takes, by the hash of the edge, so that a document stays of bounded size; together they hold every edge once, with the nodes of
+    their edges.
     """
-    distinct = edges.select(*scope, *EDGE_COLUMNS).distinct()
-    parted = distinct.withColumn(PART, part_by([F.col(c) for c in EDGE_COLUMNS], documents))
-    ends = [F.struct(F.col(f"{end}_kind").alias("kind"), F.col(f"{end}_name").alias("name")) for end in ("src", "tgt")]
+    distinct = cut_lineage(edges.select(*scope, *EDGE_COLUMNS).distinct())
+    end = lambda side: F.struct(*scope, node(f"{side}_kind", f"{side}_name").alias("node"))
+    found = connected(distinct.select(end("src").alias("src"), end("tgt").alias("tgt")))
+    ended = distinct.withColumn("_end", end("src")).join(found.select(F.col("node").alias("_end"), F.col("component.node").alias("component")), "_end").drop("_end")
+    sizes = ended.groupBy(*scope, "component").agg(F.ceil(F.count(F.lit(1)) / edges_per_document).alias("_parts"))
+    # a null scope value is a scope, too
+    same = reduce(Column.__and__, [F.col(f"e.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*scope, "component")])
+    sized = ended.alias("e").join(sizes.alias("s"), same).select("e.*", "s._parts")
+    parted = sized.withColumn(PART, part_by([F.col(c) for c in EDGE_COLUMNS], F.col("_parts")))
+    ends = [F.struct(F.col(f"{side}_kind").alias("kind"), F.col(f"{side}_name").alias("name")) for side in ("src", "tgt")]
     edge = F.struct(
         F.col("edge_type").alias("type"), node("src_kind", "src_name").alias("src"), node("tgt_kind", "tgt_name").alias("tgt")
     )
-    grouped = parted.groupBy(*scope, PART).agg(
+    grouped = parted.groupBy(*scope, "component", PART).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(*ends))))).alias("nodes"),
         F.sort_array(F.collect_list(edge)).alias("edges"),
     )
-    return grouped.select(*scope, PART, F.to_json(F.struct("nodes", "edges")).alias("json"))
+    return grouped.select(*scope, "component", PART, F.to_json(F.struct("nodes", "edges")).alias("json"))

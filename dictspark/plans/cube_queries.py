@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators.cube import Characteristic, Cube, Measure, Variable
 from ..operators.ordering import numbered
+from ..operators.saved import begin, define
+from ..session import cut_lineage
 from .inputs import lineitem, orders
 from .registry import fixture, plain, query, table
 
@@ -171,6 +173,33 @@ def cube_hierarchy_variable(spark, sf_dir):
     return _without_nodes(state).rows("nation").result()
 
 
+def _saved(spark, sf_dir):
+    """A cube and a query over it, saved under names, with a variant of the query; definitions are read back from a written table."""
+    base = cube(spark, sf_dir, variables=VARIABLES[:3])
+    state = Cube.of(base.df, base.characteristics.values(), (PRICE,)).rows("nation").columns("flag", members={"flag": FLAGS}).filter("segment", "BUILDING", "MACHINERY")
+    definitions = define(spark, "Q_PRICES", "C_SALES", state).unionByName(define(spark, "Q_OTHER", "C_SALES", base.rows("month")))
+    values = [("Q_PRICES", "ASIAN", "ZREGION", "I", "EQ", "ASIA", ""), ("Q_PRICES", "ASIAN", "ZMONTH", "I", "BT", "1994-01", "1996-12"), ("Q_OTHER", "ASIAN", "ZREGION", "I", "EQ", "EUROPE", "")]
+    variants = spark.createDataFrame(values, "QUERY string, VARIANT string, NAME string, SIGN string, OP string, LOW string, HIGH string")
+    return {"C_SALES": base}, cut_lineage(definitions), variants
+
+
+PRICE_PIVOT = ", ".join(f"CAST(sum(price) FILTER (WHERE flag = '{f}') AS DOUBLE) AS {f}_price" for f in FLAGS)
+
+
+@query("cube_begin_query", _sql(["nation"], PRICE_PIVOT, "region = 'ASIA' AND month BETWEEN '1994-01' AND '1996-12' AND segment IN ('BUILDING', 'MACHINERY')"))
+def cube_begin_query(spark, sf_dir):
+    """A saved query opened by its name, its variables filled from a saved variant."""
+    cubes, definitions, variants = _saved(spark, sf_dir)
+    return begin("Q_PRICES", cubes, definitions, variant="ASIAN", variants=variants).result()
+
+
+@query("cube_begin_cube", _sql(["region"], BOTH, "region IN ('ASIA', 'EUROPE')"))
+def cube_begin_cube(spark, sf_dir):
+    """A cube opened by its name."""
+    cubes, definitions, _ = _saved(spark, sf_dir)
+    return begin("C_SALES", cubes, definitions, [{"NAME": "ZREGION", "LOW": r} for r in ("ASIA", "EUROPE")]).rows("region").result()
+
+
 def _without_nodes(state: Cube) -> Cube:
     """The same query with the nation shown flat."""
     flat = {n: Characteristic(n, c.column, c.texts) for n, c in state.characteristics.items()}

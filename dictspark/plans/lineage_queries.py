@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import lineage as L
 from ..operators.metadata import transform_fields
 from .inputs import lineitem, orders
-from .registry import part_sql, query, row_text_sql, table
+from .registry import md5_slice_sql, query, row_text_sql, table
 
 OBJECTS = """
 SELECT DISTINCT 'DATA' AS edge_type, 'CUSTOMER' AS src_kind, CAST(o_custkey AS VARCHAR) AS src_name, '' AS src_field, 'ORDER' AS tgt_kind,
@@ -122,30 +122,45 @@ def query_lineage(spark, sf_dir):
     return L.query_lineage(elements, all_edges(spark, sf_dir))
 
 
-DOCUMENTS = 4
+EDGES_PER_DOCUMENT = 40
 SCOPED = """
 SELECT DISTINCT 'DATA' AS edge_type, 'CUSTOMER' AS src_kind, CAST(o_custkey AS VARCHAR) AS src_name, '' AS src_field, 'ORDER' AS tgt_kind,
        CAST(o_orderkey AS VARCHAR) AS tgt_name, '' AS tgt_field, c_nationkey AS scope FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL
+SELECT DISTINCT 'DAY', 'ORDER', CAST(o_orderkey AS VARCHAR), '', 'DAY', strftime(o_orderdate, '%Y-%m-%d'), '', c_nationkey
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0
 """
 _EDGE_TEXT = row_text_sql(*L.EDGE_COLUMNS)
 
 
 @query(
     "lineage_graph_json",
-    f"WITH e AS ({SCOPED}), p AS (SELECT *, {part_sql(_EDGE_TEXT, DOCUMENTS)} AS part FROM e) "
-    "SELECT scope, CAST(part AS BIGINT) AS part, count(*) AS edges, count(DISTINCT src_name) + count(DISTINCT tgt_name) AS nodes, "
-    "md5(string_agg('DATA CUSTOMER:' || src_name || ' ORDER:' || tgt_name, ';' ORDER BY 'CUSTOMER:' || src_name, 'ORDER:' || tgt_name)) AS content FROM p GROUP BY scope, part",
+    f"WITH RECURSIVE e AS ({SCOPED}), a AS (SELECT scope, src_kind || ':' || src_name AS u, tgt_kind || ':' || tgt_name AS v FROM e), "
+    "b AS MATERIALIZED (SELECT scope, u, v FROM a UNION SELECT scope, v, u FROM a), "
+    "r AS (SELECT scope, u, v FROM b UNION SELECT r.scope, r.u, b.v FROM r JOIN b ON b.scope = r.scope AND b.u = r.v), "
+    "c AS (SELECT scope, u, least(u, min(v)) AS component FROM r GROUP BY scope, u), "
+    "x AS (SELECT e.*, c.component FROM e JOIN c ON c.scope = e.scope AND c.u = src_kind || ':' || src_name), "
+    f"s AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY scope, component) / {EDGES_PER_DOCUMENT}.0) AS BIGINT) AS parts FROM x), "
+    f"p AS (SELECT *, {md5_slice_sql(_EDGE_TEXT)} % parts AS part FROM s), "
+    "n AS (SELECT scope, component, part, count(DISTINCT node) AS nodes FROM "
+    "(SELECT scope, component, part, unnest([src_kind || ':' || src_name, tgt_kind || ':' || tgt_name]) AS node FROM p) GROUP BY ALL) "
+    "SELECT scope, component, CAST(part AS BIGINT) AS part, count(*) AS edges, any_value(n.nodes) AS nodes, "
+    "md5(string_agg(edge_type || ' ' || src_kind || ':' || src_name || ' ' || tgt_kind || ':' || tgt_name, ';' ORDER BY edge_type, src_kind || ':' || src_name, tgt_kind || ':' || tgt_name)) AS content "
+    "FROM p JOIN n USING (scope, component, part) GROUP BY scope, component, part",
 )
 def lineage_graph_json(spark, sf_dir):
     scoped = orders(spark, sf_dir).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    edges = L.edges_of(scoped, "DATA", ("CUSTOMER", F.col("o_custkey")), ("ORDER", F.col("o_orderkey")), keep=[F.col("c_nationkey").alias("scope")])
-    documents = L.graph_json(edges, ["scope"], DOCUMENTS)
+    keep = [F.col("c_nationkey").alias("scope")]
+    placed = L.edges_of(scoped, "DATA", ("CUSTOMER", F.col("o_custkey")), ("ORDER", F.col("o_orderkey")), keep=keep)
+    urgent = scoped.where("o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0")
+    days = L.edges_of(urgent, "DAY", ("ORDER", F.col("o_orderkey")), ("DAY", F.date_format("o_orderdate", "yyyy-MM-dd")), keep=keep)
+    documents = L.graph_json(placed.unionByName(days), ["scope"], EDGES_PER_DOCUMENT)
     listed = F.from_json("json", "edges array<struct<type:string,src:string,tgt:string>>").getField("edges")
     content = F.md5(F.array_join(F.transform(listed, lambda e: F.concat_ws(" ", e["type"], e["src"], e["tgt"])), ";"))
 
     def held(part: str):
         return F.json_array_length(F.get_json_object("json", f"$.{part}")).cast("bigint").alias(part)
 
-    return documents.select("scope", "part", held("edges"), held("nodes"), content.alias("content"))
+    return documents.select("scope", "component", "part", held("edges"), held("nodes"), content.alias("content"))
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.selection import option, select_options
@@ -248,18 +251,36 @@ def fingerprint_table(spark, sf_dir):
     return fingerprint(rows, algorithm="md5")
 
 
-@query("fingerprint_table_fast", "SELECT count(*) AS n, true AS same_in_any_order, true AS differs_without_a_row FROM lineitem")
+CHANGED = ("less", "cell", "swapped", "null")
+
+
+@query("fingerprint_table_fast", f"SELECT count(*) AS n, true AS same_in_any_order, {', '.join(f'true AS differs_{kind}' for kind in CHANGED)} FROM lineitem")
 def fingerprint_table_fast(spark, sf_dir):
-    """The fast hash is not one that SQL knows, so its properties are compared: neither order nor partitions count, every row does."""
+    """The fast hash is not one that SQL knows, so its properties are compared: neither order nor partitions count, and every change does, also one that leaves the number of rows as it is."""
     rows = lineitem(spark, sf_dir)
-    kinds = {"whole": rows, "dealt": rows.repartition(5, "l_suppkey"), "less": rows.where("l_orderkey % 1000 <> 1")}
+    least = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    marked = rows.crossJoin(F.broadcast(rows.agg(F.min(least).alias("least")))).withColumn("hit", least == F.col("least")).drop("least")
+
+    def changed(**values):
+        """The table with some cells of its first row changed."""
+        return marked.withColumns({c: F.when(F.col("hit"), v).otherwise(F.col(c)) for c, v in values.items()}).select(*rows.columns)
+
+    kinds = {
+        "whole": rows,
+        "dealt": rows.repartition(5, "l_suppkey"),
+        "less": marked.where("NOT hit").drop("hit"),
+        "cell": changed(l_partkey=F.col("l_partkey") + 1),
+        "swapped": changed(l_partkey=F.col("l_suppkey"), l_suppkey=F.col("l_partkey") + F.when(F.col("l_partkey") == F.col("l_suppkey"), 1).otherwise(0)),
+        "null": changed(l_returnflag=F.lit(None).cast("string")),
+    }
     digests = [fingerprint(df).select(F.lit(kind).alias("kind"), "n", F.concat_ws(" ", "digest", "digest2").alias("digest")) for kind, df in kinds.items()]
 
     def of(kind: str, column: str):
         return F.max(F.when(F.col("kind") == kind, F.col(column)))
 
-    same, differs = of("whole", "digest") == of("dealt", "digest"), of("whole", "digest") != of("less", "digest")
-    return digests[0].unionByName(digests[1]).unionByName(digests[2]).agg(of("whole", "n").alias("n"), same.alias("same_in_any_order"), differs.alias("differs_without_a_row"))
+    whole = of("whole", "digest")
+    differs = [(whole != of(kind, "digest")).alias(f"differs_{kind}") for kind in CHANGED]
+    return reduce(DataFrame.unionByName, digests).agg(of("whole", "n").alias("n"), (whole == of("dealt", "digest")).alias("same_in_any_order"), *differs)
 
 
 # --- versions, top-k ---------------------------------------------------------------------------

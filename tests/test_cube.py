@@ -1,9 +1,12 @@
 """Cube queries and hierarchies against small hand-made facts."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from dictspark.operators import hierarchy as H
+from dictspark.operators import saved
 from dictspark.operators.cube import Characteristic, Cube, Measure, Variable, edited, measure_names, row_names
 from dictspark.operators.ordering import numbered
 
@@ -165,3 +168,24 @@ def test_mandatory_variables_that_must_not_be_initial(cube):
     with pytest.raises(ValueError, match="must not be initial"):
         strict.begin(variables=[{"NAME": "YEAR", "SIGN": "I", "OP": "EQ", "LOW": " "}])
     assert strict.begin(variables=[{"NAME": "YEAR", "SIGN": "I", "OP": "EQ", "LOW": "2020"}]).options
+
+
+def test_saved_queries(cube, spark):
+    state = cube.rows("country", "product").filter("product", "A").totals("product", "SHOW").sort("country", "DESC")
+    table = saved.define(spark, "Q1", "C1", state).unionByName(saved.define(spark, "Q2", "C1", cube.rows("product")))
+    cubes, value = {"C1": cube}, [{"NAME": "YEAR", "LOW": "2024", "HIGH": "2025"}]
+    opened = saved.begin("Q1", cubes, table, value)
+    assert (opened.row_axis, opened.members, opened.properties, opened.measures) == (state.row_axis, state.members, state.properties, cube.measures)
+    assert rows(opened.result()) == rows(state.begin(value).result())
+    assert saved.provider_of("Q1", cubes, table) == saved.provider_of("C1", cubes) == "C1"
+    assert saved.begin("C1", cubes, variables=value).row_axis == ()
+    none = replace(cube, members={"product": ()})
+    assert saved.begin("Q3", cubes, saved.define(spark, "Q3", "C1", none), value).members == {"product": ()}
+    variants = spark.createDataFrame([("Q1", "V", "YEAR", "I", "EQ", "2025", ""), ("Q2", "V", "YEAR", "I", "EQ", "2024", "")], "QUERY string, VARIANT string, NAME string, SIGN string, OP string, LOW string, HIGH string")
+    assert [o["LOW"] for o in saved.begin("Q2", cubes, table, variant="V", variants=variants).options] == ["2024"]
+    bad = spark.createDataFrame([("Q9", "C1", "NOPE", 1, "x", None), ("Q8", "C7", "ROWS", 1, "country", None), ("Q7", "C1", "MEASURE", 1, "zz", None)], saved.DEFINITION)
+    for name, message in (("Q5", "unknown cube or query 'Q5', expected one of C1, Q7, Q8, Q9"), ("Q9", "unknown parts: NOPE"), ("Q8", "one known cube, not C7"), ("Q7", "unknown measures: zz")):
+        with pytest.raises(ValueError, match=message):
+            saved.begin(name, cubes, bad, value)
+    with pytest.raises(ValueError, match="without a value: YEAR"):
+        saved.begin("Q1", cubes, table)

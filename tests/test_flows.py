@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dictspark.functions.selection import option
 from dictspark.operators import lineage as L
+from dictspark.operators.components import connected
 from dictspark.operators.bounded import part_at, part_by
 from dictspark.operators.directory import describe_function
 from dictspark.operators.quality import quality_profile
@@ -51,15 +52,71 @@ def test_trace_is_breadth_first(spark, seed, limit):
     assert rows(L.trace(frame, start, "up", limit)) == reach([(b, a) for a, b in arcs], "n0", limit)
 
 
+def test_trace_follows_hubs_and_moves_no_arcs(spark):
+    rng = random.Random(5)
+    arcs = [("n0", f"m{i}") for i in range(400)] + [(f"m{rng.randrange(400)}", f"x{i}") for i in range(300)] + [(f"x{i}", "n0") for i in range(0, 300, 7)] + [(None, "x1"), ("x2", None)]
+    frame = spark.createDataFrame(arcs, "src string, tgt string")
+    start = spark.createDataFrame([("n0",), ("n0",)], "node string")
+    assert rows(L.trace(frame, start, buckets=3, hub_arcs=50)) == reach([a for a in arcs if None not in a], "n0", None)
+    assert L.trace(frame, start.limit(0)).collect() == [] and rows(L.trace(frame.limit(0), start)) == [("n0", 0)]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("dictspark_")]
+    # the plan of a round: neither arcs nor seen nodes are shuffled, also where nothing is broadcast
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for hubs, by in ((None, ["near"]), (spark.createDataFrame([("n0", 3)], "near string, parts int"), ["near", "part"])):
+        stored, seen = L._Bucketed(spark, 4, by), L._Bucketed(spark, 4, ["node"], ["depth"])
+        stored.append(frame.selectExpr("src AS near", "tgt AS far", "pmod(hash(tgt), 3) AS part").select("far", *by).repartition(4, *by))
+        seen.append(start.distinct().withColumn("depth", F.lit(0)).repartition(4, "node"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        reached = L._reached(stored.read(), seen.read().where("depth = 0"), hubs, 4)
+        round_ = L._unseen(reached, seen.read(), 1, 4)
+        plan = round_._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        moved = [line for line in plan.splitlines() if "Exchange" in line]
+        # the reached nodes alone; with hubs the frontier, too, which also meets them by a join
+        assert len(moved) <= (1 if hubs is None else 4) and plan.count("Bucketed: true") >= 2, plan
+        stored.forget()
+        seen.forget()
+
+
+def plain_components(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return sorted((x, find(x)) for x in root)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_connected_components(spark, seed):
+    rng = random.Random(seed)
+    path = [f"p{i:04d}" for i in range(300)]
+    mixed = rng.sample(path, len(path)) if seed else path  # a long path, in order and not
+    edges = list(zip(mixed, mixed[1:])) + [("hub", f"leaf{i}") for i in range(200)] + [(f"r{rng.randrange(150)}", f"r{rng.randrange(150)}") for _ in range(90)]
+    edges += [("loop", "loop"), ("hub", "hub"), ("hub", "leaf3"), ("leaf3", "hub"), (None, "x"), ("y", None), (None, None)]
+    frame = spark.createDataFrame(edges, "src string, tgt string")
+    assert sorted(map(tuple, connected(frame).collect())) == plain_components(edges)
+    assert connected(frame.limit(0)).collect() == []
+
+
 def test_graph_documents_hold_every_edge_once(spark):
     hub = spark.range(1000).selectExpr("'HUB' AS a", "concat('t', id) AS b", "'S' AS scope")
     small = spark.range(3).selectExpr("concat('s', id) AS a", "'T' AS b", "'Z' AS scope")
-    edges = L.edges_of(hub.unionByName(small), "DATA", ("K", F.col("a")), ("K", F.col("b")), keep=["scope"])
-    documents = L.graph_json(edges, ["scope"], documents=10).collect()
-    assert len([d for d in documents if d.scope == "S"]) == 10 and len([d for d in documents if d.scope == "Z"]) <= 3
-    assert len(L.graph_json(edges, ["scope"]).collect()) == 2
+    apart = spark.range(5).selectExpr("concat('u', id) AS a", "concat('v', id) AS b", "CAST(NULL AS STRING) AS scope")
+    edges = L.edges_of(hub.unionByName(small).unionByName(apart).unionByName(apart), "DATA", ("K", F.col("a")), ("K", F.col("b")), keep=["scope"])
+    documents = L.graph_json(edges, ["scope"], edges_per_document=100).collect()
+    assert {(d.scope, d.component, d.part) for d in documents if d.scope == "S"} == {("S", "K:HUB", i) for i in range(10)}
+    assert sorted((d.scope, d.component, d.part) for d in documents if d.scope == "Z") == [("Z", "K:T", 0)]
+    assert sorted(d.component for d in documents if d.scope is None) == [f"K:u{i}" for i in range(5)]
+    assert len(L.graph_json(edges, ["scope"]).collect()) == 7
     parsed = [json.loads(d.json) for d in documents]
-    assert len({(e["src"], e["tgt"]) for p in parsed for e in p["edges"]}) == sum(len(p["edges"]) for p in parsed) == 1003
+    assert len({(e["src"], e["tgt"]) for p in parsed for e in p["edges"]}) == sum(len(p["edges"]) for p in parsed) == 1008
     assert max(len(p["edges"]) for p in parsed) < 200
     assert all({f"{n['kind']}:{n['name']}" for n in p["nodes"]} == {e[x] for e in p["edges"] for x in ("src", "tgt")} for p in parsed)
 
