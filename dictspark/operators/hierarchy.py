@@ -22,9 +22,6 @@ COLUMNS = ("node_id", "parent_id", "child_id", "next_id", "info_object", "node_n
 #: The node of values whose own node is not in the hierarchy.
 NOT_ASSIGNED = "NOT_ASSIGNED"
 
-MAX_LEVELS = 1000
-WALKED = ("node_id", "level", "path", "ancestors")
-
 
 def valid_nodes(nodes: DataFrame, version: str = ACTIVE, date_to: str | None = None, name: str | None = None) -> DataFrame:
     """Nodes of a version that are valid on the due date, of the hierarchy ``name`` where nodes tell theirs (``hierarchy_name``)."""
@@ -49,35 +46,31 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def walk(nodes: DataFrame, root: Column | None = None) -> DataFrame:
-    """(node_id, level, path, ancestors) of every node below the roots, level by level.
+    """(node_id, level, path, ancestors) of every node at or below the roots.
 
-    One join per level against that level's nodes only. Each level is written, so the plan does
-    not grow and a small level is broadcast by its real size; ``ancestors`` (itself included)
+    Every node holds the way to one of its ancestors; a round puts the ancestor's own way before it, so ways double
+    and a hierarchy of any depth takes as many rounds as its depth has binary digits. Each round is written, so the plan does not grow. Nodes that
+    no root is above, also those in or below a cycle, are left out; a root ends the way whatever its parent. ``ancestors`` (itself included)
     makes subtrees and rollups need no further join.
     """
     is_root = F.col("parent_id").isNull() if root is None else root
-    nodes = cut_lineage(nodes.withColumn("_root", F.coalesce(is_root, F.lit(False))).select("node_id", "parent_id", "node_name", "_root"))  # read once a level
-    level = nodes.where("_root").select(
-        "node_id", F.lit(1).alias("level"), F.concat(F.lit("/"), F.col("node_name")).alias("path"), F.array("node_id").alias("ancestors")
-    )
-    levels = []
+    up = F.when(F.coalesce(is_root, F.lit(False)), F.lit(None)).otherwise(F.col("parent_id"))
+    rooted = F.coalesce(is_root, F.lit(False)) | F.col("parent_id").isNotNull()
+    ways = cut_lineage(nodes.where(rooted).select("node_id", up.alias("above"), F.array("node_id").alias("ancestors"), F.col("node_name").alias("names")))
+    done = []
     while True:
-        level = cut_lineage(level)
-        if level.isEmpty():
+        done.append(ways.where("above IS NULL"))
+        rest = ways.where("above IS NOT NULL")
+        if rest.isEmpty():
             break
-        levels.append(level)
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"the hierarchy is deeper than {MAX_LEVELS} levels")
-        above = level.select(F.col("node_id").alias("_above"), "level", "path", "ancestors")
-        cycle = F.raise_error(F.concat(F.lit("the hierarchy has a cycle at node "), F.col("node_id").cast("string"))).cast("boolean")
-        below = nodes.join(above, F.col("parent_id") == F.col("_above")).where(F.when(F.array_contains("ancestors", F.col("node_id")), cycle).otherwise(True))
-        level = below.select(
-            "node_id",
-            (F.col("level") + 1).alias("level"),
-            F.concat_ws("/", "path", "node_name").alias("path"),
-            F.array_append("ancestors", F.col("node_id")).alias("ancestors"),
+        known = reduce(DataFrame.unionByName, [*done, rest])
+        onto = known.select(F.col("node_id").alias("above"), F.col("above").alias("_above"), F.col("ancestors").alias("_before"), F.col("names").alias("_names"))
+        joined = rest.join(onto, "above").select(
+            "node_id", F.col("_above").alias("above"), F.concat("_before", "ancestors").alias("ancestors"), F.concat_ws("/", "_names", "names").alias("names")
         )
-    return reduce(DataFrame.unionByName, levels) if levels else level
+        ways = cut_lineage(joined.where(F.col("above").isNull() | (F.size(F.array_distinct("ancestors")) == F.size("ancestors"))))
+    path = F.concat(F.lit("/"), "names").alias("path")
+    return reduce(DataFrame.unionByName, done).select("node_id", F.size("ancestors").alias("level"), path, "ancestors")
 
 
 def hierarchy(nodes: DataFrame, version: str = ACTIVE, date_to: str | None = None, name: str | None = None) -> DataFrame:

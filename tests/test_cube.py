@@ -132,6 +132,17 @@ def test_wide_parent(spark):
     assert totals.where("node_id = 0").first().one == 5000
 
 
+def test_deep_and_broken_hierarchies(spark):
+    """A chain of 1,500 levels takes 11 rounds; cycles, what hangs below them and nodes without a parent that exists are left out."""
+    chain = spark.range(1500).selectExpr("id AS node_id", "CASE WHEN id > 0 THEN id - 1 END AS parent_id", "CAST(id % 10 AS STRING) AS node_name")
+    broken = spark.createDataFrame([(9001, 9002, "a"), (9002, 9003, "b"), (9003, 9001, "c"), (9004, 9001, "d"), (9005, 9005, "e"), (9006, 77777, "f"), (9007, 700, "g")], chain.schema)
+    walked = H.walk(chain.unionByName(broken)).select("node_id", "level", F.length("path").alias("n"), F.col("ancestors")[0].alias("top")).collect()
+    assert sorted((r.node_id, r.level, r.n, r.top) for r in walked) == sorted([(i, i + 1, 2 * (i + 1), 0) for i in range(1500)] + [(9007, 702, 1404, 0)])
+    assert sorted(r.node_id for r in H.subtree(chain.unionByName(broken), 1490).collect()) == list(range(1490, 1500))
+    assert sorted(r.node_id for r in H.subtree(chain.unionByName(broken), 9001).collect()) == [9001, 9002, 9003, 9004]
+    assert H.walk(chain.limit(0)).collect() == []
+
+
 def test_numbered(spark):
     df = spark.range(1000).selectExpr("id", "id % 7 AS g")
     out = numbered(df, [F.desc("g"), "id"]).orderBy("row_no").collect()
