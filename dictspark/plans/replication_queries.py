@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import functions as F
 
 from ..functions.selection import option
-from ..operators.replication import Replicator, Source, apply_changes, last_modified, preview, read_full, snapshot_diff
+from ..operators.replication import DELETE, MODE, UPSERT, Replicator, Source, apply_changes, last_modified, preview, read_full, snapshot_diff
 from ..operators.versions import latest
 from ..session import work_dir
 from ..sources.files import write_table
-from ..streaming.delta import append_to, change_stream, layer_to, read_batches, read_replica, run_delta
+from ..streaming.delta import append_to, change_stream, layer_to, once, read_batches, read_replica, run_delta
+from ..streaming.replica import Replica
 from .inputs import events, orders
 from .registry import query, table
 from .relational_queries import PAIR, snapshot_pair
@@ -203,3 +206,42 @@ def delta_apply_stream(spark, sf_dir):
     return read_replica(spark, path, stream.schema, keys, order).select("event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
 
 
+def increments(spark, sf_dir, rows, edges: list[str]) -> Iterator[str]:
+    """Files of a change log as they come: up to each edge in turn, then the rest, every increment beginning with the day the last one ended with."""
+    feed = work_dir(spark, "feed")
+    bounds = [None, *edges, None]
+    for since, until in zip(bounds, bounds[1:]):
+        part = rows
+        if since:
+            part = part.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY"))
+        if until:
+            part = part.where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+        part.write.mode("append").parquet(feed)
+        yield feed
+
+
+@query("delta_stream_once", f"SELECT {IMAGE} FROM events")
+def delta_stream_once(spark, sf_dir):
+    """Three increments whose ends overlap by a day, each read by a restarted subscriber: every image is delivered once."""
+    rows = event_images(spark, sf_dir)
+    path, checkpoint = work_dir(spark, "stream"), work_dir(spark, "checkpoint")
+    for feed in increments(spark, sf_dir, rows, [FIRST_DAYS, "2024-01-23"]):
+        run_delta(once(change_stream(spark, feed, rows.schema), "ts"), checkpoint, append_to(path))
+    return read_batches(spark, path, rows.schema).select(*rows.columns)
+
+
+GONE = "purchase"
+
+
+@query(
+    "delta_replica_levels",
+    f"SELECT {IMAGE} FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_type <> '{GONE}'",
+)
+def delta_replica_levels(spark, sf_dir):
+    """Five batches with deletions, merged by twos: the replica holds the last image of each user that was not deleted by it."""
+    rows = event_images(spark, sf_dir).withColumn(MODE, F.when(F.col("event_type") == GONE, DELETE).otherwise(UPSERT))
+    replica = Replica(spark, work_dir(spark, "replica"), rows.schema, ("user_id",), ("ts", "event_id"), fanout=2)
+    checkpoint = work_dir(spark, "checkpoint")
+    for feed in increments(spark, sf_dir, rows, ["2024-01-08", FIRST_DAYS, "2024-01-20", "2024-01-25"]):
+        run_delta(change_stream(spark, feed, rows.schema), checkpoint, replica.layer_to())
+    return replica.read().drop(MODE)

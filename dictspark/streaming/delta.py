@@ -12,6 +12,7 @@ from ..operators.replication import DELETE, MODE
 from ..operators.versions import latest
 
 BATCH = "batch_id"
+_EVENT = "_event_time"
 OnBatch = Callable[[DataFrame, int], None]
 
 
@@ -33,6 +34,23 @@ def run_delta(stream: DataFrame, checkpoint: str, on_batch: OnBatch) -> None:
     query.awaitTermination()
 
 
+def once(stream: DataFrame, stamp: str, lateness: str | None = None) -> DataFrame:
+    """Every image once, however often its source delivers it: a delta that begins with the stamp the last one ended with
+    repeats the rows of that stamp, and only those that came late are new.
+
+    Two rows are one image if all their columns are equal, NULL included. The images seen are kept in the state store of the
+    checkpoint, dealt by their hash (choose the RocksDB provider, so that they live on disk). Without ``lateness`` they are kept for
+    good and nothing is ever lost. With ``lateness`` (such as ``"2 days"``) they are forgotten when the newest stamp is that far
+    ahead, and a stamped row that comes later than that is refused by the watermark: for sources that promise not to send any,
+    and only after the first snapshot, whose files hold old stamps in any order. Rows without a stamp are remembered for good.
+    """
+    if lateness is None:
+        return stream.dropDuplicates()
+    stamped = stream.where(F.col(stamp).isNotNull()).withColumn(_EVENT, F.col(stamp).cast("timestamp")).withWatermark(_EVENT, lateness)
+    unstamped = stream.where(F.col(stamp).isNull()).dropDuplicates()
+    return stamped.dropDuplicatesWithinWatermark(stream.columns).drop(_EVENT).unionByName(unstamped)
+
+
 def append_to(path: str) -> OnBatch:
     """Keep each batch in its own folder, replaced as a whole when it is delivered again."""
 
@@ -45,7 +63,8 @@ def append_to(path: str) -> OnBatch:
 def layer_to(path: str, keys: Sequence[str], order: Sequence[str]) -> OnBatch:
     """Keep the last image per key of each batch as a layer of a replica.
 
-    A batch writes its own changes only; it never rewrites the replica.
+    A batch writes its own changes only; it never rewrites the replica, so a read opens all layers. For streams
+    of many batches see :class:`dictspark.streaming.replica.Replica`, which merges them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

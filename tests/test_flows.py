@@ -2,7 +2,8 @@
 
 import json
 import random
-from collections import deque
+from collections import Counter, deque
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ from dictspark.operators.replication import Replicator, Source, apply_changes, l
 from dictspark.operators.versions import latest, prefer_active
 from dictspark.functions.types import Field
 from dictspark.session import CHECKPOINT_CONF, shared_dir, work_dir
-from dictspark.streaming.delta import append_to, change_stream, compact, layer_to, read_batches, read_replica, run_delta
+from dictspark.streaming.delta import append_to, change_stream, compact, layer_to, once, read_batches, read_replica, run_delta
+from dictspark.streaming.replica import ManifestConflict, Replica
 
 
 def rows(df):
@@ -335,6 +337,84 @@ def test_replica_of_layers(spark):
     assert rows(compact(spark, out, work_dir(spark, "compact"), first.schema, ["k"], ["seq"])) == rows(replica)
 
 
+@pytest.mark.parametrize("lateness", [None, "10 days"])
+def test_images_are_delivered_once(spark, lateness):
+    feed, out, checkpoint = (work_dir(spark, n) for n in ("feed", "out", "checkpoint"))
+    schema = "id int, ts timestamp_ntz, v string"
+    day = lambda n: datetime(2024, 1, n)
+    first = [(1, day(1), "a"), (2, day(5), "b"), (3, None, "x"), (2, day(5), "b")]
+    second = [(2, day(5), "b"), (4, day(5), None), (2, day(5), "changed"), (3, None, "x"), (3, None, None), (5, day(6), "e")]
+    writes, faults = append_to(out), []
+
+    def fails_once(batch, batch_id):
+        writes(batch, batch_id)
+        if faults:
+            raise RuntimeError(faults.pop())
+
+    for i, part in enumerate((first, second, second)):
+        written = spark.createDataFrame(part, schema)
+        written.coalesce(1).write.mode("append").parquet(feed)
+        stream = once(change_stream(spark, feed, written.schema), "ts", lateness)
+        if i == 1:
+            faults.append("lost")
+            with pytest.raises(Exception, match="lost"):
+                run_delta(stream, checkpoint, fails_once)
+        run_delta(stream, checkpoint, fails_once)
+    delivered = read_batches(spark, out, written.schema).select("id", "ts", "v").collect()
+    assert Counter(tuple(r) for r in delivered) == Counter(set(first + second))
+
+
+def opened(df):
+    return {path.rsplit("/", 2)[-2] for path in df.inputFiles()}
+
+
+def test_replica_of_levels(spark):
+    schema = "k int, v string, seq int, change_mode string"
+    batches = [
+        [(1, "a", 1, "U"), (1, "b", 2, "U"), (2, "c", 5, "U"), (None, "n", 1, "U")],
+        [(1, None, 3, "D"), (3, "n", 1, "U")],
+        [(1, "late", 2, "U"), (2, "same", 5, "U")],
+        [],
+        [(4, "x", None, "U"), (None, "m", 2, "U")],
+        [(3, None, 9, "D"), (4, "y", 0, "U")],
+    ]
+    empty = spark.createDataFrame([], schema)
+    replica = Replica(spark, work_dir(spark, "replica"), empty.schema, ("k",), ("seq",), fanout=2)
+    assert replica.read().count() == 0 and replica.unused() == []
+    deliver = replica.layer_to()
+    for number, batch in enumerate(batches):
+        deliver(spark.createDataFrame(batch, schema), number)
+        deliver(spark.createDataFrame(batch, schema), number)
+    wanted = {(2, "same"), (4, "y"), (None, "m")}
+    before = replica.read()
+    assert {tuple(r) for r in before.select("k", "v").collect()} == wanted
+    assert sorted(layer["level"] for layer in replica.manifest()["layers"]) == [1, 2]
+    assert len(opened(before)) == 2 and replica.manifest()["delivered"] == {"stream": 5}
+    replica.compact()
+    after = replica.read()
+    assert len(opened(after)) == 1 and not opened(after) & opened(before)
+    assert {tuple(r) for r in after.select("k", "v").collect()} == wanted
+    assert {tuple(r) for r in before.select("k", "v").collect()} == wanted
+    # a tombstone outlives merges; images from before it do not come back
+    replica.layer_to("other")(spark.createDataFrame([(3, "old", 8, "U"), (5, "z", 1, "U")], schema), 0)
+    assert {tuple(r) for r in replica.read().select("k", "v").collect()} == wanted | {(5, "z")}
+    replica.compact(forget_deleted=True)
+    stored = spark.read.parquet(f"{replica.path}/{replica.manifest()['layers'][0]['folder']}")
+    assert stored.where("change_mode = 'D'").count() == 0 and stored.count() == 4
+
+
+def test_replica_refuses_a_second_writer(spark):
+    schema = spark.createDataFrame([(1, 1)], "k int, seq int").schema
+    replica = Replica(spark, work_dir(spark, "replica"), schema, ("k",), ("seq",))
+    old = replica.manifest()
+    replica._publish(old, [], {})
+    with pytest.raises(ManifestConflict):
+        replica._publish(old, [], {})
+    assert replica.manifest()["version"] == 1
+    with pytest.raises(ValueError):
+        Replica(spark, replica.path, schema, ("k",), ("seq",), fanout=1)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     assert folder is None or shared_dir(spark) == folder
