@@ -10,10 +10,11 @@ from dictspark.operators.directory import show_objects
 from dictspark.operators.metadata import VIEWS, meta_view, transform_fields
 from dictspark.session import work_dir
 from dictspark.sources.catalog import MAX_TABLES, attach, resolve_tables
-from dictspark.sources.connector import extract_fields, read_extract, write_extract
+from dictspark.sources.connector import extract_fields, read_extract, register, stream_extract, write_extract
 from dictspark.sources.dictionary import describe_fields, fields_frame, fields_from_schema, load_fields
 from dictspark.sources.files import write_table
 from dictspark.sources.reader import read_table
+from dictspark.streaming.delta import append_to, read_batches, run_delta
 
 
 def plan_of(df) -> str:
@@ -124,6 +125,73 @@ def test_connector_reads_what_the_text_source_reads(spark, layout):
     assert "PushedFilters" in plan_of(connected.where("s = 'S3'")) or connected.where("s IN ('S1', 'S2')").count() == rows.where("s IN ('S1', 'S2')").count()
 
 
+ODD = [("0001", "a~b", "two\nlines"), ("0002", None, "back\\slash \r"), ("0003", "ü~", ""), ("0004", "", "\\n\\d~")]
+
+
+def test_connector_writes_what_it_reads(spark):
+    fields = [Field("k", "NUMC", 4, key=True), Field("s", "CHAR", 6), Field("t", "STRING", 0)]
+    odd = spark.createDataFrame(ODD, "k string, s string, t string")
+    path = work_dir(spark, "extract")
+    write_extract(odd.repartition(2), fields, path, escape=True, connector=True)
+    wanted = sorted((k, s or "", t) for k, s, t in ODD)
+    for connector in (True, False):
+        assert sorted(map(tuple, read_extract(spark, path, escape=True, connector=connector).collect())) == wanted
+    assert extract_fields(spark, path) == fields
+    write_extract(odd.limit(0), fields, path, escape=True, connector=True)
+    write_extract(odd, fields, path, escape=True, connector=True)
+    assert read_extract(spark, path, escape=True, connector=True).count() == 8
+    write_extract(odd.where("k = '0003'"), fields, path, escape=True, connector=True, mode="overwrite")
+    assert [tuple(r) for r in read_extract(spark, path, escape=True, connector=True).collect()] == [wanted[2]]
+    for bad, message in ((odd.where("k = '0001'"), "line break|delimiter"), (odd.where("k = '0004'"), "delimiter")):
+        with pytest.raises(Exception, match=message):
+            write_extract(bad, fields, path, connector=True)
+    with pytest.raises(Exception, match="another dictionary"):
+        write_extract(odd.select("k"), fields[:1], path, connector=True)
+    with pytest.raises(Exception, match="wider than 6"):
+        write_extract(spark.createDataFrame([("1", "7 chars")], "k string, s string"), fields[:2], work_dir(spark, "extract"), "fixed", connector=True)
+    assert read_extract(spark, path, escape=True, connector=True).count() == 1
+
+
+@pytest.mark.parametrize("layout", ["delimited", "fixed"])
+def test_connector_round_trip_of_types(spark, layout):
+    rows = spark.range(500).selectExpr("lpad(CAST(id AS STRING), 4, '0') k", "concat('S', id % 7) s", "date_add(DATE '2024-01-01', CAST(id AS INT)) d", "CAST(id / 4 AS DECIMAL(9,2)) p")
+    path = write_extract(rows.repartition(3), FIELDS, work_dir(spark, "extract"), layout, connector=True)
+    for connector in (True, False):
+        assert sorted(map(tuple, read_extract(spark, path, layout, connector=connector).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_short_lines_long_lines_and_ranges(spark):
+    path = work_dir(spark, "extract")
+    fields = [Field("a", "STRING", 0), Field("b", "STRING", 0), Field("c", "STRING", 0)]
+    write_extract(spark.createDataFrame([("x", "y", "z")], "a string, b string, c string"), fields, path)
+    lines = ["1~2~3", "1~2", "1", "", "~~", "1~2~3~4~5", "long~" + "é" * 5000 + "~end", "crlf~b~c\r", "", "last~l~l"]
+    spark.createDataFrame([(line,) for line in lines], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/lines")
+
+    def cells(line):
+        found = line.removesuffix("\r").split("~")[:3]
+        return tuple(found + [None] * (3 - len(found)))
+
+    register(spark)
+    for kept, sizes in ((lines, (100, 4096, 1 << 20)), (lines[:6] + lines[7:], (1, 2, 3, 7))):
+        spark.createDataFrame([(line,) for line in kept], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/lines")
+        for size in sizes:
+            got = spark.read.format("dictextract").option("splitBytes", size).load(path).collect()
+            assert sorted(map(tuple, got), key=repr) == sorted(map(cells, kept), key=repr), size
+
+
+def test_extract_streams_each_write_once(spark):
+    rows = spark.range(60).selectExpr("lpad(CAST(id AS STRING), 4, '0') k", "concat('S', id % 7) s", "DATE '2024-01-01' d", "CAST(id AS DECIMAL(9,2)) p")
+    path, out, checkpoint = (work_dir(spark, n) for n in ("extract", "out", "checkpoint"))
+    seen = []
+    for low, high in ((0, 20), (20, 20), (20, 35), (35, 60)):
+        write_extract(rows.where(f"k >= {low} AND k < {high}"), FIELDS, path, connector=True)
+        run_delta(stream_extract(spark, path), checkpoint, append_to(out))
+        run_delta(stream_extract(spark, path), checkpoint, append_to(out))
+        seen.append(read_batches(spark, out, rows.schema).count())
+    assert seen == [20, 20, 35, 60]
+    assert sorted(map(tuple, read_batches(spark, out, rows.schema).select("k", "s", "d", "p").collect())) == sorted(map(tuple, rows.collect()))
+
+
 def test_sink_never_overwrites(spark):
     path = work_dir(spark, "sink")
     assert write_table(spark.range(3).toDF("n"), path).count() == 3
