@@ -22,7 +22,7 @@ from dictspark.sources.reader import read_table
 HEADLINE = (
     "read_table_full", "decode_fixed_width", "decode_roundtrip", "flagship_join", "cube_rows", "cube_pivot", "cube_totals_show",
     "hierarchy_rollup", "lineage_trace_down", "delta_apply", "delta_latest_image", "reconcile_summary", "fingerprint_table",
-    "json_typed_roundtrip", "describe_function_nested", "quality_decode_profile", "wide_scan_limit", "wide_scan_count",
+    "json_typed_roundtrip", "describe_function_nested", "quality_decode_profile", "wide_scan_count",
 )
 
 

@@ -14,7 +14,7 @@ from dictspark.operators.components import connected
 from dictspark.operators.bounded import part_at, part_by
 from dictspark.operators.directory import describe_function
 from dictspark.operators.quality import quality_profile
-from dictspark.operators.reconcile import differing_columns, except_all, fingerprint, reconcile
+from dictspark.operators.reconcile import differing_columns, except_all, fingerprint, narrow, reconcile, unequal_parts
 from dictspark.operators.replication import Replicator, Source, apply_changes, last_modified, preview, read_full, snapshot_diff
 from dictspark.operators.versions import latest, prefer_active
 from dictspark.functions.types import Field
@@ -289,6 +289,22 @@ def test_reads(spark):
     assert rows(preview(source(spark, 9), 2, ["id"])) == [(0,), (1,)]
 
 
+def test_narrowed_tables_hold_the_changes(spark):
+    old = spark.range(4000).selectExpr("id AS k", "IF(id % 3 = 0, NULL, id) AS v", "IF(id % 3 = 0, id, NULL) AS w")
+    old = old.unionByName(spark.createDataFrame([(None, 1, None), (None, 1, None)], "k long, v long, w long"))
+    swap = "k = 7"
+    new = old.where("k IS NULL OR k <> 30").selectExpr("k", f"IF({swap}, w, v) AS v", f"IF({swap}, v, w) AS w").unionByName(spark.createDataFrame([(9000, 1, 1), (12, None, 12)], "k long, v long, w long"))
+    small = narrow(old, new, ["k"], 500)
+    # 7 with its cells in each other's place, 30 gone, 9000 new, 12 now twice
+    assert unequal_parts(old, new, ["k"], 500).count() == 4 and 0 < small[0].count() < 100
+    assert set(except_all(*small).collect()) == set(except_all(old, new).collect())
+    assert rows(differing_columns(*small, ["k"])) == rows(differing_columns(old, new, ["k"])) == [(7, "v,w")]
+    assert [df.count() for df in narrow(old, old.repartition(3), ["k"])] == [0, 0]
+    assert [df.count() for df in narrow(old.limit(0), old, ["k"], 1)] == [0, old.count()]
+    with pytest.raises(ValueError):
+        unequal_parts(old, new, ["k"], 0)
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 
