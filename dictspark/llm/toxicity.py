@@ -231,7 +231,9 @@ class _Bags:
         return top
 
 
-def train(texts: list[str | None], labels: list[int], prior: float, seed: int = 11) -> Model:
+def train(
+    texts: list[str | None], labels: list[int], prior: float, seed: int = 11, toxic_passages: int = TOXIC_PASSAGES, clean_passages: int = CLEAN_PASSAGES
+) -> Model:
     """Fit vectors and softmax jointly; ``prior`` is the share of toxic rows among all labelled ones.
 
     A passage has no label of its own. In the first epochs the passages of a document share its label, later the passage
@@ -252,8 +254,8 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
     spelt = np.concatenate([np.flatnonzero(~held & (y == 1)), np.flatnonzero(~held & (y == 0))[: int((~held & (y == 1)).sum())]])
     texts = [*(texts[i] for i in np.flatnonzero(~held)), *(_misspelt(texts[i] or "", rng) for i in spelt)]
     y = np.concatenate([y[~held], y[spelt]])
-    clean_share = max(1, CLEAN_PASSAGES // max(1, int((y == 0).sum())))
-    bags = _Bags(texts, np.where(y == 1, TOXIC_PASSAGES, clean_share), rng)
+    clean_share = max(1, clean_passages // max(1, int((y == 0).sum())))
+    bags = _Bags(texts, np.where(y == 1, toxic_passages, clean_share), rng)
 
     vectors = rng.normal(0, 0.05, (1 << BUCKET_BITS, DIMENSIONS)).astype(np.float32)
     softmax = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
@@ -302,8 +304,19 @@ def train(texts: list[str | None], labels: list[int], prior: float, seed: int =
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """Learn from at most ``max_toxic`` and ``max_clean`` labelled documents outside the held-out quarter, those of smallest id hash.
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    doc_id: str = "doc_id",
+    text: str = "text",
+    max_toxic: int = MAX_TOXIC,
+    max_clean: int = MAX_CLEAN,
+    toxic_passages: int = TOXIC_PASSAGES,
+    clean_passages: int = CLEAN_PASSAGES,
+) -> Model:
+    """Learn from at most ``max_toxic`` and ``max_clean`` labelled documents outside the held-out quarter, those of smallest id hash,
+    and in training from at most ``toxic_passages`` of a toxic one and ``clean_passages`` of all clean ones together, in equal shares.
 
     The label is the only thing read of ``labels`` besides the id; null labels and ids are left out, and the share of toxic rows is
     taken from all others. Without labelled rows, or with one class only, every score is about that class's share (0 without labels).
@@ -317,7 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     # `few` has at most max_toxic + max_clean rows of two numbers
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(few), "id").orderBy("id", "y", F.xxhash64("text")).collect()
     total = counts.get(0, 0) + counts.get(1, 0)
-    return train([r.text for r in rows], [r.y for r in rows], counts.get(1, 0) / total if total else 0.0)
+    return train([r.text for r in rows], [r.y for r in rows], counts.get(1, 0) / total if total else 0.0, toxic_passages=toxic_passages, clean_passages=clean_passages)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
