@@ -8,11 +8,13 @@ from dictspark.functions.selection import option, option_pattern, predicate, sel
 from dictspark.functions.types import Field
 from dictspark.operators.directory import show_objects
 from dictspark.operators.metadata import VIEWS, meta_view, transform_fields
-from dictspark.session import work_dir
+from dictspark.plans import wide_queries
+from dictspark.session import JIT_CONF, JIT_LIMIT, work_dir
 from dictspark.sources.catalog import MAX_TABLES, attach, resolve_tables
 from dictspark.sources.connector import extract_fields, read_extract, register, stream_extract, write_extract
 from dictspark.sources.dictionary import describe_fields, fields_frame, fields_from_schema, load_fields
-from dictspark.sources.files import write_table
+from dictspark.sources.extract import encode_extract
+from dictspark.sources.files import table_bytes, write_table
 from dictspark.sources.reader import read_table
 from dictspark.streaming.delta import append_to, read_batches, run_delta
 
@@ -249,3 +251,46 @@ def test_limits_read_the_first_files_that_suffice(spark, tmp_path):
         kept = read_table(spark, path, max_rows=n, layout="fixed", fields=fields)
         assert len({r.c for r in kept.collect()}) == min(n, 40)
     assert len(read_table(spark, path, max_rows=3, layout="fixed", fields=fields).inputFiles()) == 1
+
+
+# --- large extracts ------------------------------------------------------------------------------
+
+
+def test_first_lines_by_key_shuffle_no_other_lines(spark):
+    path, fields = work_dir(spark, "keyed"), [Field("id", "NUMC", 6), Field("name", "CHAR", 10)]
+    write_extract(spark.range(500, 0, -1).selectExpr("id", "concat('n', id) AS name"), fields, path)
+    for n in (3, 2000):
+        first = read_table(spark, f"{path}/lines", max_rows=n, sorted_by_key=["id"], layout="delimited", fields=fields)
+        assert [r.id for r in first.collect()] == [f"{i:06d}" for i in range(1, min(n, 500) + 1)]
+        # the lines are chosen by a top-k; only the typed rows that are kept are sorted
+        plan = plan_of(first)
+        assert "TakeOrderedAndProject" in plan and "LocalLimit" not in plan
+
+
+def test_compressed_lines(spark):
+    path, fields = work_dir(spark, "packed"), [Field("id", "NUMC", 6), Field("name", "STRING")]
+    df = spark.range(400).selectExpr("id", "repeat('name ', 50) AS name")
+    write_extract(df, fields, path, compression="gzip")
+    assert all(f.endswith(".gz") for f in spark.read.text(f"{path}/lines").inputFiles())
+    assert sorted(r.id for r in read_extract(spark, path).collect()) == [f"{i:06d}" for i in range(400)]
+    with pytest.raises(ValueError, match="plain lines"):
+        write_extract(df, fields, path, connector=True, compression="gzip")
+
+
+def test_wide_extract_files_grow_in_number(spark, monkeypatch):
+    folder = work_dir(spark, "items")
+    columns = "id AS l_orderkey, id AS l_partkey, id AS l_suppkey, CAST(1 AS INT) AS l_linenumber, CAST(id AS DOUBLE) AS l_quantity, CAST(id AS DOUBLE) AS l_extendedprice, 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP'1996-01-02' AS l_shipdate"
+    spark.range(200).selectExpr(*columns.split(", ")).write.parquet(f"{folder}/lineitem.parquet")
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet")
+    parts = 4 * spark.sparkContext.defaultParallelism + 3
+    monkeypatch.setattr(wide_queries, "INPUT_BYTES", table_bytes(rows) // parts)
+    files = spark.read.text(f"{wide_queries.wide_folder(spark, folder)}/lines").inputFiles()
+    assert len(files) >= parts and all(f.endswith(".gz") for f in files)
+
+
+def test_large_methods_are_left_to_projections(spark):
+    other = spark.newSession()
+    for given, kept in (("65535", JIT_LIMIT), ("4000", "4000")):
+        other.conf.set(JIT_CONF, given)
+        encode_extract(other.range(1), [Field("id", "NUMC", 6)])
+        assert other.conf.get(JIT_CONF) == kept
