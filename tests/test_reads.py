@@ -13,7 +13,7 @@ from dictspark.session import JIT_CONF, JIT_LIMIT, work_dir
 from dictspark.sources.catalog import MAX_TABLES, attach, resolve_tables
 from dictspark.sources.connector import extract_fields, read_extract, register, stream_extract, write_extract
 from dictspark.sources.dictionary import describe_fields, fields_frame, fields_from_schema, load_fields
-from dictspark.sources.extract import encode_extract
+from dictspark.sources.extract import computed_once, decode_cells, decode_extract, encode_extract, number_keys
 from dictspark.sources.files import table_bytes, write_table
 from dictspark.sources.reader import read_table
 from dictspark.streaming.delta import append_to, read_batches, run_delta
@@ -294,3 +294,15 @@ def test_large_methods_are_left_to_projections(spark):
         other.conf.set(JIT_CONF, given)
         encode_extract(other.range(1), [Field("id", "NUMC", 6)])
         assert other.conf.get(JIT_CONF) == kept
+        other.conf.set(JIT_CONF, given)
+        decode_cells(other.range(1).selectExpr("CAST(id AS STRING) AS id"), [Field("id", "NUMC", 6)])
+        assert other.conf.get(JIT_CONF) == kept
+
+
+def test_lines_are_encoded_once_for_a_join(spark):
+    fields = [Field("id", "NUMC", 6), Field("price", "DEC", 9, 2)]
+    lines = encode_extract(spark.createDataFrame([(1, 1.5), (2, -2.25), (None, 3.0)], "id long, price double"), fields, "fixed")
+    items = number_keys(decode_extract(computed_once(lines), fields, "fixed"), ["id"])
+    joined = items.join(spark.range(3).withColumnRenamed("id", "k"), F.col("id") == F.col("k"))
+    assert sorted((r.id, str(r.price)) for r in joined.collect()) == [(0, "3.00"), (1, "1.50"), (2, "-2.25")]
+    assert not [line for line in plan_of(joined).splitlines() if line.startswith("Condition") and "lpad" in line]
