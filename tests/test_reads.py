@@ -15,6 +15,7 @@ from dictspark.sources.connector import extract_fields, read_extract, register,
 from dictspark.sources.dictionary import describe_fields, fields_frame, fields_from_schema, load_fields
 from dictspark.sources.extract import computed_once, decode_cells, decode_extract, encode_extract, number_keys
 from dictspark.sources.files import table_bytes, write_table
+from dictspark.sources import reader
 from dictspark.sources.reader import read_table
 from dictspark.streaming.delta import append_to, read_batches, run_delta
 
@@ -306,3 +307,17 @@ def test_lines_are_encoded_once_for_a_join(spark):
     joined = items.join(spark.range(3).withColumnRenamed("id", "k"), F.col("id") == F.col("k"))
     assert sorted((r.id, str(r.price)) for r in joined.collect()) == [(0, "3.00"), (1, "1.50"), (2, "-2.25")]
     assert not [line for line in plan_of(joined).splitlines() if line.startswith("Condition") and "lpad" in line]
+
+
+def test_tasks_of_bounded_scans_are_bounded(spark, monkeypatch):
+    path = f"{work_dir(spark, 'odd name')}/rows.parquet"
+    spark.range(4000).repartition(12).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert table_bytes(df) > 0 and table_bytes(spark.range(3)) == 0
+    other = spark.newSession()
+    other.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    other.conf.set("spark.sql.files.openCostInBytes", "0")
+    assert read_table(other, path, threads=1).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(reader, "TASK_BYTES", table_bytes(df) // 5)
+    scan = read_table(other, path, threads=1)
+    assert scan.rdd.getNumPartitions() >= 5 and scan.count() == 4000
