@@ -11,6 +11,7 @@ from ..functions.selection import option, select_options
 from ..operators.reconcile import differing_columns, except_all, fingerprint, narrow, reconcile
 from ..operators.versions import prefer_active
 from ..sources.extract import computed_once, decode_extract, encode_extract, number_keys
+from ..sources.files import table_bytes
 from ..sources.reader import read_table
 from .inputs import LINEITEM, events, lineitem, orders
 from .registry import ORACLES, fixture, md5_slice_sql, plain, query, row_text_sql, table
@@ -252,6 +253,8 @@ def fingerprint_table(spark, sf_dir):
 
 
 CHANGED = ("less", "cell", "swapped", "null")
+#: Bytes of the input whose rows make one partition of the table that is dealt anew, about.
+DEALT_BYTES = 32_000_000
 
 
 @query("fingerprint_table_fast", f"SELECT count(*) AS n, true AS same_in_any_order, {', '.join(f'true AS differs_{kind}' for kind in CHANGED)} FROM lineitem")
@@ -267,7 +270,7 @@ def fingerprint_table_fast(spark, sf_dir):
 
     kinds = {
         "whole": rows,
-        "dealt": rows.repartition(5, "l_suppkey"),
+        "dealt": rows.repartition(max(5, table_bytes(rows) // DEALT_BYTES), "l_suppkey", "l_orderkey"),
         "less": marked.where("NOT hit").drop("hit"),
         "cell": changed(l_partkey=F.col("l_partkey") + 1),
         "swapped": changed(l_partkey=F.col("l_suppkey"), l_suppkey=F.col("l_partkey") + F.when(F.col("l_partkey") == F.col("l_suppkey"), 1).otherwise(0)),
