@@ -19,6 +19,8 @@ from .components import connected
 EDGE_COLUMNS = ("edge_type", "src_kind", "src_name", "src_field", "tgt_kind", "tgt_name", "tgt_field")
 #: Arcs of one node that stay in one bucket; those of a hub are dealt to several.
 HUB_ARCS = 1_000_000
+#: Slots of the hash by which arcs are counted to find hubs.
+HUB_SLOTS = 1_000_000
 #: Edges of a graph document, about.
 EDGES_PER_DOCUMENT = 10_000
 
@@ -108,7 +110,7 @@ class _Bucketed:
 
     def append(self, rows: DataFrame) -> None:
         """Add rows, which are shuffled unless they already lie by the columns; every task writes one bucket."""
-        write = rows.write.format("parquet").mode("append").option("path", self.path).bucketBy(self.buckets, *self.by).sortBy(*self.by)
+        write = rows.write.format("parquet").mode("append").option("path", self.path).bucketBy(self.buckets, *self.by)
         (write.partitionBy(*self.partitions) if self.partitions else write).saveAsTable(self.name)
 
     def read(self) -> DataFrame:
@@ -123,10 +125,18 @@ class _Bucketed:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def _hubs(arcs: DataFrame, hub_arcs: int) -> DataFrame:
-    """Nodes with more arcs than a bucket should hold of one, and the number of parts of each: fewer rows than arcs by that factor."""
+def _hubs(arcs: DataFrame, hub_arcs: int) -> DataFrame | None:
+    """Nodes with more arcs than a bucket should hold of one, and the number of parts of each: fewer rows than arcs by that factor. None if there are none.
+
+    Arcs are counted by slots of the hash first. Only the nodes of slots with so many arcs are counted by name.
+    """
+    slot = F.pmod(F.xxhash64("near"), F.lit(HUB_SLOTS)).alias("slot")
+    full = cut_lineage(arcs.groupBy(slot).count().where(F.col("count") > hub_arcs).select("slot"))
+    if full.isEmpty():
+        return None
     parts = F.ceil(F.count(F.lit(1)) / hub_arcs).cast("int").alias("parts")
-    return cut_lineage(arcs.groupBy("near").agg(parts).where("parts > 1"))
+    hubs = cut_lineage(arcs.withColumn("slot", slot).join(full, "slot", "left_semi").groupBy("near").agg(parts).where("parts > 1"))
+    return None if hubs.isEmpty() else hubs
 
 
 def _reached(arcs: DataFrame, frontier: DataFrame, hubs: DataFrame | None, buckets: int) -> DataFrame:
@@ -157,8 +167,9 @@ def trace(arcs: DataFrame, start: DataFrame, direction: str = "down", max_depth:
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     near, far = ("src", "tgt") if direction == "down" else ("tgt", "src")
     arcs = arcs.where(F.col(near).isNotNull() & F.col(far).isNotNull()).select(F.col(near).alias("near"), F.col(far).alias("far"))
+    # whatever the arcs come from is computed once; hubs are counted and buckets filled from what was written
+    arcs = cut_lineage(arcs)
     hubs = _hubs(arcs, hub_arcs)
-    hubs = None if hubs.isEmpty() else hubs
     by = ["near"]
     if hubs is not None:
         part = F.pmod(F.xxhash64("far"), F.coalesce("parts", F.lit(1))).cast("int")
@@ -203,6 +214,7 @@ def graph_json(edges: DataFrame, scope: Sequence[str], edges_per_document: int =
     end = lambda side: F.struct(*scope, node(f"{side}_kind", f"{side}_name").alias("node"))
     found = connected(distinct.select(end("src").alias("src"), end("tgt").alias("tgt")))
     ended = distinct.withColumn("_end", end("src")).join(found.select(F.col("node").alias("_end"), F.col("component.node").alias("component")), "_end").drop("_end")
+    ended = cut_lineage(ended)
     sizes = ended.groupBy(*scope, "component").agg(F.ceil(F.count(F.lit(1)) / edges_per_document).alias("_parts"))
     # a null scope value is a scope, too
     same = reduce(Column.__and__, [F.col(f"e.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*scope, "component")])

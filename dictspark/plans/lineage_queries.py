@@ -155,12 +155,10 @@ def lineage_graph_json(spark, sf_dir):
     urgent = scoped.where("o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0")
     days = L.edges_of(urgent, "DAY", ("ORDER", F.col("o_orderkey")), ("DAY", F.date_format("o_orderdate", "yyyy-MM-dd")), keep=keep)
     documents = L.graph_json(placed.unionByName(days), ["scope"], EDGES_PER_DOCUMENT)
-    listed = F.from_json("json", "edges array<struct<type:string,src:string,tgt:string>>").getField("edges")
-    content = F.md5(F.array_join(F.transform(listed, lambda e: F.concat_ws(" ", e["type"], e["src"], e["tgt"])), ";"))
-
-    def held(part: str):
-        return F.json_array_length(F.get_json_object("json", f"$.{part}")).cast("bigint").alias(part)
-
-    return documents.select("scope", "component", "part", held("edges"), held("nodes"), content.alias("content"))
+    # every document is parsed once
+    read = documents.select("scope", "component", "part", F.from_json("json", "nodes array<string>, edges array<struct<type:string,src:string,tgt:string>>").alias("read"))
+    content = F.md5(F.array_join(F.transform("read.edges", lambda e: F.concat_ws(" ", e["type"], e["src"], e["tgt"])), ";"))
+    held = [F.size(f"read.{part}").cast("bigint").alias(part) for part in ("edges", "nodes")]
+    return read.select("scope", "component", "part", *held, content.alias("content"))
 
 

@@ -134,6 +134,28 @@ def test_edges_scope_and_level(spark):
     assert rows(L.query_lineage(elements, edges)) == [("K:a.f", 1)]
 
 
+def test_trace_computes_arcs_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            counted.add(1)
+            yield row
+
+    arcs = spark.createDataFrame(spark.createDataFrame([("a", "b"), ("b", "c"), ("b", "d"), ("b", "e")], "src string, tgt string").rdd.mapPartitions(seen), "src string, tgt string")
+    assert rows(L.trace(arcs, spark.createDataFrame([("a",)], "node string"), buckets=2, hub_arcs=2)) == [("a", 0), ("b", 1), ("c", 2), ("d", 2), ("e", 2)]
+    assert counted.value == 4
+
+
+def test_hubs_are_found_among_full_slots(spark, monkeypatch):
+    arcs = spark.createDataFrame([("a", str(i)) for i in range(7)] + [("b", "x"), ("c", "x")], "near string, far string")
+    assert rows(L._hubs(arcs, 3)) == [("a", 3)]
+    assert L._hubs(arcs, 7) is None
+    monkeypatch.setattr(L, "HUB_SLOTS", 1)
+    assert rows(L._hubs(arcs, 3)) == [("a", 3)]
+    assert L._hubs(arcs, 8) is None
+
+
 # --- bounded groups ----------------------------------------------------------------------------
 
 
