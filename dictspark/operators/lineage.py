@@ -214,7 +214,6 @@ def graph_json(edges: DataFrame, scope: Sequence[str], edges_per_document: int =
     end = lambda side: F.struct(*scope, node(f"{side}_kind", f"{side}_name").alias("node"))
     found = connected(distinct.select(end("src").alias("src"), end("tgt").alias("tgt")))
     ended = distinct.withColumn("_end", end("src")).join(found.select(F.col("node").alias("_end"), F.col("component.node").alias("component")), "_end").drop("_end")
-    ended = cut_lineage(ended)
     sizes = ended.groupBy(*scope, "component").agg(F.ceil(F.count(F.lit(1)) / edges_per_document).alias("_parts"))
     # a null scope value is a scope, too
     same = reduce(Column.__and__, [F.col(f"e.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*scope, "component")])
