@@ -156,6 +156,18 @@ def test_cells_that_do_not_survive_a_layout_raise(spark):
         encode_extract(rows, [Field("c", "CHAR", 2)], "fixed").collect()
 
 
+def test_padding_and_cutting(spark):
+    """Cells are padded by many signs at once, and numbers are computed once from a cell."""
+    fields = [Field("n", "NUMC", 40), Field("s", "NUMC", 3), Field("r", "RAW", 30), Field("d", "DEC", 30, 2), Field("i", "INT8")]
+    row = spark.sql("SELECT 12 AS n, 12345 AS s, X'0AFF' AS r, -1.5BD AS d, 7 AS i").selectExpr(*[f"{encode_cell(f.name, f)} AS {f.name}" for f in fields]).first()
+    assert tuple(row) == ("12".rjust(40, "0"), "123", "0AFF".ljust(60, "0"), "1.50-".rjust(32), "7".rjust(20))
+    assert all("' '" not in encode_cell("c", f) or f.type == "DEC" for f in fields) and "lpad(c" not in encode_cell("c", fields[4])
+    cells = [" 1.5-", "-1.5", " ", "", "-", "1.5\0x", "\0", "x", None]
+    typed = spark.createDataFrame([(c,) for c in cells], "c string").selectExpr(*[f"{decode_cell('c', Field('c', *t))} AS {t[0]}" for t in (("DEC", 12, 2), ("FLTP", 24), ("INT8", 20))])
+    values = [-1.5, -1.5, None, None, None, 1.5, None, None, None]
+    assert [r.FLTP for r in typed.collect()] == values and [r.DEC for r in typed.collect()] == [None if v is None else Decimal(f"{v:.2f}") for v in values]
+
+
 def test_short_lines_decode_to_null(spark):
     lines = spark.createDataFrame([("A~1",), ("B",)], "line string")
     typed = decode_extract(lines, [Field("c", "CHAR", 1), Field("n", "INT4")], "delimited")

@@ -1,5 +1,7 @@
 """Scans, catalogs, select-options, dictionary searches, the extract connector."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,6 +291,35 @@ def test_wide_extract_files_grow_in_number(spark, monkeypatch):
     assert len(files) >= parts and all(f.endswith(".gz") for f in files)
 
 
+def test_column_digests(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1L, 'a', 1.005D), (2L, NULL, NULL), (1L, 'a', -3.5D) AS t(id, name, fltp_1)")
+    digest = lambda *values: sum(int(hashlib.md5(v.encode()).hexdigest()[:8], 16) for v in values)
+    expected = [(0, digest("1", "2", "1")), (1, digest("a", "-", "a")), (2, digest("1.01", "-", "-3.50"))]
+    assert sorted(tuple(r) for r in wide_queries.column_digests(rows).collect()) == expected
+    assert wide_queries.column_digests(rows.where("false")).collect() == []
+
+
+def test_wide_digests_decode_a_line_once(spark):
+    path = work_dir(spark, "lines")
+    spark.range(1).selectExpr("'x' AS value").write.text(path)
+    fields = [Field(f"n{i}", "DEC", 12, 2) for i in range(120)]
+    plan = plan_of(wide_queries.column_digests(read_table(spark, path, layout="delimited", fields=fields)))
+    # 120 sums side by side, or a filter on the array of all decoded cells, made code too large to be compiled well
+    assert "Filter" not in plan and plan.count("split(value") <= 2 and plan.count("partial_sum") == 1
+
+
+def test_lines_are_checked_by_their_cells(spark):
+    fields = [Field("a", "CHAR", 9), Field("b", "CHAR", 9)]
+    rows = spark.createDataFrame([("x", "y"), ("", None)], "a string, b string")
+    for delimiter in ("~", "|", "\\", "::", ".*"):
+        assert [r.line for r in encode_extract(rows, fields, "delimited", delimiter).collect()] == [f"x{delimiter}y", delimiter]
+        with pytest.raises(Exception, match="contains the delimiter"):
+            encode_extract(rows.selectExpr("a", f"'{delimiter * 2}' AS b"), fields, "delimited", delimiter).collect()
+    for cell in ("1\n2", "1\r2"):
+        with pytest.raises(Exception, match="line break"):
+            write_extract(spark.createDataFrame([(cell, "y")], "a string, b string"), fields, work_dir(spark, "broken"))
+
+
 def test_large_methods_are_left_to_projections(spark):
     other = spark.newSession()
     for given, kept in (("65535", JIT_LIMIT), ("4000", "4000")):
