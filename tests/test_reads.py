@@ -291,6 +291,17 @@ def test_wide_extract_files_grow_in_number(spark, monkeypatch):
     assert len(files) >= parts and all(f.endswith(".gz") for f in files)
 
 
+def test_wide_families_deal_rows_to_tasks(spark, monkeypatch):
+    folder = work_dir(spark, "items")
+    columns = "id AS l_orderkey, id AS l_partkey, id AS l_suppkey, CAST(1 AS INT) AS l_linenumber, CAST(id AS DOUBLE) AS l_quantity, CAST(id AS DOUBLE) AS l_extendedprice, 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP'1996-01-02' AS l_shipdate"
+    spark.range(200).coalesce(1).selectExpr(*columns.split(", ")).write.parquet(f"{folder}/lineitem.parquet")
+    parts = 4 * spark.sparkContext.defaultParallelism + 3
+    monkeypatch.setattr(wide_queries, "NARROW_BYTES", table_bytes(spark.read.parquet(f"{folder}/lineitem.parquet")) // parts)
+    typed = wide_queries.wide_scan_families(spark, folder)
+    assert typed.rdd.getNumPartitions() >= parts
+    assert sorted(r.l_orderkey for r in typed.select("l_orderkey").collect()) == [f"{i:010d}" for i in range(200)]
+
+
 def test_column_digests(spark):
     rows = spark.sql("SELECT * FROM VALUES (1L, 'a', 1.005D), (2L, NULL, NULL), (1L, 'a', -3.5D) AS t(id, name, fltp_1)")
     digest = lambda *values: sum(int(hashlib.md5(v.encode()).hexdigest()[:8], 16) for v in values)
