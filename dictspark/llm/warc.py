@@ -29,7 +29,7 @@ LEVEL = 6
 
 # Fixed values of the public seekable format.
 _SKIPPABLE, _FOOTER = 0x184D2A5E, 0x8F92EAB1
-_ENTRY, _TAIL = struct.Struct("<II"), struct.Struct("<IBI")
+_ENTRY, _TAIL = "<II", "<IBI"
 
 INDEX = "page_id long, bundle string, frame int, frame_start long, frame_bytes long, record_start long, record_bytes long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
@@ -121,8 +121,8 @@ class _Bundle:
     def close(self) -> dict[str, list]:
         """Write the seek table; the index rows of all records."""
         self.flush()
-        entries = b"".join(_ENTRY.pack(packed, size) for _, packed, size in self.frames)
-        self.out.write(struct.pack("<II", _SKIPPABLE, len(entries) + _TAIL.size) + entries + _TAIL.pack(len(self.frames), 0, _FOOTER))
+        entries = b"".join(struct.pack(_ENTRY, packed, size) for _, packed, size in self.frames)
+        self.out.write(struct.pack("<II", _SKIPPABLE, len(entries) + struct.calcsize(_TAIL)) + entries + struct.pack(_TAIL, len(self.frames), 0, _FOOTER))
         self.out.close()
         cols = ["page_id", "bundle", "frame", "frame_start", "frame_bytes", "record_start", "record_bytes"]
         rows = [(p, self.uri, f, self.frames[f][0], self.frames[f][1], s, n) for p, f, s, n in self.rows]
@@ -171,15 +171,15 @@ def write_bundles(pages: DataFrame, folder: str, least: int = LEAST_SHARED, page
 def seek_table(file) -> list[tuple[int, int, int]]:
     """Start, packed and unpacked size of a bundle's frames, from its footer."""
     end = file.seek(0, io.SEEK_END)
-    file.seek(end - _TAIL.size)
-    n, descriptor, magic = _TAIL.unpack(file.read(_TAIL.size))
+    file.seek(end - struct.calcsize(_TAIL))
+    n, descriptor, magic = struct.unpack(_TAIL, file.read(struct.calcsize(_TAIL)))
     if magic != _FOOTER:
         raise ValueError("the file has no seek table")
     entry = 12 if descriptor & 0x80 else 8
-    file.seek(end - _TAIL.size - n * entry)
+    file.seek(end - struct.calcsize(_TAIL) - n * entry)
     table, at, out = file.read(n * entry), 0, []
     for i in range(n):
-        packed, size = _ENTRY.unpack_from(table, i * entry)
+        packed, size = struct.unpack_from(_ENTRY, table, i * entry)
         out.append((at, packed, size))
         at += packed
     return out
