@@ -1,6 +1,8 @@
 """Scans, catalogs, select-options, dictionary searches, the extract connector."""
 
+import gzip
 import hashlib
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -270,6 +272,30 @@ def test_first_lines_by_key_shuffle_no_other_lines(spark):
         assert "TakeOrderedAndProject" in plan and "LocalLimit" not in plan
 
 
+def test_first_lines_by_key_split_keys_alone(spark):
+    path = work_dir(spark, "keyed")
+    spark.createDataFrame([("x~3~a~b~c",), ("y~1~d~e~f",), ("z",), ("w~2~g",)], "value string").write.text(path)
+    fields = [Field("kind", "CHAR", 1), Field("id", "INT4", 4), *[Field(f"c{i}", "CHAR", 1) for i in range(3)]]
+    first = read_table(spark, path, max_rows=3, sorted_by_key=["id", "kind"], layout="delimited", fields=fields)
+    assert [tuple(r) for r in first.collect()] == [("z", None, None, None, None), ("y", 1, "d", "e", "f"), ("w", 2, "g", None, None)]
+    # all lines are cut behind the keys, and only those that are kept into all cells
+    plan = plan_of(first)
+    assert "~, 3)" in plan and plan.count("~, -1)") == plan.count("~, 3)")
+    with pytest.raises(ValueError, match="unknown column.*nope; the table has kind, id, c0, c1, c2"):
+        read_table(spark, path, max_rows=3, sorted_by_key=["nope"], layout="delimited", fields=fields)
+
+
+def test_lines_are_compressed_at_the_fastest_level(spark):
+    path, fields = work_dir(spark, "packed"), [Field("id", "NUMC", 6), Field("name", "STRING")]
+    df = spark.range(3000).selectExpr("id", "concat_ws(' ', id, id * 7919 % 1000, md5(CAST(id % 97 AS STRING))) AS name").coalesce(1)
+    write_extract(df, fields, path, compression="gzip")
+    (file,) = spark.read.text(f"{path}/lines").inputFiles()
+    packed = open(file.removeprefix("file://"), "rb").read()
+    lines = gzip.decompress(packed)
+    assert lines.count(b"\n") == 3000
+    assert len(packed) > (len(zlib.compress(lines, 1)) + len(zlib.compress(lines, 6))) / 2
+
+
 def test_compressed_lines(spark):
     path, fields = work_dir(spark, "packed"), [Field("id", "NUMC", 6), Field("name", "STRING")]
     df = spark.range(400).selectExpr("id", "repeat('name ', 50) AS name")
