@@ -345,6 +345,33 @@ def test_wide_digests_decode_a_line_once(spark):
     assert "Filter" not in plan and plan.count("split(value") <= 2 and plan.count("partial_sum") == 1
 
 
+def test_whole_lines_decode_as_single_cells_do(spark):
+    types = [("CHAR", 9, 0), ("NUMC", 9, 0), ("STRING", 0, 0), ("INT1", 4, 0), ("INT2", 6, 0), ("INT4", 20, 0), ("INT8", 20, 0), ("FLTP", 24, 0), ("DEC", 9, 2), ("CURR", 24, 4), ("D34N", 34, 6)]
+    types += [("DATS", 8, 0), ("TIMS", 6, 0), ("UTCL", 27, 7), ("RAW", 4, 0), ("DTDAY", 11, 0), ("XMLDATA", 0, 0), ("UNHEARD", 5, 0)]
+    cells = ["", "  ", "12", " 7-", "1.5-", "-3 ", "\x00", "4\x00 ", "\x00 8", "20240229", "20230229", "235959", "000000", "20240131120000", "0A0B", "x y ", "1e3", "99999999999999999999999"]
+    # fields of a type are apart, and each of them meets every cell
+    fields = [Field(f"f{i}", *types[i % len(types)]) for i in range(7 * len(types))]
+    lines = [("~".join(cells[(i + at) % len(cells)] for i in range(len(fields))),) for at in range(len(cells))] + [("one~two",), (None,)]
+    df = spark.createDataFrame(lines, "line string").selectExpr("line", "monotonically_increasing_id() AS c")
+    for midnight in (True, False):
+        single, whole = (decode_extract(df, fields, "delimited", initial_time_is_null=midnight, whole=w) for w in (False, True))
+        assert whole.schema.simpleString() == single.schema.simpleString() and "transform" in plan_of(whole)
+        rows = [{r.c: tuple(r) for r in d.collect()} for d in (single, whole)]
+        assert rows[0] == rows[1]
+    with pytest.raises(Exception, match="cannot hold"):
+        decode_extract(df, [f for f in fields if f.type != "UNHEARD"], "delimited", strict=True, whole=True).collect()
+
+
+def test_column_digests_print_columns_of_a_type_together(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, 2.5BD, 'a', 3, 0.125D, 0.125D, DATE'2024-02-29'), (NULL, NULL, '-', -3, 7D, 7D, NULL) AS t(c, v, place, i, fltp_1, d, `day of`)")
+    found = {r.position: r.digest for r in wide_queries.column_digests(rows).collect()}
+    digest = lambda *values: sum(int(hashlib.md5(v.encode()).hexdigest()[:8], 16) for v in values)
+    expected = [digest("1", "-"), digest("2.5", "-"), digest("a", "-"), digest("3", "-3"), digest("0.13", "7.00"), digest("0.125", "7.0"), digest("2024-02-29", "-")]
+    assert found == dict(enumerate(expected))
+    wide = spark.range(2).selectExpr(*[f"CAST(id + {i} AS DECIMAL(12,2)) AS c{i}" for i in range(50)])
+    assert 1 <= plan_of(wide_queries.column_digests(wide)).count("transform(") <= 2
+
+
 def test_lines_are_checked_by_their_cells(spark):
     fields = [Field("a", "CHAR", 9), Field("b", "CHAR", 9)]
     rows = spark.createDataFrame([("x", "y"), ("", None)], "a string, b string")
