@@ -372,10 +372,14 @@ def test_column_digests_print_columns_of_a_type_together(spark):
     assert 1 <= plan_of(wide_queries.column_digests(wide)).count("transform(") <= 2
 
 
+def test_checked_lines_are_not_cut(spark):
+    rows = spark.createDataFrame([("x", "y")], "a string, b string")
+    assert "split" not in plan_of(encode_extract(rows, [Field("a", "CHAR", 9), Field("b", "CHAR", 9)], "delimited"))
+
+
 def test_lines_are_checked_by_their_cells(spark):
     fields = [Field("a", "CHAR", 9), Field("b", "CHAR", 9)]
     rows = spark.createDataFrame([("x", "y"), ("", None)], "a string, b string")
-    assert "split" not in plan_of(encode_extract(rows, fields, "delimited"))
     for delimiter in ("~", "|", "\\", "::", ".*"):
         assert [r.line for r in encode_extract(rows, fields, "delimited", delimiter).collect()] == [f"x{delimiter}y", delimiter]
         with pytest.raises(Exception, match="contains the delimiter"):
